@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame
 
-PLANS = ["products", "medallion", "incremental"]
+PLANS = ["products", "medallion", "incremental", "logs", "finops"]
 
 
 def all_queries() -> dict[str, Callable[..., DataFrame]]:

@@ -109,11 +109,11 @@ def to_gold_customer_360(customers: DataFrame, subscriptions: DataFrame, users:
 
 def to_gold_revenue(customers: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Active revenue per segment; the health average weighs a customer by its subscription rows."""
-    owned = subscriptions.filter("status = 'ACTIVE'").groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("mrr").alias("mrr"))
+    owned = subscriptions.filter("status = 'ACTIVE'").groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("mrr").alias("owned_mrr"))
     rows = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))
     return customers.join(owned, "customer_id", "left").groupBy("segment").agg(
-        F.count("customer_id").alias("customer_count"), dbl(F.sum("mrr")).alias("total_mrr"), dbl(F.sum("mrr") * 12).alias("total_arr"),
-        F.round(safe_div(F.sum("mrr"), F.sum("n")), 4).alias("avg_mrr_per_subscription"), F.coalesce(F.sum("n"), F.lit(0)).alias("subscription_count"),
+        F.count("customer_id").alias("customer_count"), dbl(F.sum("owned_mrr")).alias("total_mrr"), dbl(F.sum("owned_mrr") * 12).alias("total_arr"),
+        F.round(safe_div(F.sum("owned_mrr"), F.sum("n")), 4).alias("avg_mrr_per_subscription"), F.coalesce(F.sum("n"), F.lit(0)).alias("subscription_count"),
         F.round(safe_div(F.sum(F.col("health_score") * rows), F.sum(F.when(F.col("health_score").isNotNull(), rows))), 4).alias("avg_health_score"),
     )
 
