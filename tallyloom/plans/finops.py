@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day, days_before, month_of
-from tallyloom.functions.numbers import bytes_as, dbl, safe_div, safe_pct
+from tallyloom.functions.numbers import bytes_as, dbl, rounded, safe_div, safe_pct
 from tallyloom.sources.lab import EVENTS_AS_OF, Lab
 from tallyloom.sources.tables import literal_rows, union_padded
 
@@ -82,10 +82,10 @@ def _quota(lab: Lab) -> DataFrame:
 def quota_status(lab: Lab) -> DataFrame:
     share = F.col("used_credits") / F.col("credit_quota")
     status = F.when(share >= 0.9, CRITICAL).when(share >= 0.75, WARNING).when(share >= 0.5, ON_TRACK).otherwise(HEALTHY)
-    projected = F.round(F.col("used_credits") / _elapsed() * _month_days(), 0)
+    projected = rounded(F.col("used_credits") / _elapsed() * _month_days(), 0)
     return _quota(lab).select(
-        "warehouse_name", "credit_quota", "used_credits", F.round(F.col("credit_quota") - F.col("used_credits"), 2).alias("remaining_credits"),
-        F.round(share * 100, 2).alias("pct_used"), status.alias("status"), projected.alias("projected_monthly_credits"),
+        "warehouse_name", "credit_quota", "used_credits", rounded(F.col("credit_quota") - F.col("used_credits"), 2).alias("remaining_credits"),
+        rounded(share * 100, 2).alias("pct_used"), status.alias("status"), projected.alias("projected_monthly_credits"),
         F.when(projected > F.col("credit_quota"), OVER).otherwise(WITHIN).alias("projection_status"),
     )
 
@@ -97,7 +97,7 @@ def thresholds(lab: Lab) -> DataFrame:
     crossed = usage.join(rules, "warehouse_name", "left").groupBy("warehouse_name", "credit_quota", "pct_used").agg(
         F.max(F.when(F.col("pct_used") >= F.col("threshold"), F.struct("threshold", "action"))).alias("hit")
     )
-    return crossed.select("warehouse_name", "credit_quota", F.round("pct_used", 2).alias("pct_used"), F.col("hit.threshold").alias("threshold"), F.coalesce("hit.action", F.lit("NONE")).alias("action"))
+    return crossed.select("warehouse_name", "credit_quota", rounded("pct_used", 2).alias("pct_used"), F.col("hit.threshold").alias("threshold"), F.coalesce("hit.action", F.lit("NONE")).alias("action"))
 
 
 def _budget_dashboard(lab: Lab) -> DataFrame:
@@ -116,9 +116,9 @@ def _budget_dashboard(lab: Lab) -> DataFrame:
     budget, pace = F.col("monthly_budget_credits"), used / _elapsed() * _month_days()
     status = F.when(used / budget >= 1.0, B_OVER).when(used / budget >= F.col("alert_threshold_pct") / 100, B_RISK).when(pace > budget, B_PROJECTED).otherwise(B_FINE)
     return budgets.join(union_padded(compute, storage, background), "budget_category", "left").select(
-        "budget_category", "monthly_budget_credits", (budget * USD_PER_CREDIT).alias("monthly_budget_usd"), F.round(used, 4).alias("mtd_credits_used"),
-        F.round(used * USD_PER_CREDIT, 2).alias("mtd_cost_usd"), F.round(budget - used, 2).alias("remaining_credits"), F.round(used / budget * 100, 2).alias("pct_budget_used"),
-        F.round(pace, 2).alias("projected_credits"), F.round(pace * USD_PER_CREDIT, 2).alias("projected_cost_usd"), status.alias("budget_status"), "owner",
+        "budget_category", "monthly_budget_credits", (budget * USD_PER_CREDIT).alias("monthly_budget_usd"), rounded(used, 4).alias("mtd_credits_used"),
+        rounded(used * USD_PER_CREDIT, 2).alias("mtd_cost_usd"), rounded(budget - used, 2).alias("remaining_credits"), rounded(used / budget * 100, 2).alias("pct_budget_used"),
+        rounded(pace, 2).alias("projected_credits"), rounded(pace * USD_PER_CREDIT, 2).alias("projected_cost_usd"), status.alias("budget_status"), "owner",
     )
 
 
@@ -152,8 +152,8 @@ def anomaly_rows(daily: DataFrame, keys: list[str], at: str, value: str, before:
     z = (dbl(value) - F.col("avg_v")) / F.nullif(F.col("std_v"), F.lit(0.0))
     level = F.when(F.abs(z) > 3, A_EXTREME).when(F.abs(z) > 2, A_HIGH).otherwise(A_NORMAL)
     return daily.join(stats, keys).filter(dbl(value) > F.col("avg_v") + F.col("std_v")).select(
-        at, *keys, F.round(dbl(value), 2).alias(value), F.round("avg_v", 2).alias(f"avg_{value}"), F.round("std_v", 2).alias("stddev_credits"),
-        F.round(z, 2).alias("z_score"), level.alias("anomaly_level"),
+        at, *keys, rounded(dbl(value), 2).alias(value), rounded("avg_v", 2).alias(f"avg_{value}"), rounded("std_v", 2).alias("stddev_credits"),
+        rounded(z, 2).alias("z_score"), level.alias("anomaly_level"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day, day_diff, days_before
-from tallyloom.functions.numbers import bytes_as, count_when, dbl, mean, safe_div, safe_pct
+from tallyloom.functions.numbers import bytes_as, count_when, dbl, mean, rounded, safe_div, safe_pct
 from tallyloom.sources.lab import ACCESS_AS_OF, EVENTS_AS_OF, Lab
 from tallyloom.sources.tables import union_padded
 
@@ -44,7 +44,7 @@ def top_queries(lab: Lab) -> DataFrame:
     slow = _queries(lab).orderBy(F.desc("total_elapsed_time"), "query_id").limit(20)
     return slow.select(
         "query_id", "query_type", "user_name", "role_name", "warehouse_name", "warehouse_size",
-        F.round(dbl("total_elapsed_time") / 1000, 2).alias("elapsed_seconds"), dbl("credits_used").alias("cloud_credits"), "rows_produced",
+        rounded(dbl("total_elapsed_time") / 1000, 2).alias("elapsed_seconds"), dbl("credits_used").alias("cloud_credits"), "rows_produced",
         bytes_as("bytes_scanned", 3).alias("gb_scanned"), F.left("query_text", F.lit(200)).alias("query_preview"),
     )
 
@@ -53,7 +53,7 @@ def volume_by_user(lab: Lab) -> DataFrame:
     status = F.col("execution_status")
     busy = _queries(lab).groupBy("user_name", "role_name").agg(
         F.count("*").alias("query_count"), count_when(status == "SUCCESS").alias("successful_queries"), count_when(status == "FAIL").alias("failed_queries"),
-        F.round(safe_div(F.sum("total_elapsed_time"), F.count("*")) / 1000, 2).alias("avg_elapsed_seconds"), bytes_as(F.sum("bytes_scanned"), 4, 4).alias("total_tb_scanned"),
+        rounded(safe_div(F.sum("total_elapsed_time"), F.count("*")) / 1000, 2).alias("avg_elapsed_seconds"), bytes_as(F.sum("bytes_scanned"), 4, 4).alias("total_tb_scanned"),
     )
     return busy.orderBy(F.desc("query_count"), "user_name", "role_name").limit(20)
 
@@ -61,7 +61,7 @@ def volume_by_user(lab: Lab) -> DataFrame:
 def hour_weekday(lab: Lab) -> DataFrame:
     """Heat table; sorted by hour and calendar order of the weekday names."""
     cells = _queries(lab).groupBy(F.hour("start_time").alias("hour_of_day"), F.dayname(F.to_date("start_time")).alias("day_of_week")).agg(
-        F.count("*").alias("query_count"), F.round(safe_div(F.sum("total_elapsed_time"), F.count("*")) / 1000, 4).alias("avg_seconds")
+        F.count("*").alias("query_count"), rounded(safe_div(F.sum("total_elapsed_time"), F.count("*")) / 1000, 4).alias("avg_seconds")
     )
     return cells.orderBy("hour_of_day", F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.col("day_of_week")))
 
@@ -78,7 +78,7 @@ def query_text_search(lab: Lab) -> DataFrame:
     text = F.col("query_text")
     hits = lab.query_history().filter(text.ilike("%FROM T WHERE%") & ~text.ilike("%INFORMATION_SCHEMA%"))
     return hits.groupBy("query_type", "warehouse_size").agg(
-        F.count("*").alias("n"), F.max("start_time").alias("last_start"), F.round(F.max(dbl("total_elapsed_time")) / 1000, 2).alias("max_seconds")
+        F.count("*").alias("n"), F.max("start_time").alias("last_start"), rounded(F.max(dbl("total_elapsed_time")) / 1000, 2).alias("max_seconds")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day, month_diff
-from tallyloom.functions.numbers import count_when, dbl, mean, safe_div, safe_pct, sum_when
+from tallyloom.functions.numbers import count_when, dbl, mean, rounded, safe_div, safe_pct, sum_when
 from tallyloom.operators.latest import latest_per_key
 from tallyloom.sources.lab import ORDERS_AS_OF, Lab
 from tallyloom.sources.tables import row_counts
@@ -113,8 +113,8 @@ def to_gold_revenue(customers: DataFrame, subscriptions: DataFrame) -> DataFrame
     rows = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))
     return customers.join(owned, "customer_id", "left").groupBy("segment").agg(
         F.count("customer_id").alias("customer_count"), dbl(F.sum("owned_mrr")).alias("total_mrr"), dbl(F.sum("owned_mrr") * 12).alias("total_arr"),
-        F.round(safe_div(F.sum("owned_mrr"), F.sum("n")), 4).alias("avg_mrr_per_subscription"), F.coalesce(F.sum("n"), F.lit(0)).alias("subscription_count"),
-        F.round(safe_div(F.sum(F.col("health_score") * rows), F.sum(F.when(F.col("health_score").isNotNull(), rows))), 4).alias("avg_health_score"),
+        rounded(safe_div(F.sum("owned_mrr"), F.sum("n")), 4).alias("avg_mrr_per_subscription"), F.coalesce(F.sum("n"), F.lit(0)).alias("subscription_count"),
+        rounded(safe_div(F.sum(F.col("health_score") * rows), F.sum(F.when(F.col("health_score").isNotNull(), rows))), 4).alias("avg_health_score"),
     )
 
 

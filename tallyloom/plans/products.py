@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day, day_diff, days_before, month_diff, month_of, months_before, year_diff
-from tallyloom.functions.numbers import MONEY, count_when, dbl, mean, safe_div, safe_pct, sum_when
+from tallyloom.functions.numbers import MONEY, count_when, dbl, mean, rounded, safe_div, safe_pct, sum_when
 from tallyloom.operators.latest import latest_per_key
 from tallyloom.operators.ordered import ordered_scan
 from tallyloom.sources.lab import EVENTS_AS_OF, ORDERS_AS_OF, Lab
@@ -102,10 +102,10 @@ def segment_ranking(lab: Lab) -> DataFrame:
     peers = Window.partitionBy("segment")  # at most one row per industry here
     return groups.select(
         "segment", "industry", "customer_count", "total_mrr",
-        F.round(safe_div(F.col("health"), F.col("customer_count")), 2).alias("avg_health"),
-        F.round(F.coalesce(safe_div(F.col("below"), F.col("customer_count") * (F.col("segment_customers") - 1)), F.lit(0.0)), 4).alias("avg_percentile"),
+        rounded(safe_div(F.col("health"), F.col("customer_count")), 2).alias("avg_health"),
+        rounded(F.coalesce(safe_div(F.col("below"), F.col("customer_count") * (F.col("segment_customers") - 1)), F.lit(0.0)), 4).alias("avg_percentile"),
         "top_10_customers",
-        F.round(safe_div(F.sum("total_mrr").over(peers), F.sum("paying").over(peers)), 2).alias("segment_benchmark_mrr"),
+        rounded(safe_div(F.sum("total_mrr").over(peers), F.sum("paying").over(peers)), 2).alias("segment_benchmark_mrr"),
     ).filter("customer_count > 5").withColumn("total_mrr", dbl("total_mrr"))
 
 
@@ -122,7 +122,7 @@ def ranked_customers(lab: Lab) -> DataFrame:
     out = ranked.withColumn("_mrr", F.coalesce("total_mrr", F.lit(-1).cast(MONEY))).join(ties, ["segment", "_mrr"]).join(totals, "segment")
     return out.select(
         "customer_id", "segment", dbl("total_mrr").alias("total_mrr"), "segment_rank",
-        F.round(safe_div(F.col("segment_customer_count") - F.col("_last"), F.col("segment_customer_count") - 1), 6).alias("mrr_percentile"),
+        rounded(safe_div(F.col("segment_customer_count") - F.col("_last"), F.col("segment_customer_count") - 1), 6).alias("mrr_percentile"),
         "segment_avg_mrr", dbl("segment_total_mrr").alias("segment_total_mrr"), "segment_customer_count",
         dbl("prev_customer_mrr").alias("prev_customer_mrr"), dbl("next_customer_mrr").alias("next_customer_mrr"),
     )
@@ -414,7 +414,7 @@ def _revenue_base(lab: Lab) -> DataFrame:
 
 
 def _usage_base(lab: Lab) -> DataFrame:
-    rate = lambda a, b: F.when(F.col(b) > 0, F.round(dbl(a) * 100.0 / dbl(b), 4)).otherwise(F.lit(0.0))
+    rate = lambda a, b: F.when(F.col(b) > 0, rounded(dbl(a) * 100.0 / dbl(b), 4)).otherwise(F.lit(0.0))
     return lab.usage_daily().join(_names(lab), "customer_id").select(
         "usage_date", F.trunc("usage_date", "week").alias("usage_week"), month_of("usage_date").alias("usage_month"),
         F.trunc("usage_date", "quarter").alias("usage_quarter"), F.dayname("usage_date").alias("day_of_week"),
@@ -463,7 +463,7 @@ def _mrr_history(lab: Lab) -> DataFrame:
 
 
 def mrr_history(lab: Lab) -> DataFrame:
-    return _mrr_history(lab).select("month", dbl("total_mrr").alias("total_mrr"), "customer_count", F.round(safe_div(F.col("total_mrr"), F.col("customer_count")), 2).alias("arpu"))
+    return _mrr_history(lab).select("month", dbl("total_mrr").alias("total_mrr"), "customer_count", rounded(safe_div(F.col("total_mrr"), F.col("customer_count")), 2).alias("arpu"))
 
 
 def daily_usage(lab: Lab) -> DataFrame:
