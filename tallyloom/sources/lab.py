@@ -18,6 +18,26 @@ EVENTS_AS_OF = "2024-01-31"
 ACCESS_AS_OF = "2001-12-31"
 
 
+def daily_usage_of(events: DataFrame) -> DataFrame:
+    """Per customer and day: counts per activity, logins and session minutes."""
+    hits = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
+    daily = events.groupBy(F.col("user_id"), F.to_date("ts").alias("usage_date")).agg(
+        hits("view").alias("emails_sent"),
+        hits("click").alias("emails_opened"),
+        hits("purchase").alias("emails_clicked"),
+        hits("signup").alias("social_posts"),
+        hits("error").alias("messages_sent"),
+        F.count("*").alias("total_logins"),
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("session_minutes"),
+    )
+    return daily.select(
+        "usage_date", F.col("user_id").alias("customer_id"),
+        (F.col("user_id") * 10 + F.dayofmonth("usage_date") % 2 + 1).alias("user_id"),
+        "emails_sent", "emails_opened", "emails_clicked", "social_posts", "messages_sent", "total_logins",
+        "session_minutes",
+    )
+
+
 class Lab:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -91,22 +111,7 @@ class Lab:
     # -- usage, health, tickets ------------------------------------------
 
     def usage_daily(self) -> DataFrame:
-        daily = self.raw("events").groupBy(F.col("user_id"), F.to_date("ts").alias("usage_date"))
-        hits = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
-        return daily.agg(
-            hits("view").alias("emails_sent"),
-            hits("click").alias("emails_opened"),
-            hits("purchase").alias("emails_clicked"),
-            hits("signup").alias("social_posts"),
-            hits("error").alias("messages_sent"),
-            F.count("*").alias("total_logins"),
-            F.sum(F.col("value").cast("decimal(18,2)")).alias("session_minutes"),
-        ).select(
-            "usage_date", F.col("user_id").alias("customer_id"),
-            (F.col("user_id") * 10 + F.dayofmonth("usage_date") % 2 + 1).alias("user_id"),
-            "emails_sent", "emails_opened", "emails_clicked", "social_posts", "messages_sent", "total_logins",
-            "session_minutes",
-        )
+        return daily_usage_of(self.raw("events"))
 
     def health_scores(self) -> DataFrame:
         """Weekly snapshots with component scores, risk band and trend."""
