@@ -1,7 +1,8 @@
 """Text expressions: tokens, sentiment, language, classification, answers, summaries.
 
-All but ``summary`` are built-in expressions evaluated inside the JVM, one pass
-over the tokens of a row, whole texts, no shuffle.
+All but ``summary`` are built-in expressions evaluated inside the JVM on whole
+texts, without a shuffle. Functions named ``*_of`` take a token column made by
+``with_tokens``: a text is then split once, however many lists it is compared to.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import re
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import rounded
@@ -40,18 +41,21 @@ def tokens(c: Column) -> Column:
     return F.array_remove(F.split(F.lower(c), "[^a-z0-9]+"), "")
 
 
+def with_tokens(df: DataFrame, on: str, name: str = "words") -> DataFrame:
+    return df.withColumn(name, tokens(F.col(on)))
+
+
 def question_tokens(text: str) -> list[str]:
     """The same tokens of a literal, as Python strings."""
     return [t for t in re.split("[^a-z0-9]+", text.lower()) if t]
 
 
-def sentiment(c: Column) -> Column:
+def sentiment_of(words: Column) -> Column:
     """(positive - negative) / (positive + negative) in [-1, 1]; 0 with no sentiment word.
 
     A negator directly before a word flips it. Each word is paired with its
     predecessor by zipping the tokens with themselves shifted by one.
     """
-    words = tokens(c)
     polarity = F.zip_with(
         F.concat(F.array(F.lit("")), words), words,
         lambda before, word: F.when(word.isin(POSITIVE), 1).when(word.isin(NEGATIVE), -1).otherwise(0) * F.when(before.isin(NEGATORS), -1).otherwise(1),
@@ -75,14 +79,14 @@ def _most_voted(words: Column, groups: dict[str, list[str]]) -> Column:
     return F.when(best["n"] > 0, best["name"])
 
 
-def language(c: Column) -> Column:
+def language_of(words: Column) -> Column:
     """The language whose function words occur most; ties go to the first profile, none found gives NULL."""
-    return _most_voted(tokens(c), STOP_WORDS)
+    return _most_voted(words, STOP_WORDS)
 
 
-def classify(c: Column, labels: dict[str, list[str]]) -> Column:
+def classify_of(words: Column, labels: dict[str, list[str]]) -> Column:
     """The label whose describing words occur most; the first of equals, NULL when none occurs."""
-    return _most_voted(tokens(c), labels)
+    return _most_voted(words, labels)
 
 
 def sentences(c: Column) -> Column:

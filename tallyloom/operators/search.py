@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import rounded
 from tallyloom.functions.text import cosine, question_tokens, tokens
+from tallyloom.sources.shared import cut_lineage
 
 K1, B = 1.2, 0.75
 
@@ -22,25 +23,30 @@ def _weight(tf: Column, length: Column, avg_length: Column) -> Column:
 def search(docs: DataFrame, key: str, on: str, query: str, columns: list[str], limit: int, where: Column | None = None) -> DataFrame:
     """Best ``limit`` documents for one query text.
 
-    Two narrow passes and no shuffle of documents: one aggregate gives corpus
-    size, mean length and document frequency of the query's terms (one row, used
-    as scalar subqueries), the second scores every document in place. ``where``
-    filters on attributes before scoring; corpus statistics stay corpus-wide.
+    The texts are read and split once, into length and matching words per
+    document; that narrow frame is kept. Corpus size, mean length and document
+    frequencies are one row over it, scores are computed in place, and only the
+    ``limit`` winners are fetched from the documents by key. ``where`` filters
+    on attributes before scoring; corpus statistics stay corpus-wide.
     """
     terms = sorted(set(question_tokens(query)))
-    wanted = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
-    reduced = lambda d: d.withColumns({"_len": F.size(tokens(F.col(on))), "_hits": F.filter(tokens(F.col(on)), lambda t: t.isin(terms))})
-    corpus = reduced(docs).agg(
-        F.count("*").cast("double").alias("n"), (F.sum("_len") / F.count("*")).alias("avg_len"),
-        F.array(*[F.count(F.when(F.array_contains("_hits", t), 1)).cast("double") for t in terms]).alias("df"),
-    )
-    stats = corpus.select(F.struct("n", "avg_len", "df")).scalar()
-    found = reduced(docs.filter(where) if where is not None else docs).filter(F.size("_hits") > 0).withColumn("_stats", stats)
-    tf = lambda t: F.size(F.filter("_hits", lambda h: h == F.lit(t))).cast("double")
-    parts = [_idf(F.col("_stats.n"), F.col("_stats.df")[i]) * _weight(tf(t), F.col("_len"), F.col("_stats.avg_len")) for i, t in enumerate(terms)]
-    score = sum(parts[1:], parts[0]) if parts else F.lit(0.0)
-    scored = found.select(key, *[c for c in columns if c != key], rounded(score, 6).alias("score"))
-    return scored.orderBy(F.desc("score"), key).limit(limit)
+    if not terms:
+        return docs.select(key, *[c for c in columns if c != key], F.lit(0.0).alias("score")).limit(0)
+    kept = (F.lit(True) if where is None else where).alias("_kept")
+    words = docs.withColumn("_w", tokens(F.col(on)))
+    reduced = cut_lineage(words.select(key, kept, F.size("_w").alias("_len"), F.filter("_w", lambda t: t.isin(terms)).alias("_hits")))
+    size = reduced.agg(F.struct(F.count("*").cast("double").alias("n"), (F.sum("_len") / F.count("*")).alias("avg_len"))).scalar()
+    holders = reduced.select(F.explode(F.array_distinct("_hits")).alias("term")).groupBy("term").agg(F.count("*").cast("double").alias("df"))
+    frequency = holders.agg(F.map_from_entries(F.collect_list(F.struct("term", "df")))).scalar()  # one entry per query term
+    found = reduced.filter(F.col("_kept") & (F.size("_hits") > 0)).withColumns({"_size": size, "_df": frequency})
+    tf = lambda t: F.size(F.filter("_hits", lambda h: h == t)).cast("double")
+    part = lambda t: _idf(F.col("_size.n"), F.element_at("_df", t)) * _weight(tf(t), F.col("_len"), F.col("_size.avg_len"))
+    score = F.aggregate(F.transform(F.array_sort(F.array_distinct("_hits")), part), F.lit(0.0), lambda a, x: a + x)
+    scored = found.select(key, rounded(score, 6).alias("score"))
+    top = scored.orderBy(F.desc("score"), key).limit(limit).collect()
+    winners = docs.sparkSession.createDataFrame(top, scored.schema)
+    rows = docs.filter(F.col(key).isin([r[0] for r in top])).select(key, *[c for c in columns if c != key])
+    return rows.join(winners, key).orderBy(F.desc("score"), key)
 
 
 def build_index(docs: DataFrame, key: str, on: str) -> DataFrame:

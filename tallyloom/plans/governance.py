@@ -124,7 +124,7 @@ def benchmark_k_anon(lab: Lab) -> DataFrame:
 
 
 def pii_profile(lab: Lab) -> DataFrame:
-    return sensitive_columns(lab.raw("documents")).withColumn("table_name", F.lit("documents")).unionByName(
+    return sensitive_columns(lab.raw("documents", wide=True)).withColumn("table_name", F.lit("documents")).unionByName(
         sensitive_columns(_people(lab)).withColumn("table_name", F.lit("users"))
     )
 

@@ -39,7 +39,7 @@ def field(name: str, to: str = "string") -> Column:
 
 def bronze_customers(lab: Lab) -> DataFrame:
     """A first full load and a later batch with corrected revenue, some bad scores and bad dates."""
-    base = lab.customers(geo=True).select("customer_id", "company_name", "segment", "industry", "mrr", "health_score", F.col("created_date").cast("string").alias("created_date"))
+    base = lab.customers(geo=True, wide=True).select("customer_id", "company_name", "segment", "industry", "mrr", "health_score", F.col("created_date").cast("string").alias("created_date"))
     later = base.filter("customer_id % 10 = 0").withColumns({
         "mrr": (F.col("mrr") + 100).cast("decimal(18,2)"),
         "health_score": F.when(F.col("customer_id") % 50 == 0, F.lit(101)).when(F.col("customer_id") % 70 == 0, F.lit(None)).otherwise(F.col("health_score")),
@@ -49,14 +49,14 @@ def bronze_customers(lab: Lab) -> DataFrame:
 
 
 def bronze_subscriptions(lab: Lab) -> DataFrame:
-    base = lab.subscriptions().select(
+    base = lab.subscriptions(wide=True).select(
         "subscription_id", "customer_id", F.col("product_name").alias("product"), F.col("mrr_amount").alias("mrr"), "status", F.col("start_date").cast("string").alias("start_date")
     )
     return land(base, "billing", "batch_2024_001", FIRST_LOAD)
 
 
 def bronze_users(lab: Lab) -> DataFrame:
-    return land(lab.users().select("user_id", "customer_id", "email", "phone", "full_name", "role"), "identity", "batch_2024_001", FIRST_LOAD)
+    return land(lab.users(wide=True).select("user_id", "customer_id", "email", "phone", "full_name", "role"), "identity", "batch_2024_001", FIRST_LOAD)
 
 
 # -- silver ------------------------------------------------------------------
@@ -137,37 +137,36 @@ def refresh(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def _layers(lab: Lab) -> dict[str, DataFrame]:
-    return refresh({"customers": bronze_customers(lab), "subscriptions": bronze_subscriptions(lab), "users": bronze_users(lab)})
+def _silver(lab: Lab) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return to_silver_customers(bronze_customers(lab)), to_silver_subscriptions(bronze_subscriptions(lab)), to_silver_users(bronze_users(lab))
 
 
 def silver_customers(lab: Lab) -> DataFrame:
-    return _layers(lab)["silver_customers"].withColumn("mrr", dbl("mrr"))
+    return to_silver_customers(bronze_customers(lab)).withColumn("mrr", dbl("mrr"))
 
 
 def silver_subscriptions(lab: Lab) -> DataFrame:
-    return _layers(lab)["silver_subscriptions"].withColumn("mrr", dbl("mrr"))
+    return to_silver_subscriptions(bronze_subscriptions(lab)).withColumn("mrr", dbl("mrr"))
 
 
 def silver_users(lab: Lab) -> DataFrame:
-    return _layers(lab)["silver_users"]
+    return to_silver_users(bronze_users(lab))
 
 
 def gold_customer_360(lab: Lab) -> DataFrame:
-    return _layers(lab)["gold_customer_360"]
+    return to_gold_customer_360(*_silver(lab))
 
 
 def gold_customer_360_faithful(lab: Lab) -> DataFrame:
-    layers = _layers(lab)
-    return to_gold_customer_360(layers["silver_customers"], layers["silver_subscriptions"], layers["silver_users"], fan_out=True)
+    return to_gold_customer_360(*_silver(lab), fan_out=True)
 
 
 def gold_revenue(lab: Lab) -> DataFrame:
-    return _layers(lab)["gold_revenue"]
+    return to_gold_revenue(to_silver_customers(bronze_customers(lab)), to_silver_subscriptions(bronze_subscriptions(lab)))
 
 
 def gold_products(lab: Lab) -> DataFrame:
-    return _layers(lab)["gold_products"]
+    return to_gold_products(to_silver_subscriptions(bronze_subscriptions(lab)))
 
 
 def bronze_batches(lab: Lab) -> DataFrame:
@@ -176,7 +175,7 @@ def bronze_batches(lab: Lab) -> DataFrame:
 
 
 def layer_counts(lab: Lab) -> DataFrame:
-    layers = _layers(lab)
+    layers = refresh({"customers": bronze_customers(lab), "subscriptions": bronze_subscriptions(lab), "users": bronze_users(lab)})
     return row_counts({"BRONZE": bronze_customers(lab), "SILVER": layers["silver_customers"], "GOLD": layers["gold_customer_360"]})
 
 

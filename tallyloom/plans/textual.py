@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import dbl, mean, rounded
-from tallyloom.functions.text import answer, classify, language, round6, sentiment, sentiment_label, summary, tokens
+from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, summary, tokens, with_tokens
 from tallyloom.operators.digest import digest
-from tallyloom.operators.search import nearest, search
+from tallyloom.operators.search import build_index, nearest, search
 from tallyloom.plans.products import _customer_360
 from tallyloom.sources.lab import Lab
 from tallyloom.sources.shared import shared_path
@@ -27,8 +27,16 @@ LABELS = {
 QUESTION = "What is the answer that was given to this?"
 
 
+def _texts(lab: Lab) -> DataFrame:
+    return lab.feedback(wide=True)
+
+
+def _words(df: DataFrame) -> DataFrame:
+    return with_tokens(df, "feedback_text")
+
+
 def _scored(lab: Lab) -> DataFrame:
-    return lab.feedback().filter("feedback_text IS NOT NULL").withColumn("sentiment_score", sentiment(F.col("feedback_text")))
+    return _words(_texts(lab).filter("feedback_text IS NOT NULL")).withColumn("sentiment_score", sentiment_of(F.col("words")))
 
 
 def sentiment_scores(lab: Lab) -> DataFrame:
@@ -64,25 +72,24 @@ def most_negative(lab: Lab) -> DataFrame:
 
 def at_risk_feedback(lab: Lab) -> DataFrame:
     """Accounts with low health or a low score, with the mood of their answer."""
-    slim = lab.feedback().select("customer_id", "feedback_id", "nps_score", "feedback_text")
-    at_risk = lab.customers().join(slim, "customer_id").filter((F.col("health_score") < 75) | (F.col("nps_score") <= 6))
-    return at_risk.select(
-        "feedback_id", "company_name", "segment", dbl("mrr").alias("mrr"), "health_score", "nps_score", rounded(sentiment(F.col("feedback_text")), 2).alias("sentiment_score"),
-        F.concat(F.left("feedback_text", F.lit(80)), F.lit("...")).alias("feedback_preview"),
-    )
+    moods = _scored(lab).select(
+        "customer_id", "feedback_id", "nps_score", rounded("sentiment_score", 2).alias("sentiment_score"), F.concat(F.left("feedback_text", F.lit(80)), F.lit("...")).alias("feedback_preview")
+    )  # scored and cut before the join, so no text is shuffled
+    at_risk = lab.customers().join(moods, "customer_id").filter((F.col("health_score") < 75) | (F.col("nps_score") <= 6))
+    return at_risk.select("feedback_id", "company_name", "segment", dbl("mrr").alias("mrr"), "health_score", "nps_score", "sentiment_score", "feedback_preview")
 
 
 def language_found(lab: Lab) -> DataFrame:
-    return lab.feedback().select("feedback_id", "lang", language(F.col("feedback_text")).alias("detected_language"))
+    return _words(_texts(lab)).select("feedback_id", "lang", language_of(F.col("words")).alias("detected_language"))
 
 
 def classified(lab: Lab) -> DataFrame:
-    return lab.feedback().select("feedback_id", classify(F.col("feedback_text"), LABELS).alias("predicted_category"), F.col("source").alias("actual_category"))
+    return _words(_texts(lab)).select("feedback_id", classify_of(F.col("words"), LABELS).alias("predicted_category"), F.col("source").alias("actual_category"))
 
 
 def classify_trained(lab: Lab) -> DataFrame:
     """Naive Bayes trained on the labelled texts, applied to every text."""
-    docs = lab.raw("documents").select("doc_id", tokens(F.col("text")).alias("words"))
+    docs = lab.raw("documents", wide=True).select("doc_id", tokens(F.col("text")).alias("words"))
     features = HashingTF(inputCol="words", outputCol="features", numFeatures=4096).transform(docs).drop("words")
     train = features.join(lab.raw("labels").select("doc_id", F.col("toxic").cast("double").alias("label")), "doc_id")
     model = NaiveBayes(modelType="multinomial").fit(train)
@@ -91,7 +98,7 @@ def classify_trained(lab: Lab) -> DataFrame:
 
 
 def answers(lab: Lab) -> DataFrame:
-    return lab.knowledge_base().select("article_id", answer(F.col("content"), QUESTION).alias("answer"))
+    return lab.knowledge_base(wide=True).select("article_id", answer(F.col("content"), QUESTION).alias("answer"))
 
 
 def context_answers(lab: Lab) -> DataFrame:
@@ -113,15 +120,13 @@ def prompt_rows(lab: Lab) -> DataFrame:
 
 
 def document_summaries(lab: Lab) -> DataFrame:
-    """Long texts summarised, short ones as they are."""
+    """Long texts summarised, short ones as they are; short texts never reach Python."""
     body = F.col("feedback_text")
-    long = lab.feedback().filter(F.length("feedback_text") > 200).select("feedback_id", summary(body).alias("feedback_summary"))
-    short = lab.feedback().filter(F.length("feedback_text") <= 200).select("feedback_id", body.alias("feedback_summary"))
-    return long.unionByName(short)
+    return _texts(lab).select("feedback_id", F.coalesce(summary(F.when(F.length(body) > 200, body)), body).alias("feedback_summary"))
 
 
 def _weekly(lab: Lab) -> DataFrame:
-    return lab.feedback().select("feedback_id", "feedback_text", "nps_category", F.trunc("submitted_date", "week").alias("week_start"))
+    return _texts(lab).select("feedback_id", "feedback_text", "nps_category", F.trunc("submitted_date", "week").alias("week_start"))
 
 
 def weekly_digest(lab: Lab) -> DataFrame:
@@ -133,23 +138,23 @@ def whole_digest(lab: Lab) -> DataFrame:
 
 
 def _enrich(feedback: DataFrame) -> DataFrame:
-    return feedback.select(
-        "feedback_id", "customer_id", "submitted_date", "nps_score", "nps_category", round6(sentiment(F.col("feedback_text"))).alias("sentiment_score"),
-        F.length("feedback_text").alias("chars"), language(F.col("feedback_text")).alias("language"),
+    return _words(feedback).select(
+        "feedback_id", "customer_id", "submitted_date", "nps_score", "nps_category", round6(sentiment_of(F.col("words"))).alias("sentiment_score"),
+        F.length("feedback_text").alias("chars"), language_of(F.col("words")).alias("language"),
     )
 
 
 def enrich_once(lab: Lab) -> DataFrame:
     """Enriched answers kept in a table; a second load enriches only what is new."""
     path = shared_path(lab.spark, "enriched")
-    done = write_table(_enrich(lab.feedback().filter(F.col("submitted_date") < "2024-01-16")), path)
-    fresh = insert_if_absent(done, lab.feedback(), ["feedback_id"])
+    done = write_table(_enrich(_texts(lab).filter(F.col("submitted_date") < "2024-01-16")), path)
+    fresh = insert_if_absent(done, _texts(lab), ["feedback_id"])
     return append_rows(_enrich(fresh), path)
 
 
 def hashed_vectors(lab: Lab) -> DataFrame:
     """768-dimensional hashed TF-IDF vectors of unit length."""
-    docs = lab.knowledge_base().select("article_id", tokens(F.col("content")).alias("words"))
+    docs = lab.knowledge_base(wide=True).select("article_id", tokens(F.col("content")).alias("words"))
     counts = HashingTF(inputCol="words", outputCol="counts", numFeatures=768).transform(docs)
     weighted = IDF(inputCol="counts", outputCol="weighted").fit(counts).transform(counts)
     unit = Normalizer(inputCol="weighted", outputCol="unit", p=2.0).transform(weighted)
@@ -169,24 +174,22 @@ def _benchmark_question(lab: Lab) -> str:
 
 
 def text_search(lab: Lab) -> DataFrame:
-    return search(lab.knowledge_base(), "article_id", "content", _benchmark_question(lab), ["category", "product", "title"], 5)
+    return search(lab.knowledge_base(wide=True), "article_id", "content", _benchmark_question(lab), ["category", "product", "title"], 5)
 
 
 def text_search_filtered(lab: Lab) -> DataFrame:
-    return search(lab.knowledge_base(), "article_id", "content", "how is that to be with the and for", ["product"], 3, where=F.col("product") == "en")
+    return search(lab.knowledge_base(wide=True), "article_id", "content", "how is that to be with the and for", ["product"], 3, where=F.col("product") == "en")
 
 
 def search_knowledge_base(lab: Lab, query: str | None = None, max_results: int = 3) -> DataFrame:
     """Search function with a 300-character excerpt."""
-    hits = search(lab.knowledge_base(), "article_id", "content", query or _benchmark_question(lab), ["title", "category", "product", "content"], max_results)
+    hits = search(lab.knowledge_base(wide=True), "article_id", "content", query or _benchmark_question(lab), ["title", "category", "product", "content"], max_results)
     return hits.select("article_id", "title", "category", "product", F.concat(F.left("content", F.lit(300)), F.lit("...")).alias("content_excerpt"), F.col("score").alias("relevance_score"))
 
 
 def term_statistics(lab: Lab) -> DataFrame:
     """Document and corpus frequency of every term: the dictionary of the search index."""
-    from tallyloom.operators.search import build_index
-
-    return build_index(lab.knowledge_base(), "article_id", "content").groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("occurrences"))
+    return build_index(lab.knowledge_base(wide=True), "article_id", "content").groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("occurrences"))
 
 
 QUERIES = {

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import safe_div
-from tallyloom.sources.tables import scan
+from tallyloom.sources.tables import scan, spread
 
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
@@ -42,12 +42,14 @@ class Lab:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def raw(self, name: str) -> DataFrame:
-        return scan(self.spark, self.folder, name)
+    def raw(self, name: str, wide: bool = False) -> DataFrame:
+        """A stored table; ``wide`` asks for every core even when the file has few splits."""
+        table = scan(self.spark, self.folder, name)
+        return spread(table) if wide else table
 
     # -- customers, subscriptions, users ---------------------------------
 
-    def customers(self, geo: bool = False) -> DataFrame:
+    def customers(self, geo: bool = False, wide: bool = False) -> DataFrame:
         """Customer accounts; ``geo`` adds industry (region) and state (nation)."""
         columns = [
             "c_custkey AS customer_id",
@@ -60,7 +62,7 @@ class Lab:
             "concat('CSM', c_custkey % 10) AS csm_owner",
             "date_add(DATE'1993-01-01', CAST(c_custkey % 730 AS INT)) AS created_date",
         ]
-        base = self.raw("customer")
+        base = self.raw("customer", wide)
         if geo:
             base = base.join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
                 self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -68,8 +70,8 @@ class Lab:
             columns += ["r_name AS industry", "n_name AS state"]
         return base.selectExpr(*columns)
 
-    def subscriptions(self) -> DataFrame:
-        return self.raw("orders").selectExpr(
+    def subscriptions(self, wide: bool = False) -> DataFrame:
+        return self.raw("orders", wide).selectExpr(
             "o_orderkey AS subscription_id",
             "o_custkey AS customer_id",
             "o_orderpriority AS product_name",
@@ -83,9 +85,9 @@ class Lab:
                AS end_date""",
         )
 
-    def users(self) -> DataFrame:
+    def users(self, wide: bool = False) -> DataFrame:
         """Two or three users per customer, replicated by an explode with a per-row bound."""
-        base = self.raw("customer").withColumn(
+        base = self.raw("customer", wide).withColumn(
             "n", F.explode(F.sequence(F.lit(1), (2 + F.col("c_custkey") % 2).cast("int")))
         )
         return base.selectExpr(
@@ -149,10 +151,10 @@ class Lab:
 
     # -- text -------------------------------------------------------------
 
-    def feedback(self) -> DataFrame:
+    def feedback(self, wide: bool = False) -> DataFrame:
         """Survey answers: document text, its author account, score and date."""
         accounts = self.raw("customer").agg(F.count("*")).scalar()
-        return self.raw("documents").withColumn("accounts", accounts).selectExpr(
+        return self.raw("documents", wide).withColumn("accounts", accounts).selectExpr(
             "doc_id AS feedback_id",
             "doc_id % accounts AS customer_id",
             "CAST(doc_id % 11 AS INT) AS nps_score",
@@ -162,8 +164,8 @@ class Lab:
             "lang", "source",
         )
 
-    def knowledge_base(self) -> DataFrame:
-        return self.raw("documents").selectExpr(
+    def knowledge_base(self, wide: bool = False) -> DataFrame:
+        return self.raw("documents", wide).selectExpr(
             "doc_id AS article_id", "left(text, 40) AS title", "source AS category", "lang AS product", "text AS content"
         )
 
