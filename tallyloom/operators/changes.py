@@ -17,7 +17,8 @@ def _pairs(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     sides = old.select(*keys, image.alias("_o"), F.lit(None).cast(new.select(image).schema[0].dataType).alias("_n")).unionByName(
         new.select(*keys, F.lit(None).cast(old.select(image).schema[0].dataType).alias("_o"), image.alias("_n"))
     )
-    grouped = sides.groupBy(*keys).agg(
+    # keys are unique per side, so a partial aggregate before the shuffle would only sort for nothing
+    grouped = sides.repartition(*keys).groupBy(*keys).agg(
         F.first("_o", ignorenulls=True).alias("_old"), F.first("_n", ignorenulls=True).alias("_new"),
         F.greatest(F.count("_o"), F.count("_n")).alias("_copies"),
     )
@@ -106,7 +107,7 @@ def merge_dimension(
     highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
     added = dense_ids(joined.filter(adds).select(F.col("_key").alias(key), "_in.*"), [F.col(key)], "_id")
     added = added.withColumns({
-        surrogate: highest + F.col("_id"), "is_current": F.lit(True), "effective_from": at, "effective_to": F.lit(None).cast(dim.schema["effective_to"].dataType),
+        surrogate: (highest + F.col("_id")).cast(dim.schema[surrogate].dataType), "is_current": F.lit(True), "effective_from": at, "effective_to": F.lit(None).cast(dim.schema["effective_to"].dataType),
     })
     return history.unionByName(kept).unionByName(added.select(*dim.columns))
 

@@ -16,17 +16,21 @@ def digest(texts: DataFrame, groups: list[str], key: str, on: str, top_terms: in
     scored where their text lies, and the final ranks keep ``k`` rows per task
     and group before anything moves.
     """
-    words = texts.select(*groups, F.explode(tokens(F.col(on))).alias("term")).filter(F.length("term") >= min_word)
+    body = F.col(on)
+    words = texts.select(*groups, F.explode(tokens(body)).alias("term")).filter(F.length("term") >= min_word)
     counts = words.groupBy(*groups, "term").agg(F.count("*").alias("n"))
     lead = Window.partitionBy(*groups).orderBy(F.desc("n"), "term")
-    terms = counts.withColumn("r", F.row_number().over(lead)).filter(F.col("r") <= top_terms).groupBy(*groups).agg(F.array_sort(F.collect_list("term")).alias("_terms"))
+    leading = counts.withColumn("r", F.row_number().over(lead)).filter(F.col("r") <= top_terms)
+    terms = leading.groupBy(*groups).agg(F.array_sort(F.collect_list("term")).alias("_terms"))
 
-    # compare lengths on the group totals, not on the texts
-    sizes = texts.groupBy(*groups).agg(F.sum(F.length(on)).alias("chars"), F.count("*").alias("texts")).filter(F.col("chars") > min_chars)
-    scored = texts.join(terms, groups).select(
-        *groups, key, F.posexplode(sentences(F.col(on))).alias("position", "sentence"), "_terms"
-    ).select(*groups, key, "position", "sentence", F.size(F.array_intersect(tokens(F.col("sentence")), F.col("_terms"))).alias("hits"))
+    located = texts.join(terms, groups) if groups else texts.withColumn("_terms", terms.scalar())
+    scored = located.select(*groups, key, "_terms", F.posexplode(sentences(body)).alias("position", "sentence")).select(
+        *groups, key, "position", "sentence", F.size(F.array_intersect(tokens(F.col("sentence")), F.col("_terms"))).alias("hits")
+    )
     best = Window.partitionBy(*groups).orderBy(F.desc("hits"), key, "position")
     top = scored.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
-    joined = top.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("r", "sentence"))).alias("_s"))
-    return joined.join(sizes, groups).select(*groups, "texts", F.array_join("_s.sentence", ". ").alias("digest"))
+    picked = top.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("r", "sentence"))).alias("_s"))
+
+    sizes = texts.groupBy(*groups).agg(F.sum(F.length(body)).alias("chars"), F.count("*").alias("texts"))
+    sized = picked.join(sizes, groups) if groups else picked.withColumn("_z", sizes.select(F.struct("chars", "texts")).scalar()).select("_s", "_z.*")
+    return sized.filter(F.col("chars") > min_chars).select(*groups, "texts", F.array_join("_s.sentence", ". ").alias("digest"))

@@ -134,7 +134,7 @@ def weekly_digest(lab: Lab) -> DataFrame:
 
 
 def whole_digest(lab: Lab) -> DataFrame:
-    return digest(_weekly(lab).withColumn("scope", F.lit("all feedback")), ["scope"], "feedback_id", "feedback_text", k=5)
+    return digest(_weekly(lab), [], "feedback_id", "feedback_text", k=5).withColumn("scope", F.lit("all feedback"))
 
 
 def _enrich(feedback: DataFrame) -> DataFrame:
