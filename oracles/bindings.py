@@ -121,7 +121,7 @@ TABLES = {
         FROM events""",
     "share_usage": """SELECT 'SHARE_' || left(o_orderpriority, 1) AS share_name, 'ACCOUNT_' || (o_custkey % 10) AS consumer_account,
         CAST(date_trunc('month', o_orderdate) AS DATE) AS query_date, count(*) AS query_count,
-        sum(o_orderkey * 1024) AS storage_bytes FROM orders GROUP BY ALL""",
+        CAST(sum(o_orderkey * 1024) AS BIGINT) AS storage_bytes FROM orders GROUP BY ALL""",
 }
 
 

@@ -57,7 +57,7 @@ SQL = {
       CASE WHEN _action = 'INSERT' AND NOT _is_update THEN 'NEW' WHEN _action = 'DELETE' AND NOT _is_update THEN 'CHURN'
            WHEN mrr_amount > 0 THEN 'EXPANSION' ELSE 'CONTRACTION' END AS movement_type,
       0 AS previous_mrr, CAST(mrr_amount AS DOUBLE) AS new_mrr, CAST(mrr_amount AS DOUBLE) AS mrr_change FROM sfeed""",
-    "pipeline_status": f"""WITH {FEED}, {SFEED} SELECT 'CUSTOMERS_STREAM' AS stream_name, (SELECT count(*) FROM feed) AS pending_rows, TIMESTAMP '2024-01-31' AS last_processed
+    "feed_status": f"""WITH {FEED}, {SFEED} SELECT 'CUSTOMERS_STREAM' AS stream_name, (SELECT count(*) FROM feed) AS pending_rows, TIMESTAMP '2024-01-31' AS last_processed
       UNION ALL SELECT 'SUBSCRIPTIONS_STREAM', (SELECT count(*) FROM sfeed), CAST((SELECT max(start_date) FROM subscriptions) AS TIMESTAMP)
       UNION ALL SELECT 'USAGE_STREAM', (SELECT count(*) FROM usage_daily WHERE usage_date >= DATE '2024-01-16'),
         CAST((SELECT max(usage_date) FROM usage_daily WHERE usage_date < DATE '2024-01-16') AS TIMESTAMP)""",

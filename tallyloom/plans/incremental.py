@@ -113,7 +113,7 @@ def mrr_movements_as_written(lab: Lab) -> DataFrame:
 # -- monitoring ----------------------------------------------------------------
 
 
-def pipeline_status(lab: Lab) -> DataFrame:
+def feed_status(lab: Lab) -> DataFrame:
     """Rows waiting in each feed and the time its consumer last ran."""
     pending = {
         "CUSTOMERS": (customer_feed(lab), scd_merge(lab).agg(F.max(F.coalesce("effective_to", "effective_from")))),
@@ -254,7 +254,7 @@ def enrich_absent(lab: Lab) -> DataFrame:
 QUERIES = {
     "customer_changes": customer_changes, "scd_merge": scd_merge, "scd_merge_as_written": scd_merge_as_written, "scd_merge_with_deletes": scd_merge_with_deletes,
     "usage_merge": usage_merge, "usage_recomputed": usage_recomputed, "mrr_movements": mrr_movements, "mrr_movements_as_written": mrr_movements_as_written,
-    "pipeline_status": pipeline_status, "freshness": freshness, "refresh_duration": refresh_duration, "recent_refreshes": recent_refreshes, "stream_status": stream_status,
+    "feed_status": feed_status, "freshness": freshness, "refresh_duration": refresh_duration, "recent_refreshes": recent_refreshes, "stream_status": stream_status,
     "as_of_read": as_of_read, "now_vs_then": now_vs_then, "restore_deleted": restore_deleted, "restore_by_predicate": restore_by_predicate,
     "delete_first_rows": delete_first_rows, "working_copy": working_copy, "past_copy": past_copy, "validate_staging": validate_staging, "batch_mix": batch_mix, "enrich_absent": enrich_absent,
 }
