@@ -185,8 +185,8 @@ def cohort_revenue(lab: Lab) -> DataFrame:
     )
 
 
-def _revenue_by_month(lab: Lab) -> DataFrame:
-    s = lab.subscriptions().select("subscription_id", "customer_id", "product_name", "plan_tier", "mrr_amount", "arr_amount", "status", month_of("start_date").alias("revenue_month"))
+def _revenue_by_month(lab: Lab, since: str | None = None) -> DataFrame:
+    s = lab.subscriptions(since=since).select("subscription_id", "customer_id", "product_name", "plan_tier", "mrr_amount", "arr_amount", "status", month_of("start_date").alias("revenue_month"))
     c = lab.customers(geo=True).select("customer_id", "segment", "industry")
     return s.join(c, "customer_id").groupBy("revenue_month", "segment", "industry", "product_name", "plan_tier").agg(
         F.count("subscription_id").alias("subscription_count"),
@@ -205,7 +205,7 @@ def revenue_churn(lab: Lab) -> DataFrame:
 
 
 def revenue_six_months(lab: Lab) -> DataFrame:
-    recent = _revenue_by_month(lab).filter(F.col("revenue_month") >= months_before(ORDERS_AS_OF, 6))
+    recent = _revenue_by_month(lab, since="2001-02-02").filter(F.col("revenue_month") >= months_before(ORDERS_AS_OF, 6))
     return recent.groupBy("segment", "product_name").agg(
         dbl(F.sum("total_mrr")).alias("total_mrr"), F.sum("customer_count").alias("customers")
     )
@@ -456,8 +456,8 @@ def analytics_base_support(lab: Lab) -> DataFrame:
 
 
 def _mrr_history(lab: Lab) -> DataFrame:
-    window = lab.subscriptions().filter((F.col("status") == "Active") & (F.col("start_date") >= months_before(ORDERS_AS_OF, 24)))
-    return window.groupBy(month_of("start_date").alias("month")).agg(
+    recent = lab.subscriptions(since="1999-08-02").filter(F.col("status") == "Active")  # 24 months
+    return recent.groupBy(month_of("start_date").alias("month")).agg(
         F.sum("mrr_amount").alias("total_mrr"), F.count_distinct("customer_id").alias("customer_count")
     )
 
@@ -510,7 +510,7 @@ def compare_periods(current: DataFrame, prior: DataFrame, keys: list[str], measu
 
 def new_mrr_compare(lab: Lab) -> DataFrame:
     """Revenue that started last month against the month before, by segment, industry and product."""
-    started = lab.subscriptions().withColumn("m", month_of("start_date")).join(lab.customers(geo=True).select("customer_id", "segment", "industry"), "customer_id")
+    started = lab.subscriptions(since="2001-06-01").withColumn("m", month_of("start_date")).join(lab.customers(geo=True).select("customer_id", "segment", "industry"), "customer_id")
     keys = ["segment", "industry", "product_name"]
     month = lambda back: started.filter(F.col("m") == F.trunc(months_before(ORDERS_AS_OF, back), "month")).groupBy(*keys).agg(F.sum("mrr_amount").alias("mrr"))
     return compare_periods(month(1), month(2), keys, "mrr")

@@ -70,8 +70,12 @@ class Lab:
             columns += ["r_name AS industry", "n_name AS state"]
         return base.selectExpr(*columns)
 
-    def subscriptions(self, wide: bool = False) -> DataFrame:
-        return self.raw("orders", wide).selectExpr(
+    def subscriptions(self, wide: bool = False, since: str | None = None) -> DataFrame:
+        """Subscriptions; ``since`` drops earlier starts on the raw column, so the scan can skip row groups."""
+        base = self.raw("orders", wide)
+        if since:
+            base = base.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+        return base.selectExpr(
             "o_orderkey AS subscription_id",
             "o_custkey AS customer_id",
             "o_orderpriority AS product_name",
