@@ -1,5 +1,7 @@
 """SQL statements of the usage, cost and budget reports."""
 
+from tallyloom import labels
+
 TM = "tm AS (SELECT * FROM metering WHERE start_time >= DATE '2024-01-01' AND warehouse_name LIKE 'WH%')"
 CONFIG = """config(warehouse_name, credit_quota, team, budget_category) AS (VALUES ('WH_VIEW', 20000, 'Engineering', 'COMPUTE_DEV'),
   ('WH_CLICK', 50000, 'Operations', 'COMPUTE_PROD'), ('WH_PURCHASE', 120000, 'Analytics', 'COMPUTE_ANALYTICS'),
@@ -21,8 +23,8 @@ BUDGET = f"""{QUOTA}, budgets(budget_category, monthly_budget_credits, alert_thr
  b AS (SELECT budgets.*, coalesce(c, 0.0::DOUBLE) AS used, coalesce(c, 0.0::DOUBLE) / 31 * 31 AS pace FROM budgets LEFT JOIN spent USING (budget_category)),
  dash AS (SELECT budget_category, monthly_budget_credits, monthly_budget_credits * 3 AS monthly_budget_usd, round(used, 4) AS mtd_credits_used, round(used * 3, 2) AS mtd_cost_usd,
   round(monthly_budget_credits - used, 2) AS remaining_credits, round(used / monthly_budget_credits * 100, 2) AS pct_budget_used, round(pace, 2) AS projected_credits,
-  round(pace * 3, 2) AS projected_cost_usd, CASE WHEN used / monthly_budget_credits >= 1.0 THEN '🔴 OVER BUDGET'
-    WHEN used / monthly_budget_credits >= alert_threshold_pct / 100.0::DOUBLE THEN '🟡 AT RISK' WHEN pace > monthly_budget_credits THEN '⚠️ PROJECTED OVER' ELSE '🟢 ON TRACK' END AS budget_status,
+  round(pace * 3, 2) AS projected_cost_usd, CASE WHEN used / monthly_budget_credits >= 1.0 THEN '{labels.BUDGET["over"]}'
+    WHEN used / monthly_budget_credits >= alert_threshold_pct / 100.0::DOUBLE THEN '{labels.BUDGET["risk"]}' WHEN pace > monthly_budget_credits THEN '{labels.BUDGET["projected"]}' ELSE '{labels.BUDGET["fine"]}' END AS budget_status,
   owner FROM b)"""
 
 SQL = {
@@ -31,10 +33,10 @@ SQL = {
     "usage_cost": f"""WITH {TM} SELECT warehouse_name, CAST(sum(credits_used) AS DOUBLE) AS total_credits, CAST(sum(credits_used) * 3 AS DOUBLE) AS estimated_cost_usd,
       max(end_time) AS last_usage FROM tm GROUP BY 1""",
     "quota_status": f"""WITH {QUOTA} SELECT warehouse_name, credit_quota, used_credits, round(credit_quota - used_credits, 2) AS remaining_credits,
-      round(used_credits / credit_quota * 100, 2) AS pct_used, CASE WHEN used_credits / credit_quota >= 0.9 THEN '🔴 CRITICAL' WHEN used_credits / credit_quota >= 0.75 THEN '🟡 WARNING'
-        WHEN used_credits / credit_quota >= 0.5 THEN '🟢 ON TRACK' ELSE '✅ HEALTHY' END AS status,
+      round(used_credits / credit_quota * 100, 2) AS pct_used, CASE WHEN used_credits / credit_quota >= 0.9 THEN '{labels.QUOTA["critical"]}' WHEN used_credits / credit_quota >= 0.75 THEN '{labels.QUOTA["warning"]}'
+        WHEN used_credits / credit_quota >= 0.5 THEN '{labels.QUOTA["on_track"]}' ELSE '{labels.QUOTA["healthy"]}' END AS status,
       round(used_credits / 31 * 31, 0) AS projected_monthly_credits,
-      CASE WHEN round(used_credits / 31 * 31, 0) > credit_quota THEN '⚠️ OVER BUDGET' ELSE '✅ WITHIN BUDGET' END AS projection_status FROM quota""",
+      CASE WHEN round(used_credits / 31 * 31, 0) > credit_quota THEN '{labels.PROJECTION["over"]}' ELSE '{labels.PROJECTION["within"]}' END AS projection_status FROM quota""",
     "thresholds": f"""WITH {QUOTA}, {RULES} SELECT q.warehouse_name, q.credit_quota, round(q.used_credits / q.credit_quota * 100, 2) AS pct_used, r.threshold, coalesce(r.action, 'NONE') AS action
       FROM quota q LEFT JOIN (SELECT q2.warehouse_name, threshold, action FROM quota q2 JOIN rules USING (warehouse_name) WHERE used_credits / credit_quota * 100 >= threshold
         QUALIFY row_number() OVER (PARTITION BY q2.warehouse_name ORDER BY threshold DESC) = 1) r ON q.warehouse_name = r.warehouse_name""",
@@ -46,11 +48,11 @@ SQL = {
         FROM metering LEFT JOIN config USING (warehouse_name) GROUP BY 1, 2), p AS (SELECT *, lag(c) OVER (PARTITION BY category ORDER BY period) AS prev FROM s)
       SELECT period, category, CAST(c AS DOUBLE) AS credits_used, CAST(c * 3 AS DOUBLE) AS estimated_cost_usd, CAST(prev AS DOUBLE) AS prev_credits,
         round(CAST(c - prev AS DOUBLE) * 100.0 / nullif(CAST(prev AS DOUBLE), 0), 2) AS pct_change FROM p""",
-    "cost_anomaly": """WITH d AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, sum(credits_used) AS v FROM metering WHERE start_time >= DATE '2024-01-31' - 30 GROUP BY 1, 2),
+    "cost_anomaly": f"""WITH d AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, sum(credits_used) AS v FROM metering WHERE start_time >= DATE '2024-01-31' - 30 GROUP BY 1, 2),
       s AS (SELECT warehouse_name, CAST(sum(v) AS DOUBLE) / count(*) AS a, stddev_samp(CAST(v AS DOUBLE)) AS sd FROM d WHERE usage_date < DATE '2024-01-31' GROUP BY 1)
       SELECT usage_date, warehouse_name, round(CAST(v AS DOUBLE), 2) AS daily_credits, round(a, 2) AS avg_daily_credits, round(sd, 2) AS stddev_credits,
         round((CAST(v AS DOUBLE) - a) / nullif(sd, 0), 2) AS z_score,
-        CASE WHEN abs((CAST(v AS DOUBLE) - a) / nullif(sd, 0)) > 3 THEN '🔴 EXTREME' WHEN abs((CAST(v AS DOUBLE) - a) / nullif(sd, 0)) > 2 THEN '🟡 HIGH' ELSE '🟢 NORMAL' END AS anomaly_level
+        CASE WHEN abs((CAST(v AS DOUBLE) - a) / nullif(sd, 0)) > 3 THEN '{labels.ANOMALY["extreme"]}' WHEN abs((CAST(v AS DOUBLE) - a) / nullif(sd, 0)) > 2 THEN '{labels.ANOMALY["high"]}' ELSE '{labels.ANOMALY["normal"]}' END AS anomaly_level
       FROM d JOIN s USING (warehouse_name) WHERE CAST(v AS DOUBLE) > a + sd""",
     "team_share": f"""WITH {CONFIG}, t AS (SELECT CAST(date_trunc('month', start_time) AS DATE) AS month, team, sum(credits_used) AS c FROM metering JOIN config USING (warehouse_name) GROUP BY 1, 2)
       SELECT month, team, CAST(c AS DOUBLE) AS total_credits, CAST(c * 3 AS DOUBLE) AS total_cost_usd,

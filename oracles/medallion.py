@@ -1,5 +1,7 @@
 """SQL statements of the bronze, silver and gold layers."""
 
+from tallyloom import labels
+
 BRONZE = """bronze AS (SELECT customer_id, company_name, segment, industry, mrr, health_score, CAST(created_date AS VARCHAR) AS created_date,
     'crm' AS _source_system, TIMESTAMP '2024-01-01' AS _ingested_at, 'batch_2024_001' AS _batch_id FROM customers
   UNION ALL SELECT customer_id, company_name, segment, industry, mrr + 100,
@@ -8,7 +10,7 @@ BRONZE = """bronze AS (SELECT customer_id, company_name, segment, industry, mrr,
   FROM customers WHERE customer_id % 10 = 0)"""
 SILVER = f"""{BRONZE}, sc AS (SELECT customer_id, company_name, upper(segment) AS segment, industry, mrr, health_score,
     try_cast(created_date AS DATE) AS created_date, _source_system, _ingested_at,
-    CASE WHEN health_score BETWEEN 0 AND 100 THEN 'VALID' ELSE 'INVALID_HEALTH_SCORE' END AS _dq_status
+    CASE WHEN health_score BETWEEN 0 AND 100 THEN '{labels.QUALITY["valid"]}' ELSE '{labels.QUALITY["bad_score"]}' END AS _dq_status
     FROM bronze QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC, _batch_id DESC) = 1),
   ss AS (SELECT subscription_id, customer_id, product_name, mrr_amount AS mrr, upper(status) AS status, start_date, 'billing' AS _source_system,
     TIMESTAMP '2024-01-01' AS _ingested_at FROM subscriptions),
@@ -21,7 +23,7 @@ def gold_360(users: str) -> str:
       CAST(sum(s.mrr) AS DOUBLE) AS total_mrr, CAST(sum(s.mrr) * 12 AS DOUBLE) AS total_arr,
       string_agg(DISTINCT s.product_name, ', ' ORDER BY s.product_name) AS products_owned,
       {users}
-      CASE WHEN c.health_score >= 80 THEN 'HEALTHY' WHEN c.health_score >= 60 THEN 'AT RISK' ELSE 'CRITICAL' END AS health_status
+      CASE WHEN c.health_score >= 80 THEN '{labels.GOLD["healthy"]}' WHEN c.health_score >= 60 THEN '{labels.GOLD["risk"]}' ELSE '{labels.GOLD["critical"]}' END AS health_status
       FROM sc c LEFT JOIN ss s ON c.customer_id = s.customer_id AND s.status = 'ACTIVE' """
 
 

@@ -1,5 +1,7 @@
 """SQL statements of the data products."""
 
+from tallyloom import labels
+
 PER = """per AS (SELECT c.*, t.product_count, t.total_mrr, t.active_mrr, t.churned_mrr FROM customers c LEFT JOIN (
   SELECT customer_id, count(*) AS product_count, sum(mrr_amount) AS total_mrr,
     sum(CASE WHEN status = 'Active' THEN mrr_amount ELSE 0 END) AS active_mrr,
@@ -22,8 +24,8 @@ C360 = f"""{ACTIVE}, {HEALTH}, {USERT}, {TICK}, {NPS}, c360 AS (SELECT c.custome
   coalesce(total_users, 0) AS total_users, coalesce(active_users, 0) AS active_users, last_login,
   date_diff('day', last_login, DATE '2001-08-02') AS days_since_last_login, overall_health_score, churn_risk, health_trend,
   coalesce(ticket_count, 0) AS tickets_90d, avg_csat, latest_nps_score, nps_category,
-  CASE WHEN account_status = 'Churned' THEN 'Churned' WHEN churn_risk = 'Critical' THEN 'At Risk'
-       WHEN overall_health_score >= 80 THEN 'Healthy' WHEN overall_health_score >= 60 THEN 'Needs Attention' ELSE 'At Risk' END AS customer_health_status
+  CASE WHEN account_status = 'Churned' THEN '{labels.PROFILE["churned"]}' WHEN churn_risk = 'Critical' THEN '{labels.PROFILE["risk"]}'
+       WHEN overall_health_score >= 80 THEN '{labels.PROFILE["healthy"]}' WHEN overall_health_score >= 60 THEN '{labels.PROFILE["attention"]}' ELSE '{labels.PROFILE["risk"]}' END AS customer_health_status
   FROM customers c LEFT JOIN act USING (customer_id) LEFT JOIN ut USING (customer_id) LEFT JOIN lh USING (customer_id)
   LEFT JOIN tk USING (customer_id) LEFT JOIN np USING (customer_id))"""
 SHARED = f"""{ACTIVE}, {HEALTH}, shared AS (SELECT c.customer_id, company_name, segment, industry, state, account_status,
@@ -47,13 +49,13 @@ DASH = f"""{ACTIVE}, {HEALTH}, use7 AS (SELECT customer_id,
   support_score, payment_score, churn_risk, health_trend, snapshot_date AS health_score_date, CAST(coalesce(total_mrr, 0) AS DOUBLE) AS mrr_at_risk,
   CAST(coalesce(last_7d_logins, 0) AS BIGINT) AS logins_last_7d, CAST(coalesce(last_30d_emails, 0) AS BIGINT) AS emails_last_30d, coalesce(open_tickets, 0) AS open_tickets,
   coalesce(avg_recent_csat, 0) AS recent_csat,
-  CASE WHEN churn_risk = 'Critical' AND total_mrr > 500 THEN 'URGENT: Executive outreach needed'
-       WHEN churn_risk = 'Critical' THEN 'Schedule CSM call immediately'
-       WHEN churn_risk = 'High' AND health_trend = 'Declining' THEN 'Proactive check-in recommended'
-       WHEN usage_score < 40 THEN 'Low usage - offer training'
-       WHEN last_7d_logins = 0 THEN 'No recent activity - re-engagement needed'
-       WHEN open_tickets > 3 THEN 'Multiple open tickets - prioritize resolution'
-       ELSE 'Healthy - maintain relationship' END AS recommended_action
+  CASE WHEN churn_risk = 'Critical' AND total_mrr > 500 THEN '{labels.ACTION["executive"]}'
+       WHEN churn_risk = 'Critical' THEN '{labels.ACTION["call"]}'
+       WHEN churn_risk = 'High' AND health_trend = 'Declining' THEN '{labels.ACTION["check_in"]}'
+       WHEN usage_score < 40 THEN '{labels.ACTION["training"]}'
+       WHEN last_7d_logins = 0 THEN '{labels.ACTION["re_engage"]}'
+       WHEN open_tickets > 3 THEN '{labels.ACTION["tickets"]}'
+       ELSE '{labels.ACTION["none"]}' END AS recommended_action
   FROM customers c LEFT JOIN lh USING (customer_id) LEFT JOIN act USING (customer_id) LEFT JOIN use7 USING (customer_id) LEFT JOIN sup USING (customer_id)
   WHERE account_status = 'Active' AND churn_risk IN ('Critical', 'High', 'Medium'))"""
 CBASE = f"""{HEALTH}, cbase AS (SELECT c.customer_id, company_name AS customer_name, segment AS customer_segment, industry, state, account_status,
@@ -213,10 +215,10 @@ SQL = {
     "tvf_customer_360": f"""WITH {AGENT} SELECT customer_id, company_name AS customer_name, segment, industry, mrr, health_score, churn_risk, open_tickets,
       quiet AS last_login_days_ago FROM ag WHERE lower(company_name) LIKE '%customer#0000001%'""",
     "tvf_at_risk": f"""WITH {AGENT} SELECT company_name AS customer_name, segment, industry, mrr, health_score, churn_risk, health_trend, quiet AS days_since_login,
-      CASE WHEN churn_risk = 'Critical' AND mrr > 500 THEN 'URGENT: High-value account at critical risk'
-           WHEN churn_risk = 'Critical' THEN 'Critical risk - immediate outreach needed'
-           WHEN health_trend = 'Declining' THEN 'Declining health - proactive intervention recommended'
-           WHEN quiet > 30 THEN 'Low engagement - reactivation campaign suggested' ELSE 'At risk - monitor closely' END AS risk_summary
+      CASE WHEN churn_risk = 'Critical' AND mrr > 500 THEN '{labels.RISK["high_value"]}'
+           WHEN churn_risk = 'Critical' THEN '{labels.RISK["critical"]}'
+           WHEN health_trend = 'Declining' THEN '{labels.RISK["declining"]}'
+           WHEN quiet > 30 THEN '{labels.RISK["quiet"]}' ELSE '{labels.RISK["other"]}' END AS risk_summary
       FROM ag WHERE churn_risk IN ('High', 'Critical') AND mrr >= 0""",
     "tenant_extract": """SELECT c.customer_id, company_name, user_id, first_name, last_name, role, last_login_date, product_name, plan_tier, status AS subscription_status
       FROM customers c JOIN users u ON c.customer_id = u.customer_id JOIN subscriptions s ON c.customer_id = s.customer_id WHERE c.customer_id = 7""",

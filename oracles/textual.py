@@ -1,6 +1,7 @@
 """SQL statements of the text analytics."""
 
 from oracles.products import C360
+from tallyloom import labels
 from tallyloom.functions.text import NEGATIVE, NEGATORS, POSITIVE, STOP_WORDS
 from tallyloom.plans.textual import LABELS, QUESTION
 
@@ -92,8 +93,8 @@ SQL = {
     "sentiment_by_group": f"""WITH {SENT} SELECT nps_category, count(*) AS response_count, round(sum(s) / count(*), 4) AS avg_sentiment, round(min(s), 4) AS min_sentiment,
       round(max(s), 4) AS max_sentiment FROM scored GROUP BY 1""",
     "mismatch": f"""WITH {SENT} SELECT feedback_id, x.customer_id, company_name, segment, submitted_date, nps_score, nps_category, round(s, 6) AS sentiment_score, {LABEL} AS sentiment_category,
-      CASE WHEN (nps_category = 'Promoter' AND s < 0) OR (nps_category = 'Detractor' AND s > 0) THEN 'Review needed - mismatch' ELSE 'Aligned' END AS alignment_flag,
-      CASE WHEN s < -0.5 THEN 'Escalation Risk' WHEN s < -0.2 THEN 'Monitor Closely' ELSE 'Normal' END AS escalation_risk
+      CASE WHEN (nps_category = 'Promoter' AND s < 0) OR (nps_category = 'Detractor' AND s > 0) THEN '{labels.MOOD["clash"]}' ELSE '{labels.MOOD["aligned"]}' END AS alignment_flag,
+      CASE WHEN s < -0.5 THEN '{labels.MOOD["escalate"]}' WHEN s < -0.2 THEN '{labels.MOOD["watch"]}' ELSE '{labels.MOOD["normal"]}' END AS escalation_risk
       FROM scored x LEFT JOIN customers c ON x.customer_id = c.customer_id""",
     "most_negative": f"WITH {SENT} SELECT feedback_id, source, round(s, 6) AS sentiment_score FROM scored ORDER BY round(s, 6), feedback_id LIMIT 20",
     "at_risk_feedback": f"""WITH {SENT} SELECT feedback_id, company_name, segment, CAST(mrr AS DOUBLE) AS mrr, health_score, nps_score, round(s, 2) AS sentiment_score,

@@ -21,6 +21,13 @@ from tallyloom.sources.shared import cut_lineage
 _INDEX_BITS = 33  # monotonically_increasing_id: partition in the high bits, row index in the low 33
 
 
+def ranged_rows(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows range-partitioned and sorted on (group, order), with partition ``_part`` and position ``_at`` fixed."""
+    by = [*[F.col(g) for g in groups], *order]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    return cut_lineage(ranged).withColumn("_part", F.shiftright("_at", _INDEX_BITS))
+
+
 def ordered_scan(
     df: DataFrame,
     groups: Sequence[str],
@@ -38,9 +45,7 @@ def ordered_scan(
     """
     running, lag, lead = running or {}, lag or {}, lead or {}
     groups = list(groups)
-    ranged = df.repartitionByRange(*[F.col(g) for g in groups], *order).sortWithinPartitions(*[F.col(g) for g in groups], *order)
-    ranged = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_part", F.shiftright("_at", _INDEX_BITS))
+    ranged = ranged_rows(df, groups, order)
 
     stretch_keys = [*groups, "_part"]
     stretches = ranged.groupBy(*stretch_keys).agg(

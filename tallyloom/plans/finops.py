@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom import labels
 from tallyloom.functions.dates import day, days_before, month_of
 from tallyloom.functions.numbers import bytes_as, dbl, rounded, safe_div, safe_pct
 from tallyloom.sources.lab import EVENTS_AS_OF, Lab
@@ -16,12 +17,6 @@ from tallyloom.sources.tables import literal_rows, union_padded
 
 USD_PER_CREDIT = 3
 
-# Status labels (fixed values)
-CRITICAL, WARNING, ON_TRACK, HEALTHY = "🔴 CRITICAL", "🟡 WARNING", "🟢 ON TRACK", "✅ HEALTHY"
-OVER, WITHIN = "⚠️ OVER BUDGET", "✅ WITHIN BUDGET"
-B_OVER, B_RISK, B_PROJECTED, B_FINE = "🔴 OVER BUDGET", "🟡 AT RISK", "⚠️ PROJECTED OVER", "🟢 ON TRACK"
-A_EXTREME, A_HIGH, A_NORMAL = "🔴 EXTREME", "🟡 HIGH", "🟢 NORMAL"
-
 # Warehouse configuration of the lab: warehouse, monthly quota, team, budget category
 WAREHOUSES = [
     ("WH_VIEW", 20000, "Engineering", "COMPUTE_DEV"),
@@ -81,12 +76,12 @@ def _quota(lab: Lab) -> DataFrame:
 
 def quota_status(lab: Lab) -> DataFrame:
     share = F.col("used_credits") / F.col("credit_quota")
-    status = F.when(share >= 0.9, CRITICAL).when(share >= 0.75, WARNING).when(share >= 0.5, ON_TRACK).otherwise(HEALTHY)
+    status = F.when(share >= 0.9, labels.QUOTA["critical"]).when(share >= 0.75, labels.QUOTA["warning"]).when(share >= 0.5, labels.QUOTA["on_track"]).otherwise(labels.QUOTA["healthy"])
     projected = rounded(F.col("used_credits") / _elapsed() * _month_days(), 0)
     return _quota(lab).select(
         "warehouse_name", "credit_quota", "used_credits", rounded(F.col("credit_quota") - F.col("used_credits"), 2).alias("remaining_credits"),
         rounded(share * 100, 2).alias("pct_used"), status.alias("status"), projected.alias("projected_monthly_credits"),
-        F.when(projected > F.col("credit_quota"), OVER).otherwise(WITHIN).alias("projection_status"),
+        F.when(projected > F.col("credit_quota"), labels.PROJECTION["over"]).otherwise(labels.PROJECTION["within"]).alias("projection_status"),
     )
 
 
@@ -114,7 +109,7 @@ def _budget_dashboard(lab: Lab) -> DataFrame:
     budgets = literal_rows(lab.spark, BUDGETS, "budget_category string, monthly_budget_credits int, alert_threshold_pct int, owner string")
     used = F.coalesce("credits_used", F.lit(0.0))
     budget, pace = F.col("monthly_budget_credits"), used / _elapsed() * _month_days()
-    status = F.when(used / budget >= 1.0, B_OVER).when(used / budget >= F.col("alert_threshold_pct") / 100, B_RISK).when(pace > budget, B_PROJECTED).otherwise(B_FINE)
+    status = F.when(used / budget >= 1.0, labels.BUDGET["over"]).when(used / budget >= F.col("alert_threshold_pct") / 100, labels.BUDGET["risk"]).when(pace > budget, labels.BUDGET["projected"]).otherwise(labels.BUDGET["fine"])
     return budgets.join(union_padded(compute, storage, background), "budget_category", "left").select(
         "budget_category", "monthly_budget_credits", (budget * USD_PER_CREDIT).alias("monthly_budget_usd"), rounded(used, 4).alias("mtd_credits_used"),
         rounded(used * USD_PER_CREDIT, 2).alias("mtd_cost_usd"), rounded(budget - used, 2).alias("remaining_credits"), rounded(used / budget * 100, 2).alias("pct_budget_used"),
@@ -150,7 +145,7 @@ def anomaly_rows(daily: DataFrame, keys: list[str], at: str, value: str, before:
     """Over-usage rows with a z-score against the key's own mean and sample deviation."""
     stats = daily.filter(before).groupBy(*keys).agg(safe_div(F.sum(value), F.count(value)).alias("avg_v"), F.stddev_samp(dbl(value)).alias("std_v"))
     z = (dbl(value) - F.col("avg_v")) / F.nullif(F.col("std_v"), F.lit(0.0))
-    level = F.when(F.abs(z) > 3, A_EXTREME).when(F.abs(z) > 2, A_HIGH).otherwise(A_NORMAL)
+    level = F.when(F.abs(z) > 3, labels.ANOMALY["extreme"]).when(F.abs(z) > 2, labels.ANOMALY["high"]).otherwise(labels.ANOMALY["normal"])
     return daily.join(stats, keys).filter(dbl(value) > F.col("avg_v") + F.col("std_v")).select(
         at, *keys, rounded(dbl(value), 2).alias(value), rounded("avg_v", 2).alias(f"avg_{value}"), rounded("std_v", 2).alias("stddev_credits"),
         rounded(z, 2).alias("z_score"), level.alias("anomaly_level"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom import labels
 from tallyloom.functions.dates import day, month_diff
 from tallyloom.functions.numbers import count_when, dbl, mean, rounded, safe_div, safe_pct, sum_when
 from tallyloom.operators.latest import latest_per_key
@@ -69,7 +70,7 @@ def to_silver_customers(bronze: DataFrame) -> DataFrame:
         F.try_to_date(field("CREATED_DATE"), "yyyy-MM-dd").alias("created_date"), "_source_system", "_ingested_at", "_batch_id",
     )
     newest = latest_per_key(typed, ["customer_id"], ["_ingested_at", "_batch_id"]).drop("_batch_id")
-    return newest.withColumn("_dq_status", F.when(F.col("health_score").between(0, 100), "VALID").otherwise("INVALID_HEALTH_SCORE"))
+    return newest.withColumn("_dq_status", F.when(F.col("health_score").between(0, 100), labels.QUALITY["valid"]).otherwise(labels.QUALITY["bad_score"]))
 
 
 def to_silver_subscriptions(bronze: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def to_gold_customer_360(customers: DataFrame, subscriptions: DataFrame, users:
     people = users.groupBy("customer_id").agg(F.count("user_id").alias("user_count"))
     copies = F.greatest(F.coalesce("user_count", F.lit(0)), F.lit(1)) if fan_out else F.lit(1)
     mrr = F.col("total_mrr") * copies
-    health = F.when(F.col("health_score") >= 80, "HEALTHY").when(F.col("health_score") >= 60, "AT RISK").otherwise("CRITICAL")
+    health = F.when(F.col("health_score") >= 80, labels.GOLD["healthy"]).when(F.col("health_score") >= 60, labels.GOLD["risk"]).otherwise(labels.GOLD["critical"])
     return customers.join(owned, "customer_id", "left").join(people, "customer_id", "left").select(
         "customer_id", "company_name", "segment", "industry", "health_score", "created_date",
         month_diff(F.col("created_date"), day(ORDERS_AS_OF)).alias("tenure_months"), F.coalesce("product_count", F.lit(0)).alias("product_count"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom import labels
 from tallyloom.functions.dates import day, day_diff, days_before, month_diff, month_of, months_before, year_diff
 from tallyloom.functions.numbers import MONEY, count_when, dbl, mean, rounded, safe_div, safe_pct, sum_when
 from tallyloom.operators.latest import latest_per_key
@@ -242,11 +243,11 @@ def customer_360_faithful(lab: Lab) -> DataFrame:
 
 def _customer_360(lab: Lab) -> DataFrame:
     status = (
-        F.when(F.col("account_status") == "Churned", "Churned")
-        .when(F.col("churn_risk") == "Critical", "At Risk")
-        .when(F.col("overall_health_score") >= 80, "Healthy")
-        .when(F.col("overall_health_score") >= 60, "Needs Attention")
-        .otherwise("At Risk")
+        F.when(F.col("account_status") == "Churned", labels.PROFILE["churned"])
+        .when(F.col("churn_risk") == "Critical", labels.PROFILE["risk"])
+        .when(F.col("overall_health_score") >= 80, labels.PROFILE["healthy"])
+        .when(F.col("overall_health_score") >= 60, labels.PROFILE["attention"])
+        .otherwise(labels.PROFILE["risk"])
     )
     joined = (
         lab.customers(geo=True)
@@ -312,13 +313,13 @@ def _health_dashboard(lab: Lab) -> DataFrame:
     at_risk = latest_health(lab).filter(F.col("churn_risk").isin("Critical", "High", "Medium"))
     critical = F.col("churn_risk") == "Critical"
     action = (
-        F.when(critical & (F.col("total_mrr") > 500), "URGENT: Executive outreach needed")
-        .when(critical, "Schedule CSM call immediately")
-        .when((F.col("churn_risk") == "High") & (F.col("health_trend") == "Declining"), "Proactive check-in recommended")
-        .when(F.col("usage_score") < 40, "Low usage - offer training")
-        .when(F.col("last_7d_logins") == 0, "No recent activity - re-engagement needed")
-        .when(F.col("open_tickets") > 3, "Multiple open tickets - prioritize resolution")
-        .otherwise("Healthy - maintain relationship")
+        F.when(critical & (F.col("total_mrr") > 500), labels.ACTION["executive"])
+        .when(critical, labels.ACTION["call"])
+        .when((F.col("churn_risk") == "High") & (F.col("health_trend") == "Declining"), labels.ACTION["check_in"])
+        .when(F.col("usage_score") < 40, labels.ACTION["training"])
+        .when(F.col("last_7d_logins") == 0, labels.ACTION["re_engage"])
+        .when(F.col("open_tickets") > 3, labels.ACTION["tickets"])
+        .otherwise(labels.ACTION["none"])
     )
     joined = (
         lab.customers(geo=True).filter("account_status = 'Active'")
@@ -606,11 +607,11 @@ def at_risk_customers(lab: Lab, min_mrr: float = 0) -> DataFrame:
     """High and critical churn risk, optionally from a minimum revenue."""
     mrr, quiet = F.coalesce("mrr", F.lit(0)), F.coalesce("days_since_login", F.lit(999))
     summary = (
-        F.when((F.col("churn_risk") == "Critical") & (mrr > 500), "URGENT: High-value account at critical risk")
-        .when(F.col("churn_risk") == "Critical", "Critical risk - immediate outreach needed")
-        .when(F.col("health_trend") == "Declining", "Declining health - proactive intervention recommended")
-        .when(quiet > 30, "Low engagement - reactivation campaign suggested")
-        .otherwise("At risk - monitor closely")
+        F.when((F.col("churn_risk") == "Critical") & (mrr > 500), labels.RISK["high_value"])
+        .when(F.col("churn_risk") == "Critical", labels.RISK["critical"])
+        .when(F.col("health_trend") == "Declining", labels.RISK["declining"])
+        .when(quiet > 30, labels.RISK["quiet"])
+        .otherwise(labels.RISK["other"])
     )
     return _agent_frame(lab).filter(F.col("churn_risk").isin("High", "Critical") & (mrr >= min_mrr)).orderBy(F.col("mrr").desc_nulls_last(), "customer_id").select(
         F.col("company_name").alias("customer_name"), "segment", "industry", dbl(mrr).alias("mrr"), F.col("overall_health_score").alias("health_score"),

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom import labels
 from tallyloom.functions.numbers import dbl, mean, rounded
 from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, summary, tokens, with_tokens
 from tallyloom.operators.digest import digest
@@ -60,8 +61,8 @@ def mismatch(lab: Lab) -> DataFrame:
     slim = _scored(lab).select("feedback_id", "customer_id", "submitted_date", "nps_score", "nps_category", "sentiment_score")
     return slim.join(names, "customer_id", "left").select(
         "feedback_id", "customer_id", "company_name", "segment", "submitted_date", "nps_score", "nps_category", round6(s).alias("sentiment_score"),
-        sentiment_label(s).alias("sentiment_category"), F.when(clash, "Review needed - mismatch").otherwise("Aligned").alias("alignment_flag"),
-        F.when(s < -0.5, "Escalation Risk").when(s < -0.2, "Monitor Closely").otherwise("Normal").alias("escalation_risk"),
+        sentiment_label(s).alias("sentiment_category"), F.when(clash, labels.MOOD["clash"]).otherwise(labels.MOOD["aligned"]).alias("alignment_flag"),
+        F.when(s < -0.5, labels.MOOD["escalate"]).when(s < -0.2, labels.MOOD["watch"]).otherwise(labels.MOOD["normal"]).alias("escalation_risk"),
     )
 
 

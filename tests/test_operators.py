@@ -8,11 +8,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyloom import labels
 from tallyloom.functions import dates, masks, numbers, picks
 from tallyloom.operators.access import Policy, governed, mask_by_tags, rows_by_owner, rows_by_status, tag_columns
 from tallyloom.operators.changes import change_feed, merge_additive, merge_dimension, revenue_movements
 from tallyloom.operators.latest import latest_per_key
-from tallyloom.operators.ordered import dense_ids, group_median, ordered_scan
+from tallyloom.operators.ordered import dense_ids, group_median, ordered_scan, ranged_rows
 from tallyloom.operators.quality import column_profile, name_category, repeated_keys
 from tallyloom.operators.semantic import Named, SemanticModel, query_metrics, semantic_view
 from tallyloom.operators.series import anomalies, forecast
@@ -77,6 +78,17 @@ def test_ordered_scan_equals_window(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_one_hot_group_and_value_spread_over_partitions(spark):
+    """All rows in one group with one value: the unique last key still splits them evenly."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = spark.range(40000).select(F.lit("hot").alias("g"), F.lit(1).alias("v"), "id")
+        sizes = [r["count"] for r in ranged_rows(hot, ["g"], [F.col("v"), F.col("id")]).groupBy("_part").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * 40000 / 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_dense_ids(spark, skewed):
     got = dense_ids(skewed, [F.col("g"), F.col("id").desc()], "k").select("k").collect()
     assert sorted(r["k"] for r in got) == list(range(1, 3001))
@@ -275,7 +287,7 @@ def test_anomaly_levels(spark):
     spiky = [("w2", i, 10.0 + (i % 2)) for i in range(30)] + [("w2", 30, 100.0)]
     df = spark.createDataFrame(flat + spiky, "w string, d int, v double")
     got = finops.anomaly_rows(df, ["w"], "d", "v", F.lit(True)).collect()
-    assert [(r["w"], r["d"], r["anomaly_level"]) for r in got] == [("w2", 30, finops.A_EXTREME)]
+    assert [(r["w"], r["d"], r["anomaly_level"]) for r in got] == [("w2", 30, labels.ANOMALY["extreme"])]
 
 
 def test_forecast_line(spark):
