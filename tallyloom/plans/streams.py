@@ -16,9 +16,9 @@ from tallyloom.streaming.feeds import consume, dimension_batch, read_dimension,
 def usage_stream(lab: Lab) -> DataFrame:
     """The whole event table consumed as an append-only feed into the monthly fact."""
     spark, target, checkpoint = lab.spark, shared_path(lab.spark, "usage-fact"), shared_path(lab.spark, "usage-position")
-    events = lab.raw("events").schema
+    events = f"{lab.folder}/{{events}}.parquet"  # a glob, as the source takes a single file only by pattern
     for _ in range(2):  # the second run finds nothing new
-        consume(spark, lab.folder, events, checkpoint, usage_batch(target), glob="events.parquet")
+        consume(spark, events, lab.raw("events").schema, checkpoint, usage_batch(target))
     return read_usage(spark, target).withColumn("total_session_minutes", dbl("total_session_minutes"))
 
 

@@ -20,10 +20,10 @@ from tallyloom.sources.lab import daily_usage_of
 
 
 def consume(
-    spark: SparkSession, folder: str, schema: StructType, checkpoint: str, apply: Callable[[DataFrame, int], None], glob: str = "*.parquet", files_per_batch: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, checkpoint: str, apply: Callable[[DataFrame, int], None], files_per_batch: int | None = None,
 ) -> None:
-    """Feed every new file's rows to ``apply`` once; empty batches are skipped."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """Feed every new file's rows to ``apply`` once; empty batches are skipped. ``path`` may be a glob."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
@@ -31,7 +31,7 @@ def consume(
         if not batch.isEmpty():
             apply(batch, batch_id)
 
-    query = reader.parquet(folder).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = reader.parquet(path).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
