@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact, packing, planes, warc
+from tallyloom.llm import chunked_bpe, exact, packing, planes, rlz, simhash, sketches, suffixes, toxicity, warc
 from tallyloom.sources.shared import shared_path
 
 
@@ -42,11 +42,44 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.parsed(warc.read_records(spark, path))
 
 
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, folder, "documents"))
+
+
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = rlz.removed(_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def encoded_and_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    out = chunked_bpe.encode_decode(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.scores(docs, toxicity.learn_without_held_out(docs, _table(spark, folder, "labels")))
+
+
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removed(_table(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.fingerprints(_table(spark, folder, "documents")).drop("sketch", "edited_sketch")
+
+
 QUERIES = {
     "op1_packing": packed_sequences,
     "op2_exact_dedup": exact_dedup,
+    "op3_simhash": near_dedup,
+    "op4_substring_dedup": substring_dedup,
     "op5_token_files": token_files,
+    "op6_bpe": encoded_and_decoded,
     "op7_warc": archive,
+    "op8_toxicity": toxic_scores,
+    "op9_suffix_dedup": suffix_dedup,
+    "op10_fingerprints": document_fingerprints,
 }
 
 SQL = {
