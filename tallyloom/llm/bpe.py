@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO_ROWS = 300_000  # entries of a memo; later words are encoded each time they occur
+MEMO_ROWS = 500_000  # entries of a memo; later words are encoded each time they occur
 MEMO_CHARS = 64  # longer words are not kept
 
 
@@ -28,6 +28,20 @@ def load(path: str):
     return tok
 
 
+# Latin letters, of which every table of letters says so: a run of them is one pre-token
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The printable stand-ins of a byte-level vocabulary: visible Latin-1 characters for themselves, others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_STAND_INS = _byte_letters()
+
+
 def packed(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
@@ -37,7 +51,7 @@ class _Words(dict):
 
     def __init__(self, tok, before: str):
         super().__init__()
-        self.tok, self.before = tok, before
+        self.tok, self.model, self.before = tok, tok.model, before
         self.ends = {c: packed(tok.encode(c, add_special_tokens=False).ids) for c in ",."}
         self.inner = None
 
@@ -47,6 +61,8 @@ class _Words(dict):
         elif self.inner is not None and "\n" in word and re.fullmatch(r"\S+(?:\n\S+)+", word):
             head, *rest = word.split("\n")
             ids = self[head] + b"".join(self.inner.line + self.inner[x] for x in rest)
+        elif _LETTERS.fullmatch(word):  # the model alone; there is nothing to cut
+            ids = packed([t.id for t in self.model.tokenize((self.before + word).encode().decode("latin-1").translate(_STAND_INS))])
         else:
             ids = packed(self.tok.encode(self.before + word, add_special_tokens=False).ids)
         if len(self) < MEMO_ROWS and len(word) <= MEMO_CHARS:
