@@ -24,7 +24,9 @@ are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -120,7 +122,12 @@ def links(prints: DataFrame, most: int = 2, segments: int = 2) -> DataFrame:
         keys = ["parts", "key"]
         rare, asked = (table.join(sizes, keys, "left_anti"), probes.join(sizes, keys, "left_anti")) if hot else (table, probes)
         met = asked.withColumnRenamed("fp", "a").join(rare.withColumnRenamed("fp", "b"), keys)
-        met = met.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most))
+        apart = F.col("a").bitwiseXOR(F.col("b"))
+        met = met.where((F.col("a") != F.col("b")) & (F.bit_count(apart) <= most))
+        if level == 0:  # a pair that agrees in several parts is taken at the first
+            for i in range(1, segments):
+                sooner = [F.bit_count(apart.bitwiseAND(F.lit(_signed(m)))) > most // segments for m in masks[:i]]
+                met = met.where(reduce(and_, sooner, F.lit(True)) | (F.col("parts") != 1 << i))
         met = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "met")
         found = met if found is None else found.unionByName(met)
         if not hot:
@@ -146,7 +153,7 @@ def near_groups(docs: DataFrame, words: int = 3, most: int = 2, segments: int =
     return rows.join(groups, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, most: int = 2, segments: int = 2) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 5, most: int = 6, segments: int = 4) -> DataFrame:
     """Of each group the document with the least doc_id (null last), all its columns unchanged; others go."""
     rows, groups = grouped(docs, words, most, segments)
     told = rows.join(groups, "fp")

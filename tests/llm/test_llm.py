@@ -139,12 +139,12 @@ def test_simhash(spark):
         lows, n = brute.groups_of(prints, 2)
         want = Counter((d, f"{p:016x}", c) for (d, p), c in zip(prints, lows))
         assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_groups(docs).collect()) == want
-        left = simhash.keep_one(docs, words=3)
+        left = simhash.keep_one(docs, words=3, most=2, segments=2)
         assert left.columns == docs.columns
         assert left.count() == n
 
 
-@pytest.mark.parametrize("most,segments,hot", [(2, 2, 64), (2, 2, 1), (3, 2, 64), (3, 3, 1), (5, 3, 2), (1, 1, 64), (0, 2, 1)])
+@pytest.mark.parametrize("most,segments,hot", [(2, 2, 64), (2, 2, 1), (3, 2, 64), (3, 3, 1), (5, 3, 2), (6, 4, 64), (1, 1, 64), (0, 2, 1)])
 def test_links_are_complete(spark, monkeypatch, most, segments, hot):
     monkeypatch.setattr(simhash, "HOT", hot)
     rnd = random.Random(most)
@@ -368,3 +368,34 @@ def test_sketches_merge(spark):
     df = sketches.with_sketch(sketches.with_sketch(sketches.with_sketch(spark.createDataFrame([(a, b, " ".join(words))], "a string, b string, c string"), "a", "sa"), "b", "sb"), "c", "sc")
     r = df.select(sketches.merged(F.col("sa"), F.col("sb")).alias("m"), "sc", sketches.containment(F.col("sa"), F.col("sc")).alias("inside")).first()
     assert r.m == r.sc and r.inside >= 0.9
+
+
+# pipeline ----------------------------------------------------------------------------------------
+def test_pipeline_stages(spark):
+    import corpus_pipeline as P
+
+    assert [n for n, _ in P.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "suffix_dedup", "packing"]
+    docs = rows = documents(spark)
+    kept = {}
+    for name, stage in P.STAGES:
+        rows = stage(spark, rows, FOLDER)
+        if name != "packing":
+            assert rows.columns == docs.columns
+            rows = kept[name] = spark.createDataFrame(rows.collect(), docs.schema)
+    model = toxicity.learn_without_held_out(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    clean = {r.doc_id for r in toxicity.scores(docs, model).where("predicted = 0").collect()}
+    assert {r.doc_id for r in kept["toxicity"].collect()} == clean
+    texts = {r.doc_id: r.text for r in kept["toxicity"].collect()}
+    largest = {brute.low(t): d for d, t in sorted(texts.items())}
+    assert {r.doc_id for r in kept["exact_dedup"].collect()} == set(largest.values())
+    prints = [(d, brute.simhash(texts[d], 5)) for d in largest.values()]
+    assert {r.doc_id for r in kept["near_dedup"].collect()} == set(brute.groups_of(prints, 6)[0])
+    left = [(r.doc_id, r.text) for r in kept["near_dedup"].collect()]
+    want = {d: h for d, _, _, _, h in brute.repeated_bytes(left, 400)}
+    for r in kept["suffix_dedup"].collect():
+        assert r.n_chars == len(r.text) and (hashlib.sha256(r.text.encode()).hexdigest() == want[r.doc_id] or len(r.text) < len(texts[r.doc_id]))
+    tok = bpe.load(vocabulary("byte_bpe_50k.json"))
+    ids = defaultdict(list)
+    for r in sorted(rows.collect(), key=lambda r: r.start):
+        ids[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    assert ids == {r.doc_id: tok.encode(r.text, add_special_tokens=False).ids + [0] for r in kept["suffix_dedup"].collect()}
