@@ -62,7 +62,7 @@ TABLES = {
         CASE WHEN doc_id % 11 >= 9 THEN 'Promoter' WHEN doc_id % 11 >= 7 THEN 'Passive' ELSE 'Detractor' END AS nps_category,
         DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS submitted_date, text AS feedback_text, lang, source
         FROM documents""",
-    "knowledge_base": """SELECT doc_id AS article_id, left(text, 40) AS title, source AS category, lang AS product,
+    "knowledge_base": """SELECT doc_id AS article_id, source || ' ' || doc_id AS title, source AS category, lang AS product,
         text AS content FROM documents""",
     "chats": """SELECT conv_id AS conversation_id, conv_id % 50 AS user_id, 'agent_' || (conv_id % 3) AS agent_name,
         role AS message_role, text AS message_content, turn,

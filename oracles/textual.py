@@ -64,12 +64,13 @@ SUMMARY = f"""parts AS (SELECT feedback_id, unnest(ss) AS s, generate_subscripts
 
 def digest(groups: str, source: str, k: int) -> str:
     return f"""WITH src AS ({source}), dw AS (SELECT {groups}, unnest({toks('feedback_text')}) AS term FROM src),
-      tops AS (SELECT {groups}, term FROM (SELECT {groups}, term, count(*) AS n FROM dw WHERE length(term) >= 5 GROUP BY ALL)
-        QUALIFY row_number() OVER (PARTITION BY {groups} ORDER BY n DESC, term) <= 20),
-      lists AS (SELECT {groups}, list(term) AS terms FROM tops GROUP BY ALL),
+      tf AS (SELECT {groups}, term, count(*) AS tf FROM dw GROUP BY ALL),
+      df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({toks('feedback_text')})) AS term FROM src) GROUP BY 1),
+      wt AS (SELECT {groups}, term, tf * CAST(floor(1000.0::DOUBLE * ln(CAST((SELECT count(*) FROM src) + 1 AS DOUBLE) / df)) AS BIGINT) AS w FROM tf JOIN df USING (term)),
       se AS (SELECT {groups}, feedback_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM (SELECT {groups}, feedback_id, {sents('feedback_text')} AS ss FROM src)),
-      sh AS (SELECT {groups}, feedback_id, pos, s, len(list_intersect({toks('s')}, terms)) AS hits FROM se JOIN lists USING ({groups})),
-      pick AS (SELECT *, row_number() OVER (PARTITION BY {groups} ORDER BY hits DESC, feedback_id, pos) AS r FROM sh QUALIFY r <= {k}),
+      st AS (SELECT {groups}, feedback_id, pos, s, len(list_distinct({toks('s')})) AS n, unnest(list_distinct({toks('s')})) AS term FROM se),
+      sc AS (SELECT {groups}, feedback_id, pos, s, n, CAST(sum(w) AS BIGINT) // n AS score FROM st JOIN wt USING ({groups}, term) GROUP BY {groups}, feedback_id, pos, s, n),
+      pick AS (SELECT *, row_number() OVER (PARTITION BY {groups} ORDER BY score DESC, feedback_id, pos) AS r FROM sc QUALIFY r <= {k}),
       sz AS (SELECT {groups}, sum(length(feedback_text)) AS chars, count(*) AS texts FROM src GROUP BY ALL)
       SELECT {groups}, texts, string_agg(s, '. ' ORDER BY r) AS digest FROM pick JOIN sz USING ({groups}) WHERE chars > 100 GROUP BY ALL"""
 

@@ -1,8 +1,9 @@
-"""Repeatable pseudo-random picks from a key: pure 64-bit arithmetic, codegen-friendly.
+"""Repeatable pseudo-random picks from a key.
 
-Two multiplicative congruential steps modulo the prime 2**31 - 1. The same key
-and salt give the same number on every run, executor and engine, which
-``rand()`` does not.
+A draw is the first 48 bits of the MD5 digest of key and salt together, so that
+the draws of one key are independent of each other and any filter on one leaves
+the others even. The same key and salt give the same number on every run,
+executor and engine, which ``rand()`` does not.
 """
 
 from __future__ import annotations
@@ -10,18 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRIME = 2147483647
 
-
-def spread(key: Column, salt: int) -> Column:
-    """A number in [0, 2**31 - 1) from an integer key and a salt."""
-    first = F.pmod(F.pmod(key.cast("bigint"), F.lit(PRIME).cast("bigint")) * 48271 + F.lit(salt * 69621 + 12345).cast("bigint"), F.lit(PRIME).cast("bigint"))
-    return F.pmod(first * 16807, F.lit(PRIME).cast("bigint"))
+def mixed(key: Column, salt: int) -> Column:
+    """A number in [0, 2**48) from a key of any type and a salt."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{salt}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
 
 
 def below(key: Column, salt: int, n: int) -> Column:
     """An integer in [0, n)."""
-    return F.pmod(F.shiftright(spread(key, salt), 7), F.lit(n).cast("bigint")).cast("int")
+    return F.pmod(mixed(key, salt), F.lit(n).cast("bigint")).cast("int")
 
 
 def between(key: Column, salt: int, low: int, high: int) -> Column:

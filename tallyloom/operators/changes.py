@@ -72,10 +72,14 @@ def revenue_movements_as_written(feed: DataFrame, as_of: Column) -> DataFrame:
 
 def merge_dimension(
     dim: DataFrame, feed: DataFrame, key: str, tracked: Sequence[str], at: Column, surrogate: str,
-    mode: str = "versioned", close_deleted: bool = False,
+    mode: str = "versioned", close_deleted: bool = False, order: Sequence[str] = (),
 ) -> DataFrame:
     """Close changed rows of a slowly changing dimension and add their new versions.
 
+    A key may change several times in one feed: the last change by the ``order``
+    columns counts, an insert after a delete of the same moment. Without
+    ``order`` a key with two new images raises, as nothing says which is the last.
+
     Only current rows take part in the join; history passes through. With
     ``mode="as_written"`` a changed key is closed and its new version is not
     inserted. Deletes in the feed are ignored unless ``close_deleted``.
@@ -83,12 +87,16 @@ def merge_dimension(
     if mode not in ("versioned", "as_written"):
         raise ValueError(mode)
     attributes = [c for c in dim.columns if c not in (key, surrogate, "is_current", "effective_from", "effective_to")]
-    incoming = feed.filter("_action = 'INSERT'").select(F.col(key).alias("_key"), F.struct(*attributes).alias("_in"), F.lit(False).alias("_gone"))
-    if close_deleted:
-        gone = feed.filter("_action = 'DELETE' AND NOT _is_update").select(
-            F.col(key).alias("_key"), F.lit(None).cast(incoming.schema["_in"].dataType).alias("_in"), F.lit(True).alias("_gone")
-        )
-        incoming = incoming.unionByName(gone)
+    changes = feed.filter("_action = 'INSERT' OR NOT _is_update").select(
+        F.col(key).alias("_key"), F.when(F.col("_action") == "INSERT", F.struct(*attributes)).alias("_in"), F.struct(*order, F.col("_action") == "INSERT").alias("_at"),
+    )
+    last = changes.groupBy("_key").agg(F.max_by(F.struct("_in"), "_at").alias("_last"), F.count("_in").alias("_images"))
+    clash = F.raise_error(F.concat(F.lit("a key changes twice and no order is given: "), F.col("_key").cast("string"))).cast("boolean")
+    if not order:
+        last = last.filter(F.when(F.col("_images") > 1, clash).otherwise(True))
+    incoming = last.select("_key", F.col("_last._in").alias("_in"), F.col("_last._in").isNull().alias("_gone"))
+    if not close_deleted:
+        incoming = incoming.filter("NOT _gone")
 
     history, current = dim.filter("NOT is_current"), dim.filter("is_current")
     joined = current.join(incoming, F.col(key) == F.col("_key"), "full")

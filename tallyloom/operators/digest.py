@@ -8,28 +8,29 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import sentences, tokens
 
 
-def digest(texts: DataFrame, groups: list[str], key: str, on: str, top_terms: int = 20, k: int = 3, min_chars: int = 100, min_word: int = 5) -> DataFrame:
-    """The ``k`` sentences of each group that hold most of its leading terms.
+def digest(texts: DataFrame, groups: list[str], key: str, on: str, k: int = 3, min_chars: int = 100) -> DataFrame:
+    """The ``k`` sentences of each group with the highest mean TF-IDF of their distinct terms.
 
-    No text is concatenated and no group is gathered: term counts combine before
-    their shuffle, the leading terms of a group are a bounded list, sentences are
-    scored where their text lies, and the final ranks keep ``k`` rows per task
-    and group before anything moves.
+    A term's weight in a group is its count there times its rarity over all
+    texts, in whole thousandths so that sums are exact. No text is concatenated or
+    shuffled: sentences become (group, place, term) rows, which are counted and
+    weighed by term; only the winners' sentences are fetched, by text and place.
     """
     body = F.col(on)
-    words = texts.select(*groups, F.explode(tokens(body)).alias("term")).filter(F.length("term") >= min_word)
-    counts = words.groupBy(*groups, "term").agg(F.count("*").alias("n"))
-    lead = Window.partitionBy(*groups).orderBy(F.desc("n"), "term")
-    leading = counts.withColumn("r", F.row_number().over(lead)).filter(F.col("r") <= top_terms)
-    terms = leading.groupBy(*groups).agg(F.array_sort(F.collect_list("term")).alias("_terms"))
-
-    located = texts.join(terms, groups) if groups else texts.withColumn("_terms", terms.scalar())
-    scored = located.select(*groups, key, "_terms", F.posexplode(sentences(body)).alias("position", "sentence")).select(
-        *groups, key, "position", "sentence", F.size(F.array_intersect(tokens(F.col("sentence")), F.col("_terms"))).alias("hits")
-    )
-    best = Window.partitionBy(*groups).orderBy(F.desc("hits"), key, "position")
-    top = scored.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
-    picked = top.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("r", "sentence"))).alias("_s"))
+    places = texts.select(*groups, key, F.posexplode(F.transform(sentences(body), lambda s: F.array_distinct(tokens(s)))).alias("position", "_terms"))
+    words = places.select(*groups, key, "position", F.size("_terms").alias("_n"), F.explode("_terms").alias("term"))
+    counts = texts.select(*groups, F.explode(tokens(body)).alias("term")).groupBy(*groups, "term").agg(F.count("*").alias("tf"))
+    spread = texts.select(F.explode(F.array_distinct(tokens(body))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    total = texts.agg(F.count("*")).scalar()
+    rarity = F.floor(F.lit(1000.0) * F.log((total + 1).cast("double") / F.col("df"))).cast("bigint")
+    weights = counts.join(spread, "term").select(*groups, "term", (F.col("tf") * rarity).alias("w"))
+
+    scored = words.join(weights, [*groups, "term"]).groupBy(*groups, key, "position", "_n").agg(F.sum("w").alias("w"))
+    best = Window.partitionBy(*groups).orderBy(F.expr("w div _n").desc(), key, "position")
+    top = scored.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).select(key, "position", "r", *[F.col(g).alias(f"_{g}") for g in groups])
+    # a bounded table: k rows for each group
+    told = texts.join(top, key).withColumn("sentence", F.get(sentences(body), F.col("position")))
+    picked = told.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("r", "sentence"))).alias("_s"))
 
     sizes = texts.groupBy(*groups).agg(F.sum(F.length(body)).alias("chars"), F.count("*").alias("texts"))
     sized = picked.join(sizes, groups) if groups else picked.withColumn("_z", sizes.select(F.struct("chars", "texts")).scalar()).select("_s", "_z.*")

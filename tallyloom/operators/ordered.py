@@ -79,7 +79,8 @@ def ordered_scan(
         out.append(F.col("_group_n").alias(group_rows))
     for n, c in running.items():
         local = F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-        out.append((F.coalesce(F.col(f"_sum_{n}"), F.lit(0)) + local).alias(n))
+        earlier = F.col(f"_sum_{n}")  # null while every value so far is null, as a window's sum is
+        out.append(F.when(earlier.isNull(), local).otherwise(earlier + F.coalesce(local, F.lit(0))).alias(n))
     for n, c in lag.items():
         local = F.lag(F.struct(F.col(c))).over(inside)
         out.append(F.coalesce(local, F.col(f"_last_{n}"))[c].alias(n))

@@ -49,21 +49,26 @@ def search(docs: DataFrame, key: str, on: str, query: str, columns: list[str], l
     return rows.join(winners, key).orderBy(F.desc("score"), key)
 
 
-def build_index(docs: DataFrame, key: str, on: str) -> DataFrame:
+def build_index(docs: DataFrame, key: str, on: str, buckets: int = 64) -> DataFrame:
     """Postings (term, key, tf, length), ready to be written partitioned by ``bucket``.
 
+    ``buckets`` grows with the vocabulary, not with the documents; it is stored
+    with every posting, so a search needs no setting.
+
     Each document sits in one row, so the partial aggregate collapses its
     repeats before the shuffle, and a frequent term is spread over its documents.
     """
     words = docs.select(key, tokens(F.col(on)).alias("_t")).select(key, F.size("_t").alias("length"), F.explode("_t").alias("term"))
     postings = words.groupBy("term", key, "length").agg(F.count("*").alias("tf"))
-    return postings.withColumn("bucket", F.pmod(F.hash("term"), F.lit(64)))
+    return postings.withColumns({"buckets": F.lit(buckets), "bucket": F.pmod(F.hash("term"), F.lit(buckets))})
 
 
 def search_index(index: DataFrame, key: str, query: str, limit: int, n_docs: int, avg_length: float) -> DataFrame:
     """BM25 from the index: the term filter prunes buckets and row groups of the written postings."""
     terms = sorted(set(question_tokens(query)))
-    buckets = F.col("bucket").isin([r[0] for r in index.sparkSession.createDataFrame([(t,) for t in terms], "t string").select(F.pmod(F.hash("t"), F.lit(64))).collect()])
+    known = index.select("buckets").first()
+    made = index.sparkSession.createDataFrame([(t,) for t in terms], "t string").select(F.pmod(F.hash("t"), F.lit(known[0] if known else 1)))
+    buckets = F.col("bucket").isin([r[0] for r in made.collect()])
     hits = index.filter(buckets & F.col("term").isin(terms))
     frequency = hits.groupBy("term").agg(F.count("*").alias("df"))
     score = _idf(F.lit(float(n_docs)), F.col("df")) * _weight(F.col("tf").cast("double"), F.col("length"), F.lit(avg_length))

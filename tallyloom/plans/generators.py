@@ -25,17 +25,17 @@ INDUSTRIES = ["Advisor", "Bank", "Broker", "Family Office", "Insurance", "Trust"
 STATES = ["CA", "CO", "FL", "GA", "IL", "MA", "NY", "OH", "TX", "WA"]
 FIRST = ["Ada", "Ben", "Cora", "Dan", "Eva", "Finn", "Gia", "Hugo", "Ida", "Jon"]
 LAST = ["Abel", "Berg", "Cruz", "Dahl", "Ekman", "Fox", "Grant", "Holt"]
-ROLES = ["Admin", "Advisor", "Analyst", "Compliance", "Director", "Manager"]
+ROLES = ["Editor", "Observer", "Owner", "Planner", "Reviewer"]
 PRODUCTS = ["Archive", "Campaigns", "Insights", "Messaging", "Sites", "Social"]
 TIERS = ["Starter", "Professional", "Enterprise"]
 STATUSES = ["Active"] * 7 + ["Cancelled", "Paused"]  # weights by repetition
 PRAISE = ["Love the templates, great results.", "Excellent support, quick and helpful.", "The reports are outstanding."]
 NEUTRAL = ["Good overall, the scheduler could be simpler.", "Does what we need.", "Useful, with a few minor bugs."]
 BLAME = ["Too expensive for what it does.", "Email delivery failed twice and support was slow.", "The app crashes and reports are confusing."]
-CHANNELS = ["Direct", "Event", "Marketing", "Partner", "Referral", "Webinar"]
-CATEGORIES = ["Billing", "Compliance", "Feature Request", "Technical", "Training"]
-STAGES = ["Discovery", "Demo", "Proposal", "Negotiation", "Closed Won", "Closed Lost"]
-ODDS = [10, 25, 50, 75, 100, 0]
+CHANNELS = ["Cold Call", "Newsletter", "Podcast", "Reseller", "Search Ad"]
+CATEGORIES = ["Access", "Data Import", "Delivery", "Invoice", "Outage", "Report Layout"]
+PIPELINE = [("Lead In", 5), ("Scoping", 20), ("Pilot", 45), ("Contract Sent", 85), ("Won", 100), ("Lost", 0)]  # stage and chance in percent
+DEALS = ["First Contract"] * 7 + ["Extension"] * 3
 
 
 def seeds(spark: SparkSession, n: int) -> DataFrame:
@@ -51,15 +51,18 @@ def _days_ago(days: Column) -> Column:
 
 
 def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """Zeros fill up short numbers; long ones stay whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits))
 
 
 def _key(*parts: Column) -> Column:
-    """A child key from a parent key and child numbers below 1000."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out * 1000 + p
-    return out
+    """A child key from a parent key and child numbers of any size."""
+    return F.concat_ws("-", *[p.cast("string") for p in parts])
+
+
+def _named(prefix: str, key: Column) -> Column:
+    return F.concat(F.lit(prefix), key)
 
 
 # -- compact star ---------------------------------------------------------------
@@ -97,7 +100,7 @@ def subscriptions(people: DataFrame) -> DataFrame:
     spread = between(s, 33, 0, 2499)
     mrr = F.when(segment == "Enterprise", 500 + spread).when(segment == "Mid-Market", 200 + spread % 800).otherwise(50 + spread % 350)
     return expanded.select(
-        _padded("S", _key(F.col("k"), F.col("n")), 12).alias("subscription_id"), "customer_id", pick(s, 31, PRODUCTS).alias("product"), mrr.cast("int").alias("mrr"),
+        _named("S", s).alias("subscription_id"), "customer_id", pick(s, 31, PRODUCTS).alias("product"), mrr.cast("int").alias("mrr"),
         pick(s, 32, STATUSES).alias("status"), F.date_add("created_date", between(s, 34, 0, 29)).alias("start_date"),
     )
 
@@ -115,11 +118,11 @@ def feedback(people: DataFrame) -> DataFrame:
 
 def star_customers(seed: DataFrame) -> DataFrame:
     k, segment, draw = F.col("k"), F.col("segment"), below(F.col("k"), 53, 100)
-    status = F.when(draw < 85, "Active").when(draw < 92, "Churned").when(draw < 97, "Paused").otherwise("Trial")
+    status = F.when(draw < 78, "Active").when(draw < 88, "Churned").when(draw < 94, "Paused").otherwise("Trial")
     band = F.when(segment == "SMB", pick(k, 55, ["1-5", "6-20"])).when(segment == "Mid-Market", pick(k, 55, ["21-50", "51-100"])).otherwise("100+")
     return customers(seed).select(
         "k", "customer_id", "company_name", "segment", "industry", "state", "created_date", pick(k, 51, CHANNELS).alias("acquisition_channel"),
-        F.concat(F.lit("CSM"), below(k, 52, 10)).alias("csm_owner"), status.alias("account_status"), (below(k, 54, 100) < 15).alias("is_strategic_account"), band.alias("employee_count_band"),
+        F.concat(F.lit("Desk "), below(k, 52, 10)).alias("csm_owner"), status.alias("account_status"), (below(k, 54, 100) < 15).alias("is_strategic_account"), band.alias("employee_count_band"),
     )
 
 
@@ -128,7 +131,7 @@ def star_users(accounts: DataFrame) -> DataFrame:
     expanded = accounts.withColumn("n", F.explode(F.sequence(F.lit(1), most)))
     u, live = _key(F.col("k"), F.col("n")), F.col("account_status") == "Active"
     return expanded.select(
-        u.alias("u"), F.col("k"), _padded("USER-", u, 12).alias("user_id"), "customer_id", pick(u, 61, FIRST).alias("first_name"), pick(u, 62, LAST).alias("last_name"), pick(u, 63, ROLES).alias("role"),
+        u.alias("u"), F.col("k"), _named("USER-", u).alias("user_id"), "customer_id", pick(u, 61, FIRST).alias("first_name"), pick(u, 62, LAST).alias("last_name"), pick(u, 63, ROLES).alias("role"),
         F.date_add("created_date", between(u, 64, 0, 365)).alias("created_date"), F.when(live, _days_ago(between(u, 65, 0, 30))).otherwise(_days_ago(between(u, 65, 30, 180))).alias("last_login_date"),
         between(u, 66, 5, 500).alias("login_count"), (F.col("n") == 1).alias("is_primary_contact"),
         F.when(live & (below(u, 67, 100) < 92), "Active").otherwise("Inactive").alias("user_status"), (below(u, 68, 100) < 70).alias("mfa_enabled"),
@@ -143,7 +146,7 @@ def star_subscriptions(accounts: DataFrame) -> DataFrame:
     price = between(s, 72, 49, 899)
     start = F.date_add("created_date", between(s, 74, 0, 90))
     return expanded.select(
-        _padded("SUB-", s, 12).alias("subscription_id"), "customer_id", F.get(F.array(*map(F.lit, PRODUCTS)), (below(F.col("k"), 71, 6) + F.col("n")) % 6).alias("product_name"),
+        _named("SUB-", s).alias("subscription_id"), "customer_id", F.get(F.array(*map(F.lit, PRODUCTS)), (below(F.col("k"), 71, 6) + F.col("n")) % 6).alias("product_name"),
         pick(s, 75, TIERS).alias("plan_tier"), F.when(below(s, 76, 100) < 70, "Annual").otherwise("Monthly").alias("billing_frequency"), start.alias("start_date"),
         F.when(status == "Churned", F.add_months(start, between(s, 77, 3, 24))).alias("end_date"),
         F.when(status == "Churned", "Cancelled").when(status == "Paused", "Pending").otherwise("Active").alias("status"),
@@ -180,22 +183,22 @@ def star_nps(members: DataFrame) -> DataFrame:
     asked = members.filter(F.col("is_primary_contact") & (below(u, 100, 10) < 3)).withColumn("nps_score", between(u, 101, 0, 10))
     category = F.when(score <= 6, "Detractor").when(score <= 8, "Passive").otherwise("Promoter")
     text = F.when(below(u, 103, 10) < 4, F.lit(None)).otherwise(pick(u, 104, PRAISE + NEUTRAL + BLAME))
-    return asked.select(_padded("NPS-", u, 12).alias("response_id"), "customer_id", "user_id", _days_ago(between(u, 102, 0, 365)).alias("survey_date"), "nps_score", category.alias("nps_category"), text.alias("feedback_text"))
+    return asked.select(_named("NPS-", u).alias("response_id"), "customer_id", "user_id", _days_ago(between(u, 102, 0, 365)).alias("survey_date"), "nps_score", category.alias("nps_category"), text.alias("feedback_text"))
 
 
 def star_tickets(members: DataFrame) -> DataFrame:
     u, draw = F.col("u"), below(F.col("u"), 112, 100)
-    status = F.when(draw < 70, "Resolved").when(draw < 80, "Closed").when(draw < 90, "In Progress").when(draw < 95, "Waiting on Customer").otherwise("Open")
+    status = F.when(draw < 58, "Resolved").when(draw < 74, "Closed").when(draw < 86, "In Progress").when(draw < 93, "Waiting on Customer").otherwise("Open")
     return members.filter(below(u, 110, 10) < 4).select(
-        _padded("TKT-", u, 12).alias("ticket_id"), "customer_id", "user_id", _days_ago(between(u, 111, 0, 365)).alias("created_date"), pick(u, 113, CATEGORIES).alias("category"),
+        _named("TKT-", u).alias("ticket_id"), "customer_id", "user_id", _days_ago(between(u, 111, 0, 365)).alias("created_date"), pick(u, 113, CATEGORIES).alias("category"),
         pick(u, 114, ["Medium"] * 5 + ["Low"] * 3 + ["High", "Urgent"]).alias("priority"), status.alias("status"), between(u, 115, 1, 72).alias("resolution_time_hours"),
-        between(u, 116, 1, 5).alias("csat_score"), (below(u, 117, 100) < 92).alias("sla_met"), F.concat(F.lit("Customer inquiry regarding "), F.lower(pick(u, 113, CATEGORIES))).alias("ticket_summary"),
+        between(u, 116, 1, 5).alias("csat_score"), (below(u, 117, 100) < 92).alias("sla_met"), F.concat(F.lit("Question about "), F.lower(pick(u, 113, CATEGORIES))).alias("ticket_summary"),
     )
 
 
 def star_leads(seed: DataFrame) -> DataFrame:
     k, draw = F.col("k"), below(F.col("k"), 122, 100)
-    status = F.when(draw < 20, "New").when(draw < 40, "Contacted").when(draw < 70, "Qualified").when(draw < 85, "Converted").otherwise("Unqualified")
+    status = F.when(draw < 24, "New").when(draw < 42, "Contacted").when(draw < 67, "Qualified").when(draw < 81, "Converted").otherwise("Unqualified")
     return seed.select(
         "k", _padded("LEAD-", k, 9).alias("lead_id"), F.concat_ws(" ", pick(k, 120, PREFIXES), pick(k, 121, SUFFIXES)).alias("company_name"), pick(k, 123, CHANNELS).alias("lead_source"),
         _days_ago(between(k, 124, 0, 365)).alias("created_date"), status.alias("lead_status"), F.when(below(k, 125, 10) < 6, _days_ago(between(k, 126, 0, 365))).alias("mql_date"),
@@ -203,13 +206,13 @@ def star_leads(seed: DataFrame) -> DataFrame:
 
 
 def star_opportunities(leads: DataFrame) -> DataFrame:
-    k, at = F.col("k"), below(F.col("k"), 131, len(STAGES))
+    k, at = F.col("k"), below(F.col("k"), 131, len(PIPELINE))
     open_leads = leads.filter(F.col("lead_status").isin("Qualified", "Converted") & (below(k, 130, 10) < 8))
-    stage = F.get(F.array(*map(F.lit, STAGES)), at)
+    stage = F.get(F.array(*[F.lit(s) for s, _ in PIPELINE]), at)
     return open_leads.select(
-        _padded("OPP-", k, 9).alias("opportunity_id"), "lead_id", F.concat(F.col("company_name"), F.lit(" - "), pick(k, 132, ["New Business", "Platform Upgrade"])).alias("opportunity_name"), stage.alias("stage"),
-        F.get(F.array(*map(F.lit, ODDS)), at).alias("probability"), between(k, 133, 5000, 100000).alias("amount"), F.date_add("created_date", between(k, 134, 30, 120)).alias("close_date"),
-        F.when(stage.like("Closed%"), F.date_add("created_date", between(k, 135, 30, 90))).alias("actual_close_date"),
+        _padded("OPP-", k, 9).alias("opportunity_id"), "lead_id", F.concat(F.col("company_name"), F.lit(" - "), pick(k, 132, DEALS)).alias("opportunity_name"), stage.alias("stage"),
+        F.get(F.array(*[F.lit(p) for _, p in PIPELINE]), at).alias("probability"), between(k, 133, 5000, 100000).alias("amount"), F.date_add("created_date", between(k, 134, 30, 120)).alias("close_date"),
+        F.when(stage.isin("Won", "Lost"), F.date_add("created_date", between(k, 135, 30, 90))).alias("actual_close_date"),
     )
 
 

@@ -100,33 +100,32 @@ def subscription_metrics(lab: Lab) -> DataFrame:
 
 # -- semantic views --------------------------------------------------------------
 
-# Column comments (fixed values)
 CUSTOMER_COLUMNS = {
-    "customer_id": "Unique identifier for each customer account", "customer_name": "Company or firm name", "customer_segment": "Customer size segment",
-    "industry": "Primary industry", "state": "State where the customer is located", "account_status": "Current status: Active, Churned, Paused, or Trial",
-    "customer_success_manager": "Assigned manager name", "customer_since_date": "Date the customer first signed up", "customer_tenure_months": "Number of months as a customer",
-    "customer_tenure_years": "Number of years as a customer", "overall_health_score": "Overall health score from 0-100", "usage_score": "Component score for platform usage",
-    "engagement_score": "Component score for engagement", "support_score": "Component score for support interactions", "payment_score": "Component score for payment history",
-    "churn_risk": "Churn risk level: Low, Medium, High, or Critical", "health_trend": "Trend: Improving, Stable, or Declining",
+    "customer_id": "Key of the account", "customer_name": "Name the account signs with", "customer_segment": "Market the account is counted in", "industry": "Line of business, from the region",
+    "state": "Nation the account is registered in", "account_status": "State of the contract as a whole", "customer_success_manager": "Who looks after the account",
+    "customer_since_date": "Day of the first contract", "customer_tenure_months": "Calendar months since that day", "customer_tenure_years": "Calendar years since that day",
+    "overall_health_score": "Weighted mean of the five component scores, 0 to 100", "usage_score": "Health component: how much is used", "engagement_score": "Health component: how often people return",
+    "support_score": "Health component: how smoothly requests end", "payment_score": "Health component: how promptly bills are paid", "churn_risk": "Band of the overall health score",
+    "health_trend": "Direction of the health score since the snapshot before",
 }
 REVENUE_COLUMNS = {
-    "subscription_id": "Unique identifier for each subscription", "customer_id": "Related customer account", "customer_name": "Company name", "customer_segment": "Customer segment",
-    "industry": "Customer industry", "product_name": "Product", "plan_tier": "Subscription tier", "subscription_status": "Status of the subscription",
-    "subscription_start_date": "When the subscription began", "subscription_end_date": "When it ended", "cohort_month": "Month started", "cohort_quarter": "Quarter started",
-    "cohort_year": "Year started", "monthly_recurring_revenue": "Monthly recurring revenue", "annual_recurring_revenue": "Annual recurring revenue",
-    "net_mrr": "Revenue after discounts", "discount_percent": "Discount percentage",
+    "subscription_id": "Key of the contract line", "customer_id": "Account that pays", "customer_name": "Name of the paying account", "customer_segment": "Market of the paying account",
+    "industry": "Line of business of the paying account", "product_name": "What is subscribed to", "plan_tier": "Size of the plan", "subscription_status": "State of the contract line",
+    "subscription_start_date": "First day that is billed", "subscription_end_date": "Last day that is billed, empty while it runs", "cohort_month": "Month of the first billed day", "cohort_quarter": "Quarter of the first billed day",
+    "cohort_year": "Year of the first billed day", "monthly_recurring_revenue": "List price per month", "annual_recurring_revenue": "List price per twelve months",
+    "net_mrr": "Price per month with the discount taken off", "discount_percent": "Share of the list price that is waived",
 }
 USAGE_COLUMNS = {
-    "usage_date": "Date of usage", "usage_week": "Week of usage", "usage_month": "Month of usage", "day_of_week": "Day name", "customer_id": "Customer account",
-    "customer_name": "Company name", "customer_segment": "Customer segment", "industry": "Customer industry", "user_id": "User", "emails_sent": "Emails sent",
-    "emails_opened": "Emails opened", "emails_clicked": "Links clicked", "email_open_rate": "Percentage opened", "email_click_rate": "Percentage of opened clicked",
-    "social_posts": "Social posts", "messages_sent": "Text messages sent", "total_messages": "Total message volume", "total_logins": "Logins", "session_minutes": "Session minutes",
+    "usage_date": "Day the activity is counted on", "usage_week": "Monday of that day's week", "usage_month": "First of that day's month", "day_of_week": "Weekday in words", "customer_id": "Account of the person",
+    "customer_name": "Name of that account", "customer_segment": "Market of that account", "industry": "Line of business of that account", "user_id": "Person who was active", "emails_sent": "Mails that left",
+    "emails_opened": "Mails that a recipient read", "emails_clicked": "Mails whose link was followed", "email_open_rate": "Read mails per hundred sent", "email_click_rate": "Followed mails per hundred read",
+    "social_posts": "Posts on networks", "messages_sent": "Short messages that left", "total_messages": "Mails, posts and short messages together", "total_logins": "Times the person came in", "session_minutes": "Minutes the person stayed",
 }
 SUPPORT_COLUMNS = {
-    "ticket_id": "Unique ticket identifier", "customer_id": "Customer account", "customer_name": "Company name", "customer_segment": "Customer segment",
-    "ticket_category": "Category", "ticket_priority": "Priority level", "ticket_status": "Current status", "ticket_created_date": "When opened", "ticket_month": "Month opened",
-    "resolution_time_hours": "Hours to resolve", "customer_satisfaction_score": "Satisfaction rating 1-5", "sla_met": "Whether the service level was met",
-    "is_resolved": "1 when resolved", "is_high_priority": "1 when high or urgent",
+    "ticket_id": "Key of the request", "customer_id": "Account that asks", "customer_name": "Name of that account", "customer_segment": "Market of that account",
+    "ticket_category": "Subject of the request", "ticket_priority": "Urgency as set on arrival", "ticket_status": "State of the request", "ticket_created_date": "Day of arrival", "ticket_month": "Month of arrival",
+    "resolution_time_hours": "Hours from arrival to answer", "customer_satisfaction_score": "Grade the asker gave, 1 to 5", "sla_met": "True if the answer came in time",
+    "is_resolved": "1 once answered, for sums", "is_high_priority": "1 for the two most urgent levels, for sums",
 }
 
 
@@ -162,7 +161,7 @@ def product_view_query(lab: Lab) -> DataFrame:
     return _paying(lab).groupBy("product_name").agg(dbl(F.sum("mrr")).alias("total_mrr"), F.count("*").alias("subscriptions"))
 
 
-# question -> (view, category, query)
+# question -> (view, category, query); the questions are fixed values
 VERIFIED = {
     "verified_01": ("How many active customers do we have?", "Customer", lambda lab: _live(lab).agg(F.count("*").alias("active_customers"))),
     "verified_02": ("What is the breakdown of customers by segment?", "Customer", lambda lab: _live(lab).groupBy("customer_segment").agg(F.count("*").alias("customer_count"))),

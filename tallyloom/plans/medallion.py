@@ -40,7 +40,7 @@ def field(name: str, to: str = "string") -> Column:
 
 def bronze_customers(lab: Lab) -> DataFrame:
     """A first full load and a later batch with corrected revenue, some bad scores and bad dates."""
-    base = lab.customers(geo=True, wide=True).select("customer_id", "company_name", "segment", "industry", "mrr", "health_score", F.col("created_date").cast("string").alias("created_date"))
+    base = lab.customers(geo=True).select("customer_id", "company_name", "segment", "industry", "mrr", "health_score", F.col("created_date").cast("string").alias("created_date"))
     later = base.filter("customer_id % 10 = 0").withColumns({
         "mrr": (F.col("mrr") + 100).cast("decimal(18,2)"),
         "health_score": F.when(F.col("customer_id") % 50 == 0, F.lit(101)).when(F.col("customer_id") % 70 == 0, F.lit(None)).otherwise(F.col("health_score")),
@@ -50,14 +50,14 @@ def bronze_customers(lab: Lab) -> DataFrame:
 
 
 def bronze_subscriptions(lab: Lab) -> DataFrame:
-    base = lab.subscriptions(wide=True).select(
+    base = lab.subscriptions().select(
         "subscription_id", "customer_id", F.col("product_name").alias("product"), F.col("mrr_amount").alias("mrr"), "status", F.col("start_date").cast("string").alias("start_date")
     )
     return land(base, "billing", "batch_2024_001", FIRST_LOAD)
 
 
 def bronze_users(lab: Lab) -> DataFrame:
-    return land(lab.users(wide=True).select("user_id", "customer_id", "email", "phone", "full_name", "role"), "identity", "batch_2024_001", FIRST_LOAD)
+    return land(lab.users().select("user_id", "customer_id", "email", "phone", "full_name", "role"), "identity", "batch_2024_001", FIRST_LOAD)
 
 
 # -- silver ------------------------------------------------------------------
@@ -69,7 +69,7 @@ def to_silver_customers(bronze: DataFrame) -> DataFrame:
         field("INDUSTRY").alias("industry"), field("MRR", "decimal(18,2)").alias("mrr"), field("HEALTH_SCORE", "int").alias("health_score"),
         F.try_to_date(field("CREATED_DATE"), "yyyy-MM-dd").alias("created_date"), "_source_system", "_ingested_at", "_batch_id",
     )
-    newest = latest_per_key(typed, ["customer_id"], ["_ingested_at", "_batch_id"]).drop("_batch_id")
+    newest = latest_per_key(typed.withColumn("_tie", F.xxhash64(*typed.columns)), ["customer_id"], ["_ingested_at", "_batch_id", "_tie"]).drop("_tie").drop("_batch_id")
     return newest.withColumn("_dq_status", F.when(F.col("health_score").between(0, 100), labels.QUALITY["valid"]).otherwise(labels.QUALITY["bad_score"]))
 
 

@@ -118,9 +118,9 @@ def ranked_customers(lab: Lab) -> DataFrame:
         row_number="segment_rank", group_rows="segment_customer_count",
         lag={"prev_customer_mrr": "total_mrr"}, lead={"next_customer_mrr": "total_mrr"},
     )
-    ties = ranked.groupBy("segment", F.coalesce("total_mrr", F.lit(-1).cast(MONEY)).alias("_mrr")).agg(F.max("segment_rank").alias("_last"))
+    ties = ranked.groupBy(F.col("segment").alias("_segment"), F.col("total_mrr").alias("_mrr")).agg(F.max("segment_rank").alias("_last"))
     totals = per.groupBy("segment").agg(F.sum("total_mrr").alias("segment_total_mrr"), mean("total_mrr", 2).alias("segment_avg_mrr"))
-    out = ranked.withColumn("_mrr", F.coalesce("total_mrr", F.lit(-1).cast(MONEY))).join(ties, ["segment", "_mrr"]).join(totals, "segment")
+    out = ranked.join(ties, F.col("segment").eqNullSafe(F.col("_segment")) & F.col("total_mrr").eqNullSafe(F.col("_mrr"))).join(totals, "segment")
     return out.select(
         "customer_id", "segment", dbl("total_mrr").alias("total_mrr"), "segment_rank",
         rounded(safe_div(F.col("segment_customer_count") - F.col("_last"), F.col("segment_customer_count") - 1), 6).alias("mrr_percentile"),
@@ -186,7 +186,7 @@ def cohort_revenue(lab: Lab) -> DataFrame:
     )
 
 
-def _revenue_by_month(lab: Lab, since: str | None = None) -> DataFrame:
+def _revenue_by_month(lab: Lab, since: Column | None = None) -> DataFrame:
     s = lab.subscriptions(since=since).select("subscription_id", "customer_id", "product_name", "plan_tier", "mrr_amount", "arr_amount", "status", month_of("start_date").alias("revenue_month"))
     c = lab.customers(geo=True).select("customer_id", "segment", "industry")
     return s.join(c, "customer_id").groupBy("revenue_month", "segment", "industry", "product_name", "plan_tier").agg(
@@ -206,7 +206,7 @@ def revenue_churn(lab: Lab) -> DataFrame:
 
 
 def revenue_six_months(lab: Lab) -> DataFrame:
-    recent = _revenue_by_month(lab, since="2001-02-02").filter(F.col("revenue_month") >= months_before(ORDERS_AS_OF, 6))
+    recent = _revenue_by_month(lab, since=months_before(ORDERS_AS_OF, 6)).filter(F.col("revenue_month") >= months_before(ORDERS_AS_OF, 6))
     return recent.groupBy("segment", "product_name").agg(
         dbl(F.sum("total_mrr")).alias("total_mrr"), F.sum("customer_count").alias("customers")
     )
@@ -457,7 +457,7 @@ def analytics_base_support(lab: Lab) -> DataFrame:
 
 
 def _mrr_history(lab: Lab) -> DataFrame:
-    recent = lab.subscriptions(since="1999-08-02").filter(F.col("status") == "Active")  # 24 months
+    recent = lab.subscriptions(since=months_before(ORDERS_AS_OF, 24)).filter(F.col("status") == "Active")
     return recent.groupBy(month_of("start_date").alias("month")).agg(
         F.sum("mrr_amount").alias("total_mrr"), F.count_distinct("customer_id").alias("customer_count")
     )
@@ -511,7 +511,7 @@ def compare_periods(current: DataFrame, prior: DataFrame, keys: list[str], measu
 
 def new_mrr_compare(lab: Lab) -> DataFrame:
     """Revenue that started last month against the month before, by segment, industry and product."""
-    started = lab.subscriptions(since="2001-06-01").withColumn("m", month_of("start_date")).join(lab.customers(geo=True).select("customer_id", "segment", "industry"), "customer_id")
+    started = lab.subscriptions(since=F.trunc(months_before(ORDERS_AS_OF, 2), "month")).withColumn("m", month_of("start_date")).join(lab.customers(geo=True).select("customer_id", "segment", "industry"), "customer_id")
     keys = ["segment", "industry", "product_name"]
     month = lambda back: started.filter(F.col("m") == F.trunc(months_before(ORDERS_AS_OF, back), "month")).groupBy(*keys).agg(F.sum("mrr_amount").alias("mrr"))
     return compare_periods(month(1), month(2), keys, "mrr")

@@ -7,11 +7,11 @@ this class by one that reads its own tables with the same columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import safe_div
-from tallyloom.sources.tables import scan, spread
+from tallyloom.sources.tables import scan
 
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
@@ -42,14 +42,12 @@ class Lab:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def raw(self, name: str, wide: bool = False) -> DataFrame:
-        """A stored table; ``wide`` asks for every core even when the file has few splits."""
-        table = scan(self.spark, self.folder, name)
-        return spread(table) if wide else table
+    def raw(self, name: str) -> DataFrame:
+        return scan(self.spark, self.folder, name)
 
     # -- customers, subscriptions, users ---------------------------------
 
-    def customers(self, geo: bool = False, wide: bool = False) -> DataFrame:
+    def customers(self, geo: bool = False) -> DataFrame:
         """Customer accounts; ``geo`` adds industry (region) and state (nation)."""
         columns = [
             "c_custkey AS customer_id",
@@ -62,7 +60,7 @@ class Lab:
             "concat('CSM', c_custkey % 10) AS csm_owner",
             "date_add(DATE'1993-01-01', CAST(c_custkey % 730 AS INT)) AS created_date",
         ]
-        base = self.raw("customer", wide)
+        base = self.raw("customer")
         if geo:
             base = base.join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
                 self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -70,11 +68,11 @@ class Lab:
             columns += ["r_name AS industry", "n_name AS state"]
         return base.selectExpr(*columns)
 
-    def subscriptions(self, wide: bool = False, since: str | None = None) -> DataFrame:
+    def subscriptions(self, since: Column | None = None) -> DataFrame:
         """Subscriptions; ``since`` drops earlier starts on the raw column, so the scan can skip row groups."""
-        base = self.raw("orders", wide)
-        if since:
-            base = base.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+        base = self.raw("orders")
+        if since is not None:
+            base = base.filter(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
         return base.selectExpr(
             "o_orderkey AS subscription_id",
             "o_custkey AS customer_id",
@@ -89,9 +87,9 @@ class Lab:
                AS end_date""",
         )
 
-    def users(self, wide: bool = False) -> DataFrame:
+    def users(self) -> DataFrame:
         """Two or three users per customer, replicated by an explode with a per-row bound."""
-        base = self.raw("customer", wide).withColumn(
+        base = self.raw("customer").withColumn(
             "n", F.explode(F.sequence(F.lit(1), (2 + F.col("c_custkey") % 2).cast("int")))
         )
         return base.selectExpr(
@@ -155,10 +153,10 @@ class Lab:
 
     # -- text -------------------------------------------------------------
 
-    def feedback(self, wide: bool = False) -> DataFrame:
+    def feedback(self) -> DataFrame:
         """Survey answers: document text, its author account, score and date."""
         accounts = self.raw("customer").agg(F.count("*")).scalar()
-        return self.raw("documents", wide).withColumn("accounts", accounts).selectExpr(
+        return self.raw("documents").withColumn("accounts", accounts).selectExpr(
             "doc_id AS feedback_id",
             "doc_id % accounts AS customer_id",
             "CAST(doc_id % 11 AS INT) AS nps_score",
@@ -168,9 +166,9 @@ class Lab:
             "lang", "source",
         )
 
-    def knowledge_base(self, wide: bool = False) -> DataFrame:
-        return self.raw("documents", wide).selectExpr(
-            "doc_id AS article_id", "left(text, 40) AS title", "source AS category", "lang AS product", "text AS content"
+    def knowledge_base(self) -> DataFrame:
+        return self.raw("documents").selectExpr(
+            "doc_id AS article_id", "source || ' ' || doc_id AS title", "source AS category", "lang AS product", "text AS content"
         )
 
     def conversations(self) -> DataFrame:

@@ -33,16 +33,6 @@ def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for CPU-bound row work when a scan has fewer splits than cores.
-
-    Apply it to a plain scan. Files of many row groups pass through unchanged,
-    so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Copy or materialise a frame (CREATE TABLE AS, truncate-and-reload) and read it back."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

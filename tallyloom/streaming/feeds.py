@@ -8,7 +8,7 @@ replaced as a whole, so a repeat changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,14 +55,17 @@ def read_usage(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-def dimension_batch(target: str, key: str, tracked: list[str], surrogate: str, at: Column) -> Callable[[DataFrame, int], None]:
-    """Merge a batch of change rows into the newest dimension version older than this batch."""
+def dimension_batch(target: str, key: str, tracked: list[str], surrogate: str, at: Column, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Merge a batch of change rows into the newest dimension version older than this batch.
+
+    A batch of several files can change a key several times; ``order`` names the columns that tell the last change.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         versions = batch.sparkSession.read.parquet(target)
         base_id = versions.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
         base = versions.filter(F.col("batch_id") == base_id).drop("batch_id")
-        merged = merge_dimension(base, batch, key, tracked, at, surrogate)
+        merged = merge_dimension(base, batch, key, tracked, at, surrogate, order=order)
         merged.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return apply

@@ -17,7 +17,7 @@ from tallyloom.operators.ordered import dense_ids, group_median, ordered_scan, r
 from tallyloom.operators.quality import column_profile, name_category, repeated_keys
 from tallyloom.operators.semantic import Named, SemanticModel, query_metrics, semantic_view
 from tallyloom.operators.series import anomalies, forecast
-from tallyloom.plans import finops, medallion
+from tallyloom.plans import finops, generators, medallion
 from tallyloom.sources import snapshots, tables
 from tallyloom.sources.shared import shared_path
 
@@ -52,25 +52,59 @@ def test_picks_are_even_and_repeatable(spark):
     assert df.exceptAll(df).count() == 0
 
 
+@pytest.mark.parametrize("other", [2, 7, 51, 53, 110])
+def test_draws_of_one_key_are_independent(spark, other):
+    pairs = spark.range(40000).select(picks.below(F.col("id"), 1, 10).alias("a"), picks.below(F.col("id"), other, 10).alias("b"))
+    counts = [r["count"] for r in pairs.groupBy("a", "b").count().collect()]
+    assert len(counts) == 100 and min(counts) > 320 and max(counts) < 480
+
+
+def test_long_numbers_keep_their_digits(spark):
+    k = spark.createDataFrame([(7,), (10**9,), (10**9 + 1,), (12 * 10**12,)], "k long")
+    people = generators.customers(k)
+    assert [r.customer_id for r in people.orderBy("k").collect()] == ["C000000007", "C1000000000", "C1000000001", "C12000000000000"]
+    for rows, key in ((generators.users(people), "user_id"), (generators.subscriptions(people), "subscription_id")):
+        assert rows.select(key).distinct().count() == rows.count()
+    days = generators.star_usage(generators.star_users(generators.star_customers(generators.seeds(spark, 3))).limit(4), days=1500)
+    assert days.groupBy("user_id", "usage_date").count().where("count > 1").isEmpty()
+
+
+def test_a_key_that_changes_twice(spark):
+    dim = spark.sql("SELECT 1 sk, 1 k, 'A' s, true is_current, DATE'2024-01-01' effective_from, CAST(NULL AS DATE) effective_to")
+    at = F.lit("2024-02-01").cast("date")
+    feed = lambda *r: spark.createDataFrame(list(r), "k int, s string, _action string, _is_update boolean, seq int")
+    merged = lambda f, **o: sorted((r.sk, r.k, r.s, r.is_current) for r in merge_dimension(dim, f, "k", ["s"], at, "sk", order=["seq"], **o).collect())
+    twice = feed((1, "B", "INSERT", False, 1), (1, "C", "INSERT", False, 2), (2, "X", "INSERT", False, 1))
+    assert merged(twice) == [(1, 1, "A", False), (2, 1, "C", True), (3, 2, "X", True)]
+    pairs = feed((1, "A", "DELETE", True, 1), (1, "B", "INSERT", True, 1), (1, "B", "DELETE", True, 2), (1, "A", "INSERT", True, 2))
+    assert merged(pairs) == [(1, 1, "A", True)]
+    back = feed((1, "A", "DELETE", False, 1), (1, "D", "INSERT", False, 2))
+    assert merged(back, close_deleted=True) == [(1, 1, "A", False), (2, 1, "D", True)]
+    gone = feed((1, "B", "INSERT", True, 1), (1, "B", "DELETE", False, 2))
+    assert merged(gone, close_deleted=True) == [(1, 1, "A", False)]
+    with pytest.raises(Exception, match="changes twice"):
+        merge_dimension(dim, twice, "k", ["s"], at, "sk").collect()
+
+
 # -- ordered scans --------------------------------------------------------------
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
     rng = random.Random(7)
-    data = [("hot" if rng.random() < 0.7 else f"g{rng.randrange(5)}", rng.choice([None, 1, 2, 2, 2, 5, 9]), i) for i in range(3000)]
-    return spark.createDataFrame(data, "g string, v int, id int").repartition(7)
+    data = [("hot" if rng.random() < 0.7 else f"g{rng.randrange(5)}", rng.choice([None, 1, 2, 2, 2, 5, 9]), i, rng.choice([None, None, None, i])) for i in range(3000)]
+    return spark.createDataFrame(data, "g string, v int, id int, x int").repartition(7)
 
 
 def test_ordered_scan_equals_window(spark, skewed):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         order = [F.col("v").desc_nulls_last(), F.col("id")]
-        got = ordered_scan(skewed, ["g"], order, row_number="rn", group_rows="n", running={"s": "id"}, lag={"p": "v"}, lead={"q": "v"})
+        got = ordered_scan(skewed, ["g"], order, row_number="rn", group_rows="n", running={"s": "id", "t": "x"}, lag={"p": "v"}, lead={"q": "v"})
         w = Window.partitionBy("g").orderBy(*order)
         want = skewed.select(
-            "g", "v", "id", F.row_number().over(w).cast("bigint").alias("rn"), F.count("*").over(Window.partitionBy("g")).alias("n"),
-            F.sum("id").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("q"),
+            "g", "v", "id", "x", F.row_number().over(w).cast("bigint").alias("rn"), F.count("*").over(Window.partitionBy("g")).alias("n"),
+            F.sum("id").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("t"), F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("q"),
         )
         assert got.columns == want.columns
         assert rows(got) == rows(want)
