@@ -2,7 +2,11 @@
 
 QH = "qh AS (SELECT * FROM query_history WHERE start_time >= DATE '2024-01-31' - 30 AND warehouse_name LIKE 'WH%')"
 LG = "lg AS (SELECT * FROM logins WHERE event_timestamp >= DATE '2024-01-31' - 30)"
-SINCE = "query_start_time >= DATE '2001-12-31' - 3650"
+def since(days: int, at: str = "query_start_time") -> str:
+    return f"{at} >= DATE '2001-08-02' - {days} AND {at} <= DATE '2001-08-02'"
+
+
+SINCE = since(30)
 ROLES = f"""rd AS (SELECT object_name, count(*) AS read_count, count(DISTINCT user_name) AS unique_users, max(query_start_time) AS last_read FROM direct_access WHERE {SINCE} GROUP BY 1),
   wr AS (SELECT object_name, count(*) AS write_count, max(query_start_time) AS last_write FROM modified WHERE {SINCE} GROUP BY 1),
   roles AS (SELECT coalesce(rd.object_name, wr.object_name) AS table_name, coalesce(read_count, 0) AS reads_30d, coalesce(unique_users, 0) AS unique_readers,
@@ -26,15 +30,15 @@ SQL = {
       round(CAST(sum(total_elapsed_time) AS DOUBLE) / count(*) / 1000, 4) AS avg_seconds FROM qh GROUP BY 1, 2""",
     "off_hours": f"""WITH {QH} SELECT CAST(start_time AS DATE) AS access_date, user_name, count(*) AS query_count, 'Off-Hours Access' AS check_name
       FROM qh WHERE hour(start_time) < 6 OR hour(start_time) > 22 GROUP BY 1, 2""",
-    "query_text_search": """SELECT query_type, warehouse_size, count(*) AS n, max(start_time) AS last_start, round(CAST(max(total_elapsed_time) AS DOUBLE) / 1000, 2) AS max_seconds
-      FROM query_history WHERE query_text ILIKE '%FROM T WHERE%' AND query_text NOT ILIKE '%INFORMATION_SCHEMA%' GROUP BY 1, 2""",
-    "recent_access": f"""SELECT CAST(l_shipdate AS DATE) AS access_date, count(*) AS accesses, count(*) * 2 AS reads,
-      CAST(sum(CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 1 ELSE 0 END) AS BIGINT) AS writes FROM lineitem WHERE l_shipdate >= DATE '2001-12-31' - 3650 GROUP BY 1""",
+    "query_text_search": """SELECT query_id, query_type, warehouse_size, start_time, round(CAST(total_elapsed_time AS DOUBLE) / 1000, 2) AS seconds
+      FROM query_history WHERE start_time >= DATE '2024-01-31' - 7 AND query_text ILIKE '%FROM T WHERE%' AND query_text NOT ILIKE '%INFORMATION_SCHEMA%'""",
+    "recent_access": f"""SELECT l_orderkey AS query_id, l_shipdate AS query_start_time, 'user_' || l_suppkey AS user_name, 2 AS objects_read,
+      CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 1 ELSE 0 END AS objects_written FROM lineitem WHERE {since(7, 'l_shipdate')}""",
     "object_access": f"""SELECT CAST(query_start_time AS DATE) AS access_date, user_name, object_name AS object_accessed, count(*) AS access_count, 'Review for compliance' AS audit_note
       FROM direct_access WHERE {SINCE} AND object_name LIKE '%USERS%' GROUP BY 1, 2, 3""",
     "object_modified": f"SELECT query_id, query_start_time, user_name, object_name AS table_modified, columns_modified FROM modified WHERE {SINCE}",
-    "column_access": f"WITH {COLS} SELECT table_name, column_name, count(*) AS access_count FROM cols GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 30",
-    "column_access_rows": f"WITH {COLS} SELECT * FROM cols ORDER BY query_start_time DESC, user_name, table_name, column_name LIMIT 100",
+    "column_access": f"WITH {COLS} SELECT table_name, column_name, count(*) AS access_count FROM cols WHERE {SINCE} GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 30",
+    "column_access_rows": f"WITH {COLS} SELECT * FROM cols WHERE {since(1)} ORDER BY query_start_time DESC, user_name, table_name, column_name LIMIT 100",
     "table_reads": f"""SELECT CAST(query_start_time AS DATE) AS access_date, object_name AS source_table, count(*) AS read_count, count(DISTINCT user_name) AS unique_users
       FROM direct_access WHERE {SINCE} AND object_name LIKE 'PROD.RAW.%' GROUP BY 1, 2""",
     "flow_counts": f"""SELECT source_table, target_table, count(*) AS write_count, max(query_start_time) AS last_write FROM flows

@@ -15,7 +15,7 @@ def array(words) -> str:
 
 
 def toks(c: str) -> str:
-    return f"list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda t: t <> '')"
+    return f"list_filter(string_split_regex(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 
 
 def sents(c: str) -> str:
@@ -43,7 +43,7 @@ def vote(groups: dict, text: str, source: str, key: str) -> str:
 def best_sentence(key: str, text: str, source: str, question: str) -> str:
     import re
 
-    asked = array(dict.fromkeys(t for t in re.split("[^a-z0-9]+", question.lower()) if t))
+    asked = array(dict.fromkeys(t for t in re.split(r"[\W_]+", question.lower()) if t))
     return f"""SELECT {key}, max(CASE WHEN r = 1 AND n > 0 THEN s END) AS answer FROM (
         SELECT {key}, s, n, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, pos) AS r FROM (
           SELECT {key}, s, pos, len(list_intersect({toks('s')}, {asked})) AS n FROM (

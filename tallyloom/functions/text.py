@@ -37,8 +37,8 @@ STOP_WORDS = {
 
 
 def tokens(c: Column) -> Column:
-    """Lower-case ASCII words and digits."""
-    return F.array_remove(F.split(F.lower(c), "[^a-z0-9]+"), "")
+    """Lower-case words and numbers, of any script."""
+    return F.array_remove(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), "")
 
 
 def with_tokens(df: DataFrame, on: str, name: str = "words") -> DataFrame:
@@ -47,7 +47,7 @@ def with_tokens(df: DataFrame, on: str, name: str = "words") -> DataFrame:
 
 def question_tokens(text: str) -> list[str]:
     """The same tokens of a literal, as Python strings."""
-    return [t for t in re.split("[^a-z0-9]+", text.lower()) if t]
+    return re.findall(r"[^\W_]+", text.lower())
 
 
 def sentiment_of(words: Column) -> Column:

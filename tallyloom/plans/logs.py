@@ -15,7 +15,6 @@ from tallyloom.functions.numbers import bytes_as, count_when, dbl, mean, rounded
 from tallyloom.sources.lab import ACCESS_AS_OF, EVENTS_AS_OF, Lab
 from tallyloom.sources.tables import union_padded
 
-ACCESS_DAYS = 3650
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 PRIVILEGED = ["ACCOUNTADMIN", "SECURITYADMIN", "SYSADMIN"]
 
@@ -28,8 +27,9 @@ def _logins(lab: Lab, days: int = 30) -> DataFrame:
     return lab.logins().filter(F.col("event_timestamp") >= days_before(EVENTS_AS_OF, days))
 
 
-def _access(lab: Lab) -> DataFrame:
-    return lab.access_history().filter(F.col("query_start_time") >= days_before(ACCESS_AS_OF, ACCESS_DAYS))
+def _access(lab: Lab, days: int = 30) -> DataFrame:
+    at = F.col("query_start_time")
+    return lab.access_history().filter((at >= days_before(ACCESS_AS_OF, days)) & (at <= day(ACCESS_AS_OF)))
 
 
 def flatten(df: DataFrame, array: str, name: str = "object_name") -> DataFrame:
@@ -74,23 +74,20 @@ def off_hours(lab: Lab) -> DataFrame:
 
 
 def query_text_search(lab: Lab) -> DataFrame:
-    """Latest matching statement of each type, by case-insensitive pattern."""
+    """The statements of the last week that match a case-insensitive pattern."""
     text = F.col("query_text")
-    hits = lab.query_history().filter(text.ilike("%FROM T WHERE%") & ~text.ilike("%INFORMATION_SCHEMA%"))
-    return hits.groupBy("query_type", "warehouse_size").agg(
-        F.count("*").alias("n"), F.max("start_time").alias("last_start"), rounded(F.max(dbl("total_elapsed_time")) / 1000, 2).alias("max_seconds")
-    )
+    week = lab.query_history().filter(F.col("start_time") >= days_before(EVENTS_AS_OF, 7))
+    hits = week.filter(text.ilike("%FROM T WHERE%") & ~text.ilike("%INFORMATION_SCHEMA%"))
+    return hits.select("query_id", "query_type", "warehouse_size", "start_time", rounded(dbl("total_elapsed_time") / 1000, 2).alias("seconds"))
 
 
 # -- access history ----------------------------------------------------------
 
 
 def recent_access(lab: Lab) -> DataFrame:
-    """Accesses that touched anything, with array sizes, newest first."""
-    some = _access(lab).filter((F.size("direct_objects_accessed") > 0) | (F.size("objects_modified") > 0))
-    return some.groupBy(F.to_date("query_start_time").alias("access_date")).agg(
-        F.count("*").alias("accesses"), F.sum(F.size("direct_objects_accessed")).alias("reads"), F.sum(F.size("objects_modified")).alias("writes")
-    )
+    """The accesses of the last week that touched anything, with the numbers of objects."""
+    some = _access(lab, 7).filter((F.size("direct_objects_accessed") > 0) | (F.size("objects_modified") > 0))
+    return some.select("query_id", "query_start_time", "user_name", F.size("direct_objects_accessed").alias("objects_read"), F.size("objects_modified").alias("objects_written"))
 
 
 def object_access(lab: Lab) -> DataFrame:
@@ -113,7 +110,8 @@ def column_access(lab: Lab) -> DataFrame:
 
 
 def column_access_rows(lab: Lab) -> DataFrame:
-    objects = flatten(_access(lab).select("query_start_time", "user_name", "base_objects_accessed"), "base_objects_accessed", "table_name")
+    """The newest column uses of the last day."""
+    objects = flatten(_access(lab, 1).select("query_start_time", "user_name", "base_objects_accessed"), "base_objects_accessed", "table_name")
     columns = objects.select("query_start_time", "user_name", "table_name", F.explode("_o.columns.columnName").alias("column_name"))
     return columns.orderBy(F.desc("query_start_time"), "user_name", "table_name", "column_name").limit(100)
 

@@ -15,7 +15,7 @@ from tallyloom.sources.tables import scan
 
 ORDERS_AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
-ACCESS_AS_OF = "2001-12-31"
+ACCESS_AS_OF = "2001-08-02"
 
 
 def daily_usage_of(events: DataFrame) -> DataFrame:
