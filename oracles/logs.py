@@ -68,8 +68,9 @@ SQL = {
       WHERE default_role IN ('ACCOUNTADMIN', 'SECURITYADMIN', 'SYSADMIN') AND deleted_on IS NULL""",
     "role_membership": """SELECT user_name AS user_or_role, default_role AS granted_role, granted_by, created_on FROM directory
       WHERE deleted_on IS NULL AND default_role LIKE '%ADMIN%' AND default_role NOT IN ('ACCOUNTADMIN')""",
-    "shared_ip": f"""WITH {LG} SELECT 'Shared Credential Risk' AS check_name, client_ip, string_agg(DISTINCT user_name, ', ' ORDER BY user_name) AS users_from_ip,
-      count(DISTINCT user_name) AS user_count FROM lg WHERE is_success = 'YES' AND event_timestamp >= DATE '2024-01-31' - 7 GROUP BY client_ip HAVING count(DISTINCT user_name) > 1""",
+    "shared_ip": f"""WITH {LG} SELECT 'Shared Credential Risk' AS check_name, client_ip, user_name, user_count FROM
+      (SELECT client_ip, user_name, count(*) OVER (PARTITION BY client_ip) AS user_count FROM (SELECT DISTINCT client_ip, user_name FROM lg
+        WHERE is_success = 'YES' AND event_timestamp >= DATE '2024-01-31' - 7)) WHERE user_count > 1""",
     "daily_security": f"""WITH {LG}, {QH} SELECT coalesce(l.d, q.d) AS audit_date, total_logins, successful_logins, failed_logins, users_logged_in, unique_ips, total_queries, querying_users, tb_scanned
       FROM (SELECT CAST(event_timestamp AS DATE) AS d, count(*) AS total_logins, count(*) FILTER (is_success = 'YES') AS successful_logins,
         count(*) FILTER (is_success = 'NO') AS failed_logins, count(DISTINCT user_name) AS users_logged_in, count(DISTINCT client_ip) AS unique_ips FROM lg GROUP BY 1) l

@@ -186,11 +186,11 @@ def restore_deleted(lab: Lab) -> DataFrame:
 
 
 def restore_by_predicate(lab: Lab) -> DataFrame:
-    """Lose one segment, then bring it back from the stored version; no duplicates either way."""
+    """A version that lost one segment is stored; the segment comes back from the version before it, without duplicates."""
     root = _history(lab)
-    damaged = delete_where(read_as_of(lab.spark, root), F.col("segment") == "BUILDING")
-    lost = read_as_of(lab.spark, root).filter("segment = 'BUILDING'")
-    return damaged.unionByName(insert_if_absent(damaged, lost, ["customer_id"]))
+    write_snapshot(delete_where(read_as_of(lab.spark, root), F.col("segment") == "BUILDING"), root, "2024-01-03 00:00:00")
+    damaged, before = read_as_of(lab.spark, root), read_as_of(lab.spark, root, offset_seconds=86400)
+    return damaged.unionByName(insert_if_absent(damaged, before.filter("segment = 'BUILDING'"), ["customer_id"]))
 
 
 def delete_first_rows(lab: Lab) -> DataFrame:

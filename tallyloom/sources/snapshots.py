@@ -7,6 +7,10 @@ reading or republishing the previous one.
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,22 +22,27 @@ def write_snapshot(df: DataFrame, root: str, at: str) -> None:
     ).partitionBy("_snapshot_ts").parquet(root)
 
 
+def stored_versions(table: DataFrame, column: str) -> list[str]:
+    """Values of a partition column, from the names of the files alone: no data file is opened."""
+    folder = re.compile(rf"/{column}=([^/]*)/")
+    return sorted({unquote(m[1]) for f in table.inputFiles() if (m := folder.search(unquote(f)))})
+
+
 def read_as_of(spark: SparkSession, root: str, at: str | None = None, offset_seconds: int | None = None) -> DataFrame:
     """The newest version not later than ``at``, or ``offset_seconds`` before the newest one.
 
-    The version is resolved first (partition values only, one row to the
-    driver), so the read itself prunes to a single directory.
+    The version is resolved from the folders' names, so the read prunes to a
+    single directory and opens no file of another version.
     """
-    versions = spark.read.parquet(root).select(F.col("_snapshot_ts").cast("timestamp_ntz").alias("v"))
+    table = spark.read.parquet(root)
+    versions = {datetime.fromisoformat(v): v for v in stored_versions(table, "_snapshot_ts")}
+    limit = datetime.fromisoformat(at) if at else max(versions)
     if offset_seconds is not None:
-        newest = versions.agg(F.max("v")).first()[0]
-        limit = F.lit(newest).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(offset_seconds))
-    else:
-        limit = F.lit(at).cast("timestamp_ntz") if at else F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
-    chosen = versions.filter(F.col("v") <= limit).agg(F.max("v")).first()[0]
+        limit = max(versions) - timedelta(seconds=offset_seconds)
+    chosen = max((v for v in versions if v <= limit), default=None)
     if chosen is None:
         raise LookupError(f"no snapshot at or before {at}")
-    return spark.read.parquet(root).filter(F.col("_snapshot_ts").cast("timestamp_ntz") == F.lit(chosen).cast("timestamp_ntz")).drop("_snapshot_ts")
+    return table.filter(F.col("_snapshot_ts").cast("timestamp_ntz") == F.lit(versions[chosen]).cast("timestamp_ntz")).drop("_snapshot_ts")
 
 
 def publish(spark: SparkSession, root: str, staging: DataFrame, at: str) -> DataFrame:

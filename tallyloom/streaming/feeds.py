@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from tallyloom.operators.changes import merge_dimension
 from tallyloom.plans.incremental import USAGE_SUMS, monthly_usage
 from tallyloom.sources.lab import daily_usage_of
+from tallyloom.sources.snapshots import stored_versions
 
 
 def consume(
@@ -63,7 +64,7 @@ def dimension_batch(target: str, key: str, tracked: list[str], surrogate: str, a
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         versions = batch.sparkSession.read.parquet(target)
-        base_id = versions.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+        base_id = max(v for v in map(int, stored_versions(versions, "batch_id")) if v < batch_id)
         base = versions.filter(F.col("batch_id") == base_id).drop("batch_id")
         merged = merge_dimension(base, batch, key, tracked, at, surrogate, order=order)
         merged.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
@@ -73,5 +74,5 @@ def dimension_batch(target: str, key: str, tracked: list[str], surrogate: str, a
 
 def read_dimension(spark: SparkSession, target: str) -> DataFrame:
     versions = spark.read.parquet(target)
-    newest = versions.agg(F.max("batch_id")).first()[0]
+    newest = max(map(int, stored_versions(versions, "batch_id")))
     return versions.filter(F.col("batch_id") == newest).drop("batch_id")
