@@ -89,7 +89,27 @@ def bm25(query_tokens: str, out: str, where: str, limit: int) -> str:
 
 FIRST_ITEM = toks("(SELECT text FROM benchmark ORDER BY item_id LIMIT 1)")
 
+HELD = "(CAST('0x' || left(md5(CAST(doc_id AS VARCHAR) || ':300'), 12) AS BIGINT) % 5 = 0)"
+
+
+def hashed(table: str, key: str, column: str, buckets: int) -> str:
+    return f"""SELECT {key}, CAST('0x' || left(md5(t), 8) AS BIGINT) % {buckets} AS b, count(*) AS tf FROM (SELECT {key}, unnest({toks(column)}) AS t FROM {table}) GROUP BY ALL"""
+
+
 SQL = {
+    "classify_trained": f"""WITH c AS ({hashed('documents', 'doc_id', 'text', 4096)}), k AS (SELECT doc_id, toxic, {HELD} AS held FROM labels WHERE toxic IS NOT NULL),
+      tr AS (SELECT b, sum(tf) FILTER (toxic = 1) AS t, sum(tf) FILTER (toxic = 0) AS c FROM c JOIN k USING (doc_id) WHERE NOT held GROUP BY 1),
+      se AS (SELECT r.b, CAST(coalesce(t, 0) AS DOUBLE) AS t, CAST(coalesce(c, 0) AS DOUBLE) AS c FROM (SELECT unnest(range(4096)) AS b) r LEFT JOIN tr ON r.b = tr.b),
+      su AS (SELECT sum(t) AS st, sum(c) AS sc FROM se), w AS (SELECT b, ln((t + 1) / (st + 4096)) - ln((c + 1) / (sc + 4096)) AS w FROM se CROSS JOIN su),
+      pr AS (SELECT ln(CAST(count(*) FILTER (toxic = 1) + 1 AS DOUBLE) / (count(*) FILTER (toxic = 0) + 1)) AS p FROM k WHERE NOT held),
+      s AS (SELECT doc_id, sum(tf * w) AS s FROM c JOIN w USING (b) GROUP BY 1)
+      SELECT d.doc_id, {HELD.replace('doc_id', 'd.doc_id')} AS held_out, CAST(round(coalesce(s, 0) + p, 6) > 0 AS INTEGER) AS predicted_toxic, k.toxic
+      FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id CROSS JOIN pr""",
+    "hashed_vectors": f"""WITH c AS ({hashed('knowledge_base', 'article_id', 'content', 768)}), f AS (SELECT b, count(*) AS df FROM c GROUP BY 1),
+      x AS (SELECT article_id, b, tf * ln((CAST((SELECT count(*) FROM knowledge_base) AS DOUBLE) + 1) / (df + 1)) AS w FROM c JOIN f USING (b)),
+      n AS (SELECT article_id, sqrt(sum(w * w)) AS n FROM x GROUP BY 1), g AS (SELECT article_id, unnest(range(768)) AS b FROM knowledge_base)
+      SELECT g.article_id, list(round(coalesce(w / nullif(n, 0), 0), 6) ORDER BY g.b) AS embedding FROM g LEFT JOIN x ON x.article_id = g.article_id AND x.b = g.b
+      LEFT JOIN n ON n.article_id = g.article_id GROUP BY 1""",
     "sentiment": f"""WITH {SENT} SELECT feedback_id, customer_id, nps_score, left(feedback_text, 60) || '...' AS feedback_preview, round(s, 3) AS sentiment_score, {LABEL} AS sentiment_label FROM scored""",
     "sentiment_by_group": f"""WITH {SENT} SELECT nps_category, count(*) AS response_count, round(sum(s) / count(*), 4) AS avg_sentiment, round(min(s), 4) AS min_sentiment,
       round(max(s), 4) AS max_sentiment FROM scored GROUP BY 1""",
