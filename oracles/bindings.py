@@ -78,6 +78,8 @@ TABLES = {
         CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status, ts AS start_time FROM events""",
     "metering": """SELECT 'WH_' || upper(event_type) AS warehouse_name, ts AS start_time,
         ts + to_seconds(event_id % 3600) AS end_time, CAST(value AS DECIMAL(18,2)) AS credits_used FROM events""",
+    "long_metering": """SELECT (['WH_VIEW', 'WH_CLICK', 'WH_PURCHASE', 'WH_SIGNUP', 'WH_ERROR', 'WH_SPARE'])[l_suppkey % 6 + 1] AS warehouse_name, l_shipdate AS start_time,
+        CAST(l_quantity AS DECIMAL(18,2)) AS credits_used FROM lineitem""",
     "logins": """SELECT event_id, ts AS event_timestamp, 'user_' || user_id AS user_name,
         '10.0.' || (user_id % 20) || '.' || (user_id % 7) AS client_ip,
         CASE event_id % 2 WHEN 0 THEN 'DRIVER' ELSE 'WEB' END AS reported_client_type,

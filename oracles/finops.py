@@ -27,6 +27,13 @@ BUDGET = f"""{QUOTA}, budgets(budget_category, monthly_budget_credits, alert_thr
     WHEN used / monthly_budget_credits >= alert_threshold_pct / 100.0::DOUBLE THEN '{labels.BUDGET["risk"]}' WHEN pace > monthly_budget_credits THEN '{labels.BUDGET["projected"]}' ELSE '{labels.BUDGET["fine"]}' END AS budget_status,
   owner FROM b)"""
 
+def spend(log: str, period: str, where: str) -> str:
+    return f"""WITH {CONFIG}, s AS (SELECT CAST(date_trunc('{period}', start_time) AS DATE) AS period, coalesce(budget_category, 'OTHER_COMPUTE') AS category, sum(credits_used) AS c
+        FROM {log} LEFT JOIN config USING (warehouse_name) WHERE {where} GROUP BY 1, 2), p AS (SELECT *, lag(c) OVER (PARTITION BY category ORDER BY period) AS prev FROM s)
+      SELECT period, category, CAST(c AS DOUBLE) AS credits_used, CAST(c * 3 AS DOUBLE) AS estimated_cost_usd, CAST(prev AS DOUBLE) AS prev_credits,
+        round(CAST(c - prev AS DOUBLE) * 100.0 / nullif(CAST(prev AS DOUBLE), 0), 2) AS pct_change FROM p"""
+
+
 SQL = {
     "running_usage": f"""WITH {TM} SELECT warehouse_name, CAST(start_time AS DATE) AS usage_date, CAST(sum(credits_used) AS DOUBLE) AS daily_credits,
       CAST(sum(sum(credits_used)) OVER (PARTITION BY warehouse_name ORDER BY CAST(start_time AS DATE)) AS DOUBLE) AS cumulative_credits FROM tm GROUP BY 1, 2""",
@@ -44,10 +51,11 @@ SQL = {
     "budget_alerts": f"""WITH {BUDGET} SELECT DATE '2024-01-31' AS alert_date, budget_category, pct_budget_used AS pct_used, budget_status AS status,
       budget_category || ' is at ' || printf('%.2f', pct_budget_used) || '% of monthly budget. Status: ' || budget_status AS alert_message
       FROM dash WHERE pct_budget_used >= 75 OR budget_status LIKE '%OVER%'""",
-    "spend_mom": f"""WITH {CONFIG}, s AS (SELECT CAST(date_trunc('week', start_time) AS DATE) AS period, coalesce(budget_category, 'OTHER_COMPUTE') AS category, sum(credits_used) AS c
-        FROM metering LEFT JOIN config USING (warehouse_name) GROUP BY 1, 2), p AS (SELECT *, lag(c) OVER (PARTITION BY category ORDER BY period) AS prev FROM s)
-      SELECT period, category, CAST(c AS DOUBLE) AS credits_used, CAST(c * 3 AS DOUBLE) AS estimated_cost_usd, CAST(prev AS DOUBLE) AS prev_credits,
-        round(CAST(c - prev AS DOUBLE) * 100.0 / nullif(CAST(prev AS DOUBLE), 0), 2) AS pct_change FROM p""",
+    "alert_log": f"""WITH {BUDGET} SELECT DATE '2024-01-31' AS alert_date, budget_category, pct_budget_used AS pct_used, budget_status AS status,
+      budget_category || ' is at ' || printf('%.2f', pct_budget_used) || '% of monthly budget. Status: ' || budget_status AS alert_message
+      FROM dash WHERE pct_budget_used >= 75 OR budget_status LIKE '%OVER%'""",
+    "spend_mom": spend("metering", "week", "true"),
+    "spend_by_month": spend("long_metering", "month", "start_time >= DATE '2000-08-01'"),
     "cost_anomaly": f"""WITH d AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, sum(credits_used) AS v FROM metering WHERE start_time >= DATE '2024-01-31' - 30 GROUP BY 1, 2),
       s AS (SELECT warehouse_name, CAST(sum(v) AS DOUBLE) / count(*) AS a, stddev_samp(CAST(v AS DOUBLE)) AS sd FROM d WHERE usage_date < DATE '2024-01-31' GROUP BY 1)
       SELECT usage_date, warehouse_name, round(CAST(v AS DOUBLE), 2) AS daily_credits, round(a, 2) AS avg_daily_credits, round(sd, 2) AS stddev_credits,

@@ -97,6 +97,14 @@ def hashed(table: str, key: str, column: str, buckets: int) -> str:
 
 
 SQL = {
+    "index_search": bm25(FIRST_ITEM, "article_id, category, product, title, score", "", 5),
+    "index_search_filtered": bm25(toks("'how is that to be with the and for'"), "article_id, product, score", "WHERE product = 'en'", 3),
+    "search_batch": f"""WITH q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({toks('text')}) AS term FROM benchmark)), dt AS (SELECT article_id, {toks('content')} AS w FROM knowledge_base),
+      tf AS (SELECT article_id, dl, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT article_id, len(w) AS dl, unnest(w) AS term FROM dt) GROUP BY ALL),
+      st AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(len(w)) AS DOUBLE) / count(*) AS avgl FROM dt), df AS (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY 1),
+      sc AS (SELECT item_id, article_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgl))), 6) AS score
+        FROM q JOIN tf USING (term) JOIN df USING (term) CROSS JOIN st GROUP BY ALL)
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, article_id) AS rank FROM sc QUALIFY rank <= 3""",
     "classify_trained": f"""WITH c AS ({hashed('documents', 'doc_id', 'text', 4096)}), k AS (SELECT doc_id, toxic, {HELD} AS held FROM labels WHERE toxic IS NOT NULL),
       tr AS (SELECT b, sum(tf) FILTER (toxic = 1) AS t, sum(tf) FILTER (toxic = 0) AS c FROM c JOIN k USING (doc_id) WHERE NOT held GROUP BY 1),
       se AS (SELECT r.b, CAST(coalesce(t, 0) AS DOUBLE) AS t, CAST(coalesce(c, 0) AS DOUBLE) AS c FROM (SELECT unnest(range(4096)) AS b) r LEFT JOIN tr ON r.b = tr.b),

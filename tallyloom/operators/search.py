@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import rounded
@@ -63,17 +63,62 @@ def build_index(docs: DataFrame, key: str, on: str, buckets: int = 64) -> DataFr
     return postings.withColumns({"buckets": F.lit(buckets), "bucket": F.pmod(F.hash("term"), F.lit(buckets))})
 
 
-def search_index(index: DataFrame, key: str, query: str, limit: int, n_docs: int, avg_length: float) -> DataFrame:
+def search_index(index: DataFrame, key: str, query: str, limit: int | None, n_docs: float, avg_length: float) -> DataFrame:
     """BM25 from the index: the term filter prunes buckets and row groups of the written postings."""
     terms = sorted(set(question_tokens(query)))
     known = index.select("buckets").first()
     made = index.sparkSession.createDataFrame([(t,) for t in terms], "t string").select(F.pmod(F.hash("t"), F.lit(known[0] if known else 1)))
     buckets = F.col("bucket").isin([r[0] for r in made.collect()])
     hits = index.filter(buckets & F.col("term").isin(terms))
-    frequency = hits.groupBy("term").agg(F.count("*").alias("df"))
-    score = _idf(F.lit(float(n_docs)), F.col("df")) * _weight(F.col("tf").cast("double"), F.col("length"), F.lit(avg_length))
-    scored = hits.join(frequency, "term").groupBy(key).agg(rounded(F.sum(score), 6).alias("score"))
-    return scored.orderBy(F.desc("score"), key).limit(limit)
+    frequency = hits.groupBy("term").agg(F.count("*").alias("df")).agg(F.map_from_entries(F.collect_list(F.struct("term", "df")))).scalar()  # one entry per query term
+    score = _idf(F.lit(float(n_docs)), F.element_at(frequency, F.col("term"))) * _weight(F.col("tf").cast("double"), F.col("length"), F.lit(avg_length))
+    scored = hits.groupBy(key).agg(rounded(F.sum(score), 6).alias("score"))
+    return scored if limit is None else scored.orderBy(F.desc("score"), key).limit(limit)
+
+
+def write_index(docs: DataFrame, path: str, key: str, on: str, columns: list[str], buckets: int = 64) -> None:
+    """Store a search index: postings by bucket, the attributes that results show or filter on, and corpus statistics."""
+    build_index(docs, key, on, buckets).write.partitionBy("bucket").parquet(f"{path}/postings")
+    docs.select(key, *columns).write.parquet(f"{path}/attributes")
+    docs.agg(F.count("*").cast("double").alias("n"), (F.sum(F.size(tokens(F.col(on)))) / F.count("*")).alias("avg_length")).write.parquet(f"{path}/statistics")
+
+
+def _read(spark: SparkSession, path: str) -> tuple[DataFrame, float, float]:
+    n, average = spark.read.parquet(f"{path}/statistics").select("n", "avg_length").first()
+    return spark.read.parquet(f"{path}/postings"), n, average
+
+
+def search_stored(spark: SparkSession, path: str, key: str, query: str, columns: list[str], limit: int, where: Column | None = None) -> DataFrame:
+    """Best ``limit`` documents of a stored index, with attribute columns; ``where`` filters on attributes before the limit."""
+    postings, n, average = _read(spark, path)
+    attributes = spark.read.parquet(f"{path}/attributes")
+    scored = search_index(postings, key, query, None, n, average)
+    if where is not None:
+        scored = scored.join(attributes.filter(where).select(key), key, "left_semi")
+    top = scored.orderBy(F.desc("score"), key).limit(limit).collect()
+    winners = spark.createDataFrame(top, scored.schema)
+    return attributes.filter(F.col(key).isin([r[0] for r in top])).select(key, *[c for c in columns if c != key]).join(winners, key).orderBy(F.desc("score"), key)
+
+
+def search_queries(spark: SparkSession, path: str, key: str, queries: DataFrame, query_key: str, on: str, limit: int) -> DataFrame:
+    """Best ``limit`` documents of a stored index for every query text, with their rank.
+
+    Queries and postings meet on the term; a frequent term's postings are spread
+    over their documents by a salt that the query terms are repeated for. Ranks
+    are cut to ``limit`` within slices of the documents before the final ones.
+    """
+    postings, n, average = _read(spark, path)
+    salts = 16
+    asked = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(on)))).alias("term"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
+    known = asked.join(frequency, "term")
+    held = postings.withColumn("salt", F.pmod(F.hash(key), F.lit(salts)))
+    score = _idf(F.lit(n), F.col("df")) * _weight(F.col("tf").cast("double"), F.col("length"), F.lit(average))
+    scored = held.join(known, ["term", "salt"]).groupBy(query_key, key).agg(rounded(F.sum(score), 6).alias("score"))
+    order = [F.desc("score"), F.col(key)]
+    cut = scored.withColumn("slice", F.pmod(F.hash(key), F.lit(64))).withColumn("r", F.row_number().over(Window.partitionBy(query_key, "slice").orderBy(*order)))
+    best = cut.filter(F.col("r") <= limit).withColumn("rank", F.row_number().over(Window.partitionBy(query_key).orderBy(*order)))
+    return best.filter(F.col("rank") <= limit).select(query_key, key, "score", "rank")
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, query: Column, limit: int) -> DataFrame:

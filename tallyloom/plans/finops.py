@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom import labels
-from tallyloom.functions.dates import day, days_before, month_of
+from tallyloom.functions.dates import day, days_before, month_of, months_before
 from tallyloom.functions.numbers import bytes_as, dbl, rounded, safe_div, safe_pct
-from tallyloom.sources.lab import EVENTS_AS_OF, Lab
-from tallyloom.sources.tables import literal_rows, union_padded
+from tallyloom.sources.lab import ACCESS_AS_OF, EVENTS_AS_OF, Lab
+from tallyloom.sources.shared import shared_path
+from tallyloom.sources.tables import append_rows, insert_if_absent, literal_rows, union_padded, write_table
 
 USD_PER_CREDIT = 3
 
@@ -128,10 +129,30 @@ def budget_alerts(lab: Lab) -> DataFrame:
     return hot.select(day(EVENTS_AS_OF).alias("alert_date"), "budget_category", F.col("pct_budget_used").alias("pct_used"), F.col("budget_status").alias("status"), message.alias("alert_message"))
 
 
+def alert_log(lab: Lab) -> DataFrame:
+    """The log that alerts are appended to; an alert that it holds is not appended again."""
+    alerts = budget_alerts(lab)
+    path = shared_path(lab.spark, "alert-log")
+    log = write_table(alerts.filter("status LIKE '%OVER%'"), path)
+    for _ in range(2):
+        log = append_rows(insert_if_absent(log, alerts, ["alert_date", "budget_category"]), path)
+    return log
+
+
 def spend_mom(lab: Lab) -> DataFrame:
-    """Spend per period and category with change on the previous period (weeks, as the log spans one month)."""
-    spend = lab.metering().join(_config(lab).select("warehouse_name", F.col("budget_category").alias("category")), "warehouse_name", "left").groupBy(
-        F.trunc(F.to_date("start_time"), "week").alias("period"), F.coalesce("category", F.lit("OTHER_COMPUTE")).alias("category")
+    """Spend per week and category with change on the week before, over the log of one month."""
+    return _spend(lab, lab.metering(), "week")
+
+
+def spend_by_month(lab: Lab) -> DataFrame:
+    """Spend per month and category with change on the month before, over the last year of the long log."""
+    recent = F.col("start_time") >= F.trunc(months_before(ACCESS_AS_OF, 12), "month")
+    return _spend(lab, lab.long_metering().filter(recent), "month")
+
+
+def _spend(lab: Lab, log: DataFrame, period: str) -> DataFrame:
+    spend = log.join(_config(lab).select("warehouse_name", F.col("budget_category").alias("category")), "warehouse_name", "left").groupBy(
+        F.trunc(F.to_date("start_time"), period).alias("period"), F.coalesce("category", F.lit("OTHER_COMPUTE")).alias("category")
     ).agg(F.sum("credits_used").alias("credits_used"))
     previous = F.lag("credits_used").over(Window.partitionBy("category").orderBy("period"))
     out = spend.withColumn("previous", previous)
@@ -198,6 +219,6 @@ def share_usage(lab: Lab) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    running_usage, usage_cost, quota_status, thresholds, budget_dashboard, budget_alerts, spend_mom, cost_anomaly, team_share,
+    running_usage, usage_cost, quota_status, thresholds, budget_dashboard, budget_alerts, alert_log, spend_mom, spend_by_month, cost_anomaly, team_share,
     storage_trend, storage_by_database, largest_tables, share_usage,
 ]}

@@ -10,7 +10,7 @@ from tallyloom.functions.numbers import count_when, dbl, mean, rounded, sum_when
 from tallyloom.functions.picks import below
 from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, summary, tokens, with_tokens
 from tallyloom.operators.digest import digest
-from tallyloom.operators.search import build_index, nearest, search
+from tallyloom.operators.search import build_index, nearest, search, search_queries, search_stored, write_index
 from tallyloom.plans.products import _customer_360
 from tallyloom.sources.lab import Lab
 from tallyloom.sources.shared import shared_path
@@ -205,7 +205,28 @@ def term_statistics(lab: Lab) -> DataFrame:
     return build_index(lab.knowledge_base(), "article_id", "content").groupBy("term").agg(F.count("*").alias("documents"), F.sum("tf").alias("occurrences"))
 
 
+def _stored_index(lab: Lab) -> str:
+    path = shared_path(lab.spark, "search-index")
+    write_index(lab.knowledge_base(), path, "article_id", "content", ["title", "category", "product"])
+    return path
+
+
+def index_search(lab: Lab) -> DataFrame:
+    """The same search as ``text_search``, from a written index."""
+    return search_stored(lab.spark, _stored_index(lab), "article_id", _benchmark_question(lab), ["category", "product", "title"], 5)
+
+
+def index_search_filtered(lab: Lab) -> DataFrame:
+    return search_stored(lab.spark, _stored_index(lab), "article_id", "how is that to be with the and for", ["product"], 3, where=F.col("product") == "en")
+
+
+def search_batch(lab: Lab) -> DataFrame:
+    """The three best articles for every benchmark text."""
+    return search_queries(lab.spark, _stored_index(lab), "article_id", lab.raw("benchmark"), "item_id", "text", 3)
+
+
 QUERIES = {
+    "index_search": index_search, "index_search_filtered": index_search_filtered, "search_batch": search_batch,
     "sentiment": sentiment_scores, "sentiment_by_group": sentiment_by_group, "mismatch": mismatch, "most_negative": most_negative, "at_risk_feedback": at_risk_feedback,
     "language": language_found, "classify": classified, "classify_trained": classify_trained, "answers": answers, "context_answers": context_answers, "prompt_rows": prompt_rows,
     "document_summaries": document_summaries, "weekly_digest": weekly_digest, "whole_digest": whole_digest, "enrich_once": enrich_once, "hashed_vectors": hashed_vectors,

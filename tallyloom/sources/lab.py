@@ -209,6 +209,14 @@ class Lab:
             "CAST(value AS DECIMAL(18,2)) AS credits_used",
         )
 
+    def long_metering(self) -> DataFrame:
+        """Usage over years; the last warehouse has no configuration."""
+        return self.raw("lineitem").selectExpr(
+            "element_at(array('WH_VIEW', 'WH_CLICK', 'WH_PURCHASE', 'WH_SIGNUP', 'WH_ERROR', 'WH_SPARE'), CAST(l_suppkey % 6 + 1 AS INT)) AS warehouse_name",
+            "l_shipdate AS start_time",
+            "CAST(l_quantity AS DECIMAL(18,2)) AS credits_used",
+        )
+
     def logins(self) -> DataFrame:
         return self.raw("events").selectExpr(
             "event_id",
