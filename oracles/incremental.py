@@ -1,6 +1,6 @@
 """SQL statements of change capture, merges, snapshots and monitoring."""
 
-from oracles.medallion import BRONZE
+from oracles.medallion import BRONZE, SILVER, gold_revenue
 
 V = """v1 AS (SELECT customer_id, company_name, segment, account_status, csm_owner, created_date FROM customers),
  v2 AS (SELECT customer_id, company_name, segment, CASE WHEN customer_id % 13 = 0 THEN 'Churned' ELSE account_status END AS account_status, csm_owner, created_date
@@ -78,6 +78,9 @@ SQL = {
       UNION ALL SELECT '10 MIN AGO', count(*), count(*) FILTER (account_status = 'Active') FROM v1""",
     "restore_deleted": f"WITH {V} SELECT * FROM v2 UNION ALL SELECT * FROM v1 WHERE customer_id NOT IN (SELECT customer_id FROM v2)",
     "restore_by_predicate": f"WITH {V} SELECT * FROM v2",
+    "reload_table": f"WITH {V} SELECT * FROM v2",
+    "layer_refresh": f"""WITH {SILVER}, loaded AS (SELECT customer_id, segment, health_score FROM sc
+      UNION ALL SELECT customer_id + 1000000000, upper(segment), 50 + customer_id * 7 % 50 FROM customers WHERE customer_id % 100 = 0) {gold_revenue('loaded')}""",
     "delete_first_rows": f"WITH {V} SELECT * FROM v1 WHERE customer_id NOT IN (SELECT customer_id FROM v1 ORDER BY customer_id LIMIT 5)",
     "working_copy": """SELECT 'ORIGINAL' AS source, count(*) AS total, 0 AS test_status_count FROM customers
       UNION ALL SELECT 'CLONE', count(*), count(*) FILTER (company_name LIKE 'Customer#0000001%') FROM customers""",

@@ -29,16 +29,20 @@ def gold_360(users: str) -> str:
 
 GROUP = " GROUP BY c.customer_id, c.company_name, c.segment, c.industry, c.health_score, c.created_date"
 
+def gold_revenue(customers: str) -> str:
+    return f"""SELECT c.segment, count(DISTINCT c.customer_id) AS customer_count, CAST(sum(s.mrr) AS DOUBLE) AS total_mrr,
+      CAST(sum(s.mrr) * 12 AS DOUBLE) AS total_arr, round(CAST(sum(s.mrr) AS DOUBLE) / count(s.mrr), 4) AS avg_mrr_per_subscription,
+      count(DISTINCT s.subscription_id) AS subscription_count, round(CAST(sum(c.health_score) AS DOUBLE) / count(c.health_score), 4) AS avg_health_score
+      FROM {customers} c LEFT JOIN ss s ON c.customer_id = s.customer_id AND s.status = 'ACTIVE' GROUP BY 1"""
+
+
 SQL = {
     "silver_customers": f"WITH {SILVER} SELECT * REPLACE (CAST(mrr AS DOUBLE) AS mrr) FROM sc",
     "silver_subscriptions": f"WITH {SILVER} SELECT * REPLACE (CAST(mrr AS DOUBLE) AS mrr) FROM ss",
     "silver_users": f"WITH {SILVER} SELECT * FROM su",
     "gold_customer_360": gold_360("(SELECT count(*) FROM su WHERE su.customer_id = c.customer_id) AS user_count,") + GROUP,
     "gold_customer_360_faithful": gold_360("count(DISTINCT u.user_id) AS user_count,") + " LEFT JOIN su u ON c.customer_id = u.customer_id " + GROUP,
-    "gold_revenue": f"""WITH {SILVER} SELECT c.segment, count(DISTINCT c.customer_id) AS customer_count, CAST(sum(s.mrr) AS DOUBLE) AS total_mrr,
-      CAST(sum(s.mrr) * 12 AS DOUBLE) AS total_arr, round(CAST(sum(s.mrr) AS DOUBLE) / count(s.mrr), 4) AS avg_mrr_per_subscription,
-      count(DISTINCT s.subscription_id) AS subscription_count, round(CAST(sum(c.health_score) AS DOUBLE) / count(c.health_score), 4) AS avg_health_score
-      FROM sc c LEFT JOIN ss s ON c.customer_id = s.customer_id AND s.status = 'ACTIVE' GROUP BY 1""",
+    "gold_revenue": f"WITH {SILVER} {gold_revenue('sc')}",
     "gold_products": f"""WITH {SILVER} SELECT product_name, count(DISTINCT customer_id) AS customer_count, count(subscription_id) AS subscription_count,
       CAST(sum(CASE WHEN status = 'ACTIVE' THEN mrr ELSE 0 END) AS DOUBLE) AS active_mrr, CAST(sum(CASE WHEN status = 'CANCELLED' THEN mrr ELSE 0 END) AS DOUBLE) AS churned_mrr,
       round(sum(CASE WHEN status = 'CANCELLED' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*), 2) AS churn_rate_pct FROM ss GROUP BY 1""",

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import day, minute_diff, month_diff, month_of, second_diff
 from tallyloom.functions.numbers import count_when, dbl, mean
 from tallyloom.operators.changes import change_feed, merge_additive, merge_dimension, revenue_movements, revenue_movements_as_written
-from tallyloom.plans.medallion import bronze_customers, field, land
+from tallyloom.plans.medallion import bronze_customers, bronze_subscriptions, field, land, load_customers, to_gold_revenue, to_silver_subscriptions
 from tallyloom.sources.lab import EVENTS_AS_OF, ORDERS_AS_OF, Lab
 from tallyloom.sources.shared import shared_path
 from tallyloom.sources.snapshots import publish, read_as_of, write_snapshot
-from tallyloom.sources.tables import delete_matching, delete_where, insert_if_absent, union_padded, update_where
+from tallyloom.sources.tables import delete_matching, delete_where, insert_if_absent, union_padded, update_where, write_table
 
 MERGED_AT = "2024-01-31 00:00:00"
 
@@ -217,13 +217,34 @@ def past_copy(lab: Lab) -> DataFrame:
     return read_as_of(lab.spark, target).groupBy("account_status").agg(F.count("*").alias("customers"))
 
 
-def _staging(lab: Lab) -> DataFrame:
-    """Production bronze rows plus a batch of new customers, one per hundred existing ones."""
+def _fresh_batch(lab: Lab) -> DataFrame:
+    """A batch of new customers, one per hundred existing ones, as bronze rows."""
     fresh = lab.customers(geo=True).filter("customer_id % 100 = 0").select(
         (F.col("customer_id") + 1000000000).alias("customer_id"), F.concat(F.lit("New Customer "), "customer_id").alias("company_name"),
         "segment", "industry", "mrr", (50 + F.col("customer_id") * 7 % 50).cast("int").alias("health_score"), F.lit("2024-01-31").alias("created_date"),
     )
-    return bronze_customers(lab).unionByName(land(fresh, "monthly_batch_load", "batch_2024_004", MERGED_AT))
+    return land(fresh, "monthly_batch_load", "batch_2024_004", MERGED_AT)
+
+
+def _staging(lab: Lab) -> DataFrame:
+    """Production bronze rows plus the new batch."""
+    return bronze_customers(lab).unionByName(_fresh_batch(lab))
+
+
+def layer_refresh(lab: Lab) -> DataFrame:
+    """Stored bronze, silver and gold: a new batch flows through without parsing what was loaded before."""
+    root = shared_path(lab.spark, "layers")
+    load_customers(lab.spark, root, 0, bronze_customers(lab))
+    silver = load_customers(lab.spark, root, 1, _fresh_batch(lab))
+    gold = to_gold_revenue(silver, to_silver_subscriptions(bronze_subscriptions(lab)))
+    return write_table(gold, f"{root}/gold")
+
+
+def reload_table(lab: Lab) -> DataFrame:
+    """Truncate and reload: the second load replaces the first."""
+    path = shared_path(lab.spark, "reloaded")
+    write_table(_customers_before(lab), path)
+    return write_table(_customers_after(lab), path)
 
 
 def validate_staging(lab: Lab) -> DataFrame:
@@ -257,4 +278,5 @@ QUERIES = {
     "feed_status": feed_status, "freshness": freshness, "refresh_duration": refresh_duration, "recent_refreshes": recent_refreshes, "stream_status": stream_status,
     "as_of_read": as_of_read, "now_vs_then": now_vs_then, "restore_deleted": restore_deleted, "restore_by_predicate": restore_by_predicate,
     "delete_first_rows": delete_first_rows, "working_copy": working_copy, "past_copy": past_copy, "validate_staging": validate_staging, "batch_mix": batch_mix, "enrich_absent": enrich_absent,
+    "layer_refresh": layer_refresh, "reload_table": reload_table,
 }

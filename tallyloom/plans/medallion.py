@@ -8,7 +8,7 @@ same functions on a micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import labels
@@ -63,16 +63,39 @@ def bronze_users(lab: Lab) -> DataFrame:
 # -- silver ------------------------------------------------------------------
 
 
-def to_silver_customers(bronze: DataFrame) -> DataFrame:
-    typed = bronze.select(
+def typed_customers(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         field("CUSTOMER_ID", "bigint").alias("customer_id"), field("COMPANY_NAME").alias("company_name"), F.upper(field("SEGMENT")).alias("segment"),
         field("INDUSTRY").alias("industry"), field("MRR", "decimal(18,2)").alias("mrr"), field("HEALTH_SCORE", "int").alias("health_score"),
         F.try_to_date(field("CREATED_DATE"), "yyyy-MM-dd").alias("created_date"), "_source_system", "_ingested_at", "_batch_id",
     )
+
+
+def newest_customers(typed: DataFrame) -> DataFrame:
+    """The last row of every customer; rows of one batch are told apart by their content."""
     newest = latest_per_key(typed.withColumn("_tie", F.xxhash64(*typed.columns)), ["customer_id"], ["_ingested_at", "_batch_id", "_tie"]).drop("_tie").drop("_batch_id")
     return newest.withColumn("_dq_status", F.when(F.col("health_score").between(0, 100), labels.QUALITY["valid"]).otherwise(labels.QUALITY["bad_score"]))
 
 
+def to_silver_customers(bronze: DataFrame) -> DataFrame:
+    return newest_customers(typed_customers(bronze))
+
+
+def load_customers(spark: SparkSession, root: str, load: int, arrived: DataFrame) -> DataFrame:
+    """Store an arrived bronze batch and the silver rows after it, and read silver back.
+
+    Only the batch is parsed: silver of the load before holds everything
+    older. Each load writes folders of its own, so a repeat replaces its output.
+    """
+    arrived.write.mode("overwrite").parquet(f"{root}/bronze/load={load}")
+    typed = typed_customers(spark.read.parquet(f"{root}/bronze/load={load}"))
+    if load:
+        older = spark.read.parquet(f"{root}/silver/load={load - 1}").drop("_dq_status").withColumn("_batch_id", F.lit(None).cast("string"))
+        typed = typed.unionByName(older)
+    newest_customers(typed).write.mode("overwrite").parquet(f"{root}/silver/load={load}")
+    return spark.read.parquet(f"{root}/silver/load={load}")
+
+
 def to_silver_subscriptions(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         field("SUBSCRIPTION_ID", "bigint").alias("subscription_id"), field("CUSTOMER_ID", "bigint").alias("customer_id"), field("PRODUCT").alias("product_name"),
