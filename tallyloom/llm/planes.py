@@ -109,7 +109,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 kind = "byte" if not row["blocks"] or len(row["blocks"][0]["sizes"]) == 4 else "bit"
                 data, ids = row["payload"], []
                 for b in row["blocks"]:
@@ -122,7 +123,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
 
     chunks = spark.read.schema(CHUNK).parquet(f"{path}/chunks")
-    return modest_batches(chunks, 16).mapInArrow(decode, "doc_id long, shard int, first long, n_tokens long, ids binary")
+    return chunks.mapInArrow(decode, "doc_id long, shard int, first long, n_tokens long, ids binary")
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:

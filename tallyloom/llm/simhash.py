@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import keyed_texts, modest_batches, one_of_repeats, packed_rows, stored, utf8
 from tallyloom.llm.components import components
 
-HOT = 64
+HOT = 4096
 BITS = 64
 
 
@@ -81,7 +81,8 @@ def _masks(segments: int) -> list[int]:
 def _ball(mask: int, radius: int) -> Column:
     """All flips of at most ``radius`` bits of a part."""
     bits = [1 << b for b in range(BITS) if mask >> b & 1]
-    return F.array(*[F.lit(_signed(sum(c))).cast("long") for r in range(radius + 1) for c in combinations(bits, r)])
+    flips = [_signed(sum(c)) for r in range(radius + 1) for c in combinations(bits, r)]
+    return F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")  # one constant, however large
 
 
 def _extended(rows: DataFrame, masks: list[int], most: int, probe: bool, level: int) -> DataFrame:
@@ -113,7 +114,7 @@ def links(prints: DataFrame, most: int = 2, segments: int = 2) -> DataFrame:
         table = _extended(table, masks, most, False, level)
         if level:
             table = table.distinct()
-        table = stored(table.drop("spent"), "table")
+        table = stored(table, "table")
         sizes = stored(table.groupBy("parts", "key").agg(F.count("*").alias("n")).where(F.col("n") > HOT), "hot")
         probes = _extended(probes, masks, most, True, level)
         hot = not sizes.isEmpty()
@@ -121,10 +122,11 @@ def links(prints: DataFrame, most: int = 2, segments: int = 2) -> DataFrame:
             probes = stored(probes, "probes")
         keys = ["parts", "key"]
         rare, asked = (table.join(sizes, keys, "left_anti"), probes.join(sizes, keys, "left_anti")) if hot else (table, probes)
-        met = asked.withColumnRenamed("fp", "a").join(rare.withColumnRenamed("fp", "b"), keys)
+        met = asked.withColumnRenamed("fp", "a").join(rare.drop("spent").withColumnRenamed("fp", "b"), keys)
         apart = F.col("a").bitwiseXOR(F.col("b"))
         met = met.where((F.col("a") != F.col("b")) & (F.bit_count(apart) <= most))
-        if level == 0:  # a pair that agrees in several parts is taken at the first
+        if level == 0:  # a pair that agrees in several parts is taken at the first, and once
+            met = met.where((F.col("spent") > 0) | (F.col("a") < F.col("b")))
             for i in range(1, segments):
                 sooner = [F.bit_count(apart.bitwiseAND(F.lit(_signed(m)))) > most // segments for m in masks[:i]]
                 met = met.where(reduce(and_, sooner, F.lit(True)) | (F.col("parts") != 1 << i))
@@ -132,7 +134,7 @@ def links(prints: DataFrame, most: int = 2, segments: int = 2) -> DataFrame:
         found = met if found is None else found.unionByName(met)
         if not hot:
             break
-        table = table.join(sizes.select(*keys), keys, "left_semi").withColumn("spent", F.lit(0))
+        table = table.join(sizes.select(*keys), keys, "left_semi")
         probes = probes.join(sizes.select(*keys), keys, "left_semi")
     return found.distinct()
 
