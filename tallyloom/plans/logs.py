@@ -7,11 +7,11 @@ arrays are exploded after the object filter columns are cut down.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import day, day_diff, days_before
-from tallyloom.functions.numbers import bytes_as, count_when, dbl, mean, rounded, safe_div, safe_pct
+from tallyloom.functions.numbers import bytes_as, count_when, dbl, rounded, safe_div, safe_pct
 from tallyloom.sources.lab import ACCESS_AS_OF, EVENTS_AS_OF, Lab
 from tallyloom.sources.tables import union_padded
 
