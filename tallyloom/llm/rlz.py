@@ -26,7 +26,6 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyloom.llm.common import modest_batches, utf8
 from tallyloom.llm.repeats import LAST, merged, ordered_texts, repeated_spans
