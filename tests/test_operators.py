@@ -261,18 +261,18 @@ def test_silver_rules_and_propagation(spark):
 
 @pytest.fixture(scope="module")
 def person(spark):
-    return spark.createDataFrame([("John Smith", "john.smith@acmefinancial.com", "(555) 123-4567", 1234.0)], "full_name string, email string, phone string, mrr double")
+    return spark.createDataFrame([("Mira Okafor", "mira.okafor@northquay.example", "(412) 555-0198", 1234.0)], "full_name string, email string, phone string, mrr double")
 
 
 def test_short_masks(person):
     policy = Policy(masks={"full_name": masks.short_name_mask, "email": masks.short_email_mask, "phone": masks.short_phone_mask})
-    assert tuple(governed(person, policy, "admin").first())[:3] == ("John Smith", "john.smith@acmefinancial.com", "(555) 123-4567")
-    assert tuple(governed(person, policy, "analyst").first())[:3] == ("J. Smith", "****@acmefinancial.com", "(***) ***-4567")
+    assert tuple(governed(person, policy, "admin").first())[:3] == ("Mira Okafor", "mira.okafor@northquay.example", "(412) 555-0198")
+    assert tuple(governed(person, policy, "analyst").first())[:3] == ("M. Okafor", "****@northquay.example", "(***) ***-0198")
 
 
 @pytest.mark.parametrize("role,want", [
-    ("compliance", ("John Smith", "john.smith@acmefinancial.com", "(555) 123-4567", 1234.0)),
-    ("engineer", ("J***", "****@acmefinancial.com", "(***) ***-4567", 1234.0)),
+    ("compliance", ("Mira Okafor", "mira.okafor@northquay.example", "(412) 555-0198", 1234.0)),
+    ("engineer", ("M***", "****@northquay.example", "(***) ***-0198", 1234.0)),
     ("viewer", ("***", "****@****.***", "(***) ***-****", 1200.0)),
     ("nobody", ("***", "****@****.***", "(***) ***-****", None)),
 ])
@@ -283,8 +283,8 @@ def test_tiered_masks(person, role, want):
 
 def test_tags(person):
     tagged = tag_columns(person, {"email": "DIRECT_IDENTIFIER", "full_name": "QUASI_IDENTIFIER"})
-    assert tuple(mask_by_tags(tagged, "analyst").first())[:3] == ("J***", "***REDACTED***", "(555) 123-4567")
-    assert mask_by_tags(tagged, "admin").first()["email"] == "john.smith@acmefinancial.com"
+    assert tuple(mask_by_tags(tagged, "analyst").first())[:3] == ("M***", "***REDACTED***", "(412) 555-0198")
+    assert mask_by_tags(tagged, "admin").first()["email"] == "mira.okafor@northquay.example"
 
 
 def test_row_policies(spark):
