@@ -2,7 +2,8 @@
 
 from oracles.products import SHARED
 
-PATTERNS = {"EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}", "PHONE": "[(]?[0-9]{3}[)]?[ -][0-9]{3}-[0-9]{4}", "SSN": "[0-9]{3}-[0-9]{2}-[0-9]{4}"}
+PATTERNS = {"EMAIL": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}", "PHONE": "[(]?[0-9]{3}[)]?[ -][0-9]{3}-[0-9]{4}", "SSN": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+            "NAME": "^[A-Z][a-z]+( [A-Z][.]?)? [A-Z][a-z]+$", "ADDRESS": "^[0-9]+ [A-Z][A-Za-z]+( [A-Z][A-Za-z]+)* (Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Way|Square)[.]?(,|$)"}
 HINT = {"full_name": "NAME", "first_name": "NAME", "last_name": "NAME", "email": "EMAIL", "phone": "PHONE", "role": "OTHER", "text": "OTHER", "lang": "OTHER", "source": "OTHER"}
 
 
