@@ -42,6 +42,11 @@ SQL = {
       SELECT segment, industry, customer_count, total_mrr, average_mrr, avg_health_score, subscription_count, avg_nps, promoter_count, detractor_count
       FROM a FULL OUTER JOIN b USING (segment, industry) FULL OUTER JOIN c USING (segment, industry)""",
     "metrics_by_synonym": f"""WITH {FB} SELECT segment, average_mrr, avg_nps FROM (SELECT segment, {CUST} FROM customers GROUP BY 1) FULL OUTER JOIN (SELECT segment, {FEED} FROM fb GROUP BY 1) USING (segment)""",
+    "metrics_two_hops": f"""WITH {FB}, n AS (SELECT r_name AS industry, r_regionkey AS industry_no FROM region) SELECT industry_no, avg_nps, subscription_count FROM
+      (SELECT industry_no, {FEED} FROM fb LEFT JOIN n USING (industry) GROUP BY 1) FULL OUTER JOIN
+      (SELECT industry_no, count(*) AS subscription_count FROM subscriptions LEFT JOIN customers USING (customer_id) LEFT JOIN n USING (industry) GROUP BY 1) USING (industry_no)""",
+    "facts_by_row": """SELECT product_name AS product, segment, r_regionkey AS industry_no, CAST(s.mrr_amount AS DOUBLE) AS subscription_mrr, CAST(c.mrr AS DOUBLE) AS customer_mrr, c.health_score
+      FROM subscriptions s LEFT JOIN customers c ON s.customer_id = c.customer_id LEFT JOIN region ON r_name = c.industry""",
     "nps_metrics": f"WITH {FB} SELECT nps_category, segment, {FEED} FROM fb GROUP BY 1, 2",
     "subscription_metrics": """SELECT product_name AS product, status AS subscription_status, segment, count(*) AS subscription_count
       FROM subscriptions JOIN (SELECT customer_id, segment FROM customers) USING (customer_id) GROUP BY 1, 2, 3""",

@@ -37,6 +37,37 @@ class SemanticModel:
         raise KeyError(name)
 
 
+def widened(model: SemanticModel, table: str, wanted: set[str]) -> DataFrame:
+    """A table joined to the ancestors that lead to the wanted tables, over any number of relationships; no row is repeated."""
+    frame, reached, ends = model.tables[table], {table}, [table]
+    leads = lambda t: t in wanted or any(leads(up) for child, _, up in model.relationships if child == t)
+    while ends:
+        at = ends.pop(0)
+        for child, key, parent in model.relationships:
+            if child == at and parent not in reached and leads(parent):
+                owner, taken = model.tables[parent], set(frame.columns)
+                frame = frame.join(owner.select(key, *[c for c in owner.columns if c not in taken]), key, "left")
+                reached.add(parent)
+                ends.append(parent)
+    if wanted - reached:
+        raise ValueError(f"{sorted(wanted - reached)} would repeat rows of {table}")
+    return frame
+
+
+def query_facts(model: SemanticModel, facts: list[str], dimensions: list[str]) -> DataFrame:
+    """Facts row by row with dimensions, at the grain of the most detailed table among those named."""
+    facts = [model.resolve(f, model.facts) for f in facts]
+    dimensions = [model.resolve(d, model.dimensions) for d in dimensions]
+    wanted = {model.facts[f].table for f in facts} | {model.dimensions[d].table for d in dimensions}
+    for table in wanted:
+        try:
+            frame = widened(model, table, wanted)
+        except ValueError:
+            continue
+        return frame.select(*[model.dimensions[d].expr.alias(d) for d in dimensions], *[model.facts[f].expr.alias(f) for f in facts])
+    raise ValueError(f"no table reaches all of {sorted(wanted)}")
+
+
 def query_metrics(model: SemanticModel, metrics: list[str], dimensions: list[str]) -> DataFrame:
     """Metrics by dimensions, aggregated per source table and then aligned.
 
@@ -48,17 +79,7 @@ def query_metrics(model: SemanticModel, metrics: list[str], dimensions: list[str
     dimensions = [model.resolve(d, model.dimensions) for d in dimensions]
     parts = []
     for table in dict.fromkeys(model.metrics[m].table for m in metrics):
-        frame, reached = model.tables[table], {table}
-        for child, key, parent in model.relationships:
-            needed = any(model.dimensions[d].table == parent for d in dimensions)
-            if child == table and needed:
-                taken = set(frame.columns)
-                owner = model.tables[parent]
-                frame = frame.join(owner.select(key, *[c for c in owner.columns if c not in taken]), key, "left")
-                reached.add(parent)
-        outside = [d for d in dimensions if model.dimensions[d].table not in reached]
-        if outside:
-            raise ValueError(f"{outside} would repeat rows of {table}")
+        frame = widened(model, table, {model.dimensions[d].table for d in dimensions})
         grouped = frame.withColumns({f"_d_{d}": model.dimensions[d].expr for d in dimensions}).groupBy(*[F.col(f"_d_{d}").alias(d) for d in dimensions])
         parts.append(grouped.agg(*[model.metrics[m].expr.alias(m) for m in metrics if model.metrics[m].table == table]))
     if len(parts) == 1:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import month_of
 from tallyloom.functions.numbers import count_when, dbl, mean, rounded, safe_div, safe_pct
-from tallyloom.operators.semantic import Named, SemanticModel, query_metrics, semantic_view
+from tallyloom.operators.semantic import Named, SemanticModel, query_facts, query_metrics, semantic_view
 from tallyloom.operators.series import anomalies, forecast
 from tallyloom.plans.products import _customer_base, _mrr_history, _revenue_base, _support_base, _usage_base, daily_usage
 from tallyloom.sources.lab import Lab
@@ -48,13 +48,15 @@ def model(lab: Lab) -> SemanticModel:
             "customers": lab.customers(geo=True),
             "subscriptions": lab.subscriptions(),
             "feedback": lab.feedback().select("feedback_id", "customer_id", "nps_score"),
+            "industries": lab.raw("region").select(F.col("r_name").alias("industry"), F.col("r_regionkey").alias("industry_no")),
         },
-        keys={"customers": "customer_id", "subscriptions": "subscription_id", "feedback": "feedback_id"},
-        relationships=[("subscriptions", "customer_id", "customers"), ("feedback", "customer_id", "customers")],
+        keys={"industries": "industry", "customers": "customer_id", "subscriptions": "subscription_id", "feedback": "feedback_id"},
+        relationships=[("subscriptions", "customer_id", "customers"), ("feedback", "customer_id", "customers"), ("customers", "industry", "industries")],
         dimensions={
             "customer_id": Named("customers", F.col("customer_id"), "Customer ID"),
             "segment": Named("customers", F.col("segment"), "Customer Segment", ("tier", "size", "customer tier")),
             "industry": Named("customers", F.col("industry"), "Industry Type"),
+            "industry_no": Named("industries", F.col("industry_no"), "Industry Number"),
             "product": Named("subscriptions", F.col("product_name"), "Product Name", ("subscription product",)),
             "subscription_status": Named("subscriptions", F.col("status"), "Subscription Status"),
             "nps_category": Named("feedback", category, "NPS Category"),
@@ -90,6 +92,16 @@ def metrics_by_synonym(lab: Lab) -> DataFrame:
     return query_metrics(model(lab), ["ARPU", "satisfaction score"], ["tier"])
 
 
+def metrics_two_hops(lab: Lab) -> DataFrame:
+    """Survey and subscription metrics by an attribute two relationships away."""
+    return query_metrics(model(lab), ["NPS score", "subscription_count"], ["industry_no"])
+
+
+def facts_by_row(lab: Lab) -> DataFrame:
+    """Facts of subscriptions and their customers, one row per subscription."""
+    return query_facts(model(lab), ["subscription_mrr", "customer_mrr", "health_score"], ["product", "segment", "industry_no"]).withColumns({c: dbl(c) for c in ("subscription_mrr", "customer_mrr")})
+
+
 def nps_metrics(lab: Lab) -> DataFrame:
     return query_metrics(model(lab), ["promoter_count", "detractor_count", "avg_nps"], ["nps_category", "segment"])
 
@@ -183,6 +195,6 @@ VERIFIED = {
 }
 
 QUERIES = {f.__name__: f for f in [
-    mrr_forecast, product_forecast, login_anomalies, flagged_anomalies, metrics_by_segment, metrics_all_tables, metrics_by_synonym, nps_metrics, subscription_metrics,
+    mrr_forecast, product_forecast, login_anomalies, flagged_anomalies, metrics_by_segment, metrics_all_tables, metrics_by_synonym, metrics_two_hops, facts_by_row, nps_metrics, subscription_metrics,
     segment_view_query, product_view_query,
 ]} | {name: build for name, (_, _, build) in VERIFIED.items()}
