@@ -8,29 +8,39 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import stored
 
 
+def _rooted(tree: DataFrame) -> DataFrame:
+    """(node, root) of a forest (node, parent) in which roots are their own parents; paths halve in every round."""
+    while True:
+        up = tree.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
+        told = stored(tree.join(up, "parent").select("node", "parent", "over"), "told")
+        tree = told.select("node", F.col("over").alias("parent"))
+        if told.where("parent <> over").isEmpty():
+            return tree.select("node", F.col("parent").alias("root"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b): root is the least node it is linked to, over any number of links.
 
-    Each round lets every node and its parent take the least grandparent of the
-    node's neighbours, and shortens paths; rounds grow with the logarithm of the
-    longest path. Parents only sink, so an unchanged sum ends it. Every round is
-    stored, which cuts the lineage and gives each join inputs that adaptive
-    execution can split at a frequent parent.
+    Each round hangs every node on its least neighbour, finds the roots of these
+    trees and contracts the links to links between roots, so that nodes at least
+    halve and links inside a tree are gone: a dense group costs its links once.
+    Every round is stored, which cuts the lineage and gives each join inputs
+    that adaptive execution can split at a frequent root.
     """
-    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
-    edges = stored(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    tree = stored(edges.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("parent")), "tree")
-    total = F.sum(F.col("parent").cast("decimal(38,0)"))
-    last = tree.agg(total).first()[0]
-    while last is not None:
-        up = tree.select(F.col("node").alias("parent"), F.col("parent").alias("over"))
-        told = stored(tree.join(up, "parent").select("node", "parent", "over"), "told")
-        least = stored(edges.join(told.select(F.col("node").alias("v"), "over"), "v").groupBy(F.col("u").alias("node")).agg(F.min("over").alias("low")), "least")
-        both = told.join(least, "node")
-        offers = both.select("node", F.least("over", "low").alias("parent")).unionByName(both.select(F.col("parent").alias("node"), F.col("low").alias("parent")))
-        tree = stored(offers.groupBy("node").agg(F.min("parent").alias("parent")), "tree")
-        now = tree.agg(total).first()[0]
-        if now == last:
-            break
-        last = now
-    return tree.select("node", F.col("parent").alias("root"))
+    links = stored(links.select("a", "b").where("a <> b"), "links")
+    labels = None
+    while True:
+        ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
+        tree = stored(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("parent")), "tree")
+        roots = stored(_rooted(tree), "roots")
+        if labels is None:
+            labels = roots
+        else:
+            later = roots.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            labels = stored(labels.join(later, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
+        one = roots.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        two = roots.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        between = links.join(one, "a").join(two, "b").where("x <> y")
+        links = stored(between.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if links.isEmpty():
+            return labels
