@@ -2,11 +2,11 @@
 
 Terms come from labelled documents: words, and stems that many words of
 a toxic document begin with, which toxic documents use far more often than
-others. They form a trie. A Levenshtein automaton for one edit is run over the
+others; near copies count once. They form a trie. A Levenshtein automaton for one edit is run over the
 trie: its states, sets of (trie node, edits so far), are made as
 words ask for them and kept, so scanning a word is a walk over a deterministic
-automaton and most words die within a few letters. Stems and short words must
-match exactly.
+automaton and most words die within a few letters. Stems, short words and
+learned words that are not frequent must match exactly.
 
 A hit is judged by the words around it: within quotation marks or near a verb of
 reporting it counts as quoted, else as abuse. A logistic model over these counts
@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import modest_batches, packed_rows, stored
 
 SAMPLE, MOST_TERMS = 3000, 2000
-STEMS = (5, 6, 7)  # lengths of stems
+STEMS = (4, 5, 6, 7)  # lengths of stems
 EDGE = ".,;:!?()[]{}<>*_-\"'`“”„‘’«»…"
 # Words that insult in any context (a small stated lexicon; the rest is learned)
 SEEDS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "worthless", "pathetic", "disgusting", "imbecile", "bastard", "asshole", "bitch", "retard", "whore")
 # Verbs and nouns of reporting
 REPORT = frozenset("said says say wrote writes called calls quoted quotes quote cited term word insult slur dijo dice dit sagte sagt schrieb nannte".split())
 MARKS = "\"“”„«»"
+EDIT_LETTERS = 6  # words of fewer letters must match exactly
+ODDS = 20  # a learned term is this many times as frequent in toxic documents
 CONTEXT = 6  # words before a hit that are looked at
 WEIGHTS = (-4.0, 5.0, 1.5, 1.0)  # intercept, any abuse, more abuse, quoted; used without labels
 
@@ -48,13 +50,13 @@ class Lexicon:
     """Trie of words and stems, and the automaton of words within one edit of a term."""
 
     def __init__(self, terms: list[str]):
-        """``terms``: words, or stems with a closing star."""
+        """``terms``: words, words with a closing ~ that tolerate an edit, or stems with a closing star."""
         self.children: list[dict[str, int]] = [{}]
         self.word: list[int] = [-1]  # edits allowed for the word that ends here, -1: none
         self.stem: list[bool] = [False]
         for term in terms:
             node = 0
-            for c in term.rstrip("*"):
+            for c in term.rstrip("*~"):
                 node = self.children[node].setdefault(c, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
@@ -63,7 +65,7 @@ class Lexicon:
             if term.endswith("*"):
                 self.stem[node] = True
             else:
-                self.word[node] = 1 if len(term) >= 5 else 0
+                self.word[node] = max(self.word[node], int(term.endswith("~") and len(term) > EDIT_LETTERS))
         self.start = self._closed({(0, 0)})
         self.steps: dict[frozenset, dict[str, frozenset]] = {}
         self.known: dict[str, bool] = {}
@@ -157,11 +159,16 @@ def _learned_terms(texts: DataFrame, most: int) -> list[str]:
     toxic, clean = (totals[0] or 0), (totals[1] or 0)
     if not toxic or not clean:
         return []
-    # as rare as can be among clean documents, and in several toxic ones: both bounds scale with the sample
-    common = seen.where((F.col("t") >= max(3, 0.01 * toxic)) & (F.col("c") <= 0.002 * clean))
-    found = [r["term"] for r in common.orderBy(F.col("t").desc(), "term").limit(most).collect()]
+    # so much more frequent in toxic documents that chance cannot explain it, even for a term that clean ones lack
+    common = seen.where((F.col("t") >= max(4, 0.01 * toxic)) & (F.col("t") / toxic >= ODDS * (F.col("c") + 1) / clean))
+    rows = common.orderBy(F.col("t").desc(), "term").limit(most).collect()
+    # a stem whose documents one word accounts for adds nothing but chance hits
+    words = {r["term"]: r["t"] for r in rows if not r["term"].endswith("*")}
+    most_of = lambda stem: max((t for w, t in words.items() if w.startswith(stem)), default=0)
+    rows = [r for r in rows if not r["term"].endswith("*") or most_of(r["term"][:-1]) < 0.8 * r["t"]]
+    found = [r["term"] + ("~" if r["t"] >= 0.05 * toxic and not r["term"].endswith("*") else "") for r in rows]
     stems = {t[:-1] for t in found if t.endswith("*")}
-    covered = lambda t: any(t[:n] in stems for n in STEMS if n < len(t.rstrip("*")))
+    covered = lambda t: any(t[:n] in stems for n in STEMS if n < len(t.rstrip("*~")))
     return [t for t in found if not covered(t)]
 
 
@@ -186,10 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms:
     # at most 2 * sample rows of two numbers: small enough to send everywhere
     chosen = F.broadcast(known.where("toxic = 1").orderBy(order).limit(sample).unionByName(known.where("toxic = 0").orderBy(order).limit(sample)))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(chosen, "id")
-    texts = stored(texts, "labelled")
+    # copies would lend their words weight: one text for each beginning and each end
+    texts = texts.withColumns({"head": F.left("text", F.lit(40)), "tail": F.right("text", F.lit(40))}).dropDuplicates(["head"]).dropDuplicates(["tail"])
+    texts = stored(texts.select("id", "text", "toxic"), "labelled")
     terms = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 0)
     rest = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 1)
-    lexicon = tuple(sorted(set(_learned_terms(terms, most_terms)) | set(SEEDS)))
+    lexicon = tuple(sorted(set(_learned_terms(terms, most_terms)) | {f"{s}~" for s in SEEDS}))
 
     def each(batches):
         for batch in batches:
