@@ -157,7 +157,11 @@ def near_groups(docs: DataFrame, words: int = 3, most: int = 2, segments: int =
 
 def keep_one(docs: DataFrame, words: int = 5, most: int = 6, segments: int = 4) -> DataFrame:
     """Of each group the document with the least doc_id (null last), all its columns unchanged; others go."""
-    rows, groups = grouped(docs, words, most, segments)
+    return keep_of_groups(docs, *grouped(docs, words, most, segments))
+
+
+def keep_of_groups(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The documents with the least doc_id of each root, given rows (doc_id, th, fp) and groups (fp, root)."""
     told = rows.join(groups, "fp")
     chosen = told.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("win")).select("win.doc_id", "win.th")
     chosen = stored(chosen, "chosen")

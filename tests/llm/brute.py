@@ -82,3 +82,26 @@ def groups_of(prints, most):
         if d is not None:
             low_id[find(i)] = min(low_id.get(find(i), d), d)
     return [low_id.get(find(i)) for i in range(n)], len({find(i) for i in range(n)})
+
+
+def near_groups(texts, words, least):
+    """Lists of the positions of texts that links of shingle sets at least so similar connect, over all pairs."""
+    sets = []
+    for t in texts:
+        w = low(t).encode().split()
+        sets.append({tuple(w[i : i + words]) for i in range(len(w) - words + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if (a == b) or (min(len(a), len(b)) >= least * max(len(a), len(b)) and len(a & b) >= least * len(a | b)):
+                root[find(i)] = find(j)
+    out = defaultdict(list)
+    for i in range(len(sets)):
+        out[find(i)].append(i)
+    return list(out.values())

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chunked_bpe, components, exact, packing, planes, repeats, rlz, simhash, sketches, suffixes, toxicity, warc
+from tallyloom.llm import bpe, chunked_bpe, components, exact, near, packing, planes, repeats, rlz, simhash, sketches, suffixes, toxicity, warc
 from tallyloom.llm.queries import QUERIES, SQL, vocabulary
 from tests.check_sql import compare, connect
 from tests.llm import brute
@@ -370,6 +370,34 @@ def test_sketches_merge(spark):
     assert r.m == r.sc and r.inside >= 0.9
 
 
+# near copies ------------------------------------------------------------------------------------
+def near_rows():
+    """Copies with a few, with some and with many changed words, chains of changes, one large group and odd rows."""
+    rnd, rows = random.Random(11), []
+    for g in range(25):
+        words = [f"g{g}w{i}" for i in range(rnd.choice([30, 80, 200]))]
+        for c in range(8):
+            some = list(words)
+            for _ in range(rnd.randint(0, max(1, len(words) // 25))):
+                some[rnd.randrange(len(some))] = f"x{rnd.random()}"
+            rows.append((len(rows) + 20, " ".join(some)))
+            words = some if c % 3 == 2 else words
+    base = [f"b{i}" for i in range(100)]
+    rows += [(1000 + i, " ".join(base[: i % 97] + [f"y{i}"] + base[i % 97 + 1 :])) for i in range(150)]
+    return rows + odd_rows()
+
+
+def test_near_copies_are_those_of_similar_shingles(spark):
+    for docs, rows in [(table(spark, near_rows()), near_rows()), (documents(spark), plain(spark))]:
+        groups = brute.near_groups([t for _, t in rows], 5, 0.8)
+        want = Counter()
+        for g in groups:
+            want[min((rows[i][0] for i in g if rows[i][0] is not None), default=None)] += 1
+        left = near.keep_one(docs)
+        assert left.columns == docs.columns
+        assert Counter(r.doc_id for r in left.collect()) == want
+
+
 # pipeline ----------------------------------------------------------------------------------------
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
