@@ -59,7 +59,7 @@ class WordBpe:
         """Ids, and their tokens joined by spaces, of text without space or line end."""
         got = self.words.get(text)
         if got is None:
-            if text[-1:] in (",", ".") and text[:-1].isalpha():
+            if text[-1:] in (",", ".") and text[:-1].isalpha() and self.ends_in_letter(text[:-1]):
                 (a, s), (b, t) = self.word(text[:-1]), self.word(text[-1])
                 got = a + b, f"{s} {t}"
             else:
@@ -69,6 +69,10 @@ class WordBpe:
                 self.words[text] = got
         return got
 
+    def ends_in_letter(self, word: str) -> bool:
+        """Whether the word, normalised, is letters alone; a mark at its end would be one pre-token with punctuation after it."""
+        return word.isascii() or self.tok.normalizer is None or self.tok.normalizer.normalize_str(word).isalpha()
+
     def chunk(self, data: bytes) -> tuple:
         """(open start, ids, tokens, open end), or the text alone if it has no separator."""
         got = self.chunks.get(data)

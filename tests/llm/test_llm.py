@@ -277,6 +277,14 @@ def test_chunked_encoding(spark):
         assert got == Counter((d, len(i), bpe.packed(i), tok.decode(i, skip_special_tokens=False)) for d, i in encoded)
 
 
+@pytest.mark.parametrize("text", ["DALİ.", "तरक़,", "DALİ, DALİ", "तरक़.", "né, né.", "e\u0301, E\u0301."])
+def test_marks_left_by_the_normaliser(text):
+    path = vocabulary("word_bpe_49k.json")
+    tok, own = bpe.load(path), chunked_bpe.WordBpe(path)
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert own.encode(data, chunked_bpe.chunk_ends(data))[0] == bpe.packed(tok.encode(text, add_special_tokens=False).ids)
+
+
 # 7 ----------------------------------------------------------------------------------------------
 def test_archive_of_odd_pages(spark, tmp_path):
     big = "<p>" + "é" * 600
