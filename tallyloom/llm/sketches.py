@@ -8,9 +8,11 @@ documents of very different lengths; ``likeness`` is that of the smaller in the
 
 Each document is also compared with an edited text, whose last third is
 replaced by the beginning of the next document in descending doc_id order. For
-that, documents are dealt into ranges of doc_id at quantiles; within a range the
-next row is a window function over a bounded partition, and the first document
-of the following range visits as a guest row. Texts are shuffled once.
+that, documents are dealt into ranges of (doc_id, hash) at quantiles, so that rows
+that share an id or have none are split too; within a range the next row is a
+window function over a bounded partition, and the first document of the
+following range, found by aggregation, visits as a guest row. Texts are shuffled
+once. Rows equal in both are never split.
 
 Null text counts as empty: its sketch is empty, like 1 to another empty one and
 0 to any other. Fewer words than a shingle make one shingle. Rows that share a
@@ -28,6 +30,7 @@ from tallyloom.llm.common import keyed_texts
 
 WORDS, ONE_IN = 5, 8
 MOST_RANGES = 1000
+LEAST_HASH = -(1 << 63)
 
 
 def with_sketch(df: DataFrame, text: str, name: str, words: int = WORDS, one_in: int = ONE_IN) -> DataFrame:
@@ -64,27 +67,54 @@ def printed(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), ",")
 
 
+def _edges(texts: DataFrame) -> tuple[list[int], list[int], list[int]]:
+    """Borders of ranges: th of those among rows without an id; doc_id and th of those among the others, ascending.
+
+    An id (or none) that many rows share is cut at quantiles of th. Borders need not be values of rows.
+    """
+    ranges = min(MOST_RANGES, 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    quantiles = lambda k: [i / k for i in range(1, k)]
+    cuts, n = texts.agg(F.percentile_approx("doc_id", quantiles(ranges), 10_000), F.count("*")).first()
+    many = max(1, n // ranges)
+    frequent = texts.groupBy("doc_id").count().where(F.col("count") > 2 * many).collect()  # fewer than ranges / 2
+    ids, none = {(d, LEAST_HASH) for d in cuts or []}, set()
+    if frequent:
+        numbers = [r.doc_id for r in frequent if r.doc_id is not None]
+        among = F.col("doc_id").isin(numbers) if numbers else F.lit(False)
+        if len(numbers) < len(frequent):
+            among = among | F.col("doc_id").isNull()
+        ths = texts.where(F.coalesce(among, F.col("doc_id").isNull())).groupBy("doc_id").agg(F.percentile_approx("th", quantiles(ranges), 10_000).alias("ths"), F.count("*").alias("n"))
+        for d, found, count in ths.collect():
+            some = found[:: max(1, ranges // max(1, count // many))]
+            if d is None:
+                none |= set(some)
+            else:
+                ids |= {(d, t) for t in [LEAST_HASH, *some]}
+    ids = sorted(ids)
+    return sorted(none), [d for d, _ in ids], [t for _, t in ids]
+
+
 def _in_ranges(docs: DataFrame) -> DataFrame:
-    """Documents and guests with ``range`` and ``guest``, partitioned by range."""
+    """Documents and guests with ``range`` and ``guest``, partitioned by range; ranges rise with (doc_id, th), null ids first."""
     texts = keyed_texts(docs)
-    ranges = min(MOST_RANGES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts, top, none = texts.agg(F.percentile_approx("doc_id", steps, 10_000), F.max("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
-    edges = F.lit(sorted(set(cuts or []))).cast("array<bigint>")
-    below = lambda c: F.size(F.filter(edges, c))
-    doc_id = F.col("doc_id")
-    own = texts.withColumns({"range": F.when(doc_id.isNull(), -1).otherwise(below(lambda e: e < doc_id)), "guest": F.lit(0)})
-    guests = texts.where(doc_id.isin(sorted(set(cuts or [])))).withColumns({"range": below(lambda e: e <= doc_id), "guest": F.lit(1)})
-    first = texts.where(doc_id == top) if top is not None else texts
-    first_of_none = texts.where(doc_id.isNull())
-    if none:  # the rows without an id follow those with one
-        lead = first_of_none.agg(F.max("th")).first()[0]
-        first_of_none = first_of_none.where(F.col("th") == lead)
-        guests = guests.unionByName(first_of_none.withColumns({"range": F.lit(0), "guest": F.lit(1)}))
-        if top is None:
-            first = first_of_none
-    last = first.withColumns({"range": F.lit(-1 if none else 0), "guest": F.lit(2)})
-    return own.unionByName(guests).unionByName(last).repartition("range")
+    none, ids, ths = _edges(texts)
+    longs = lambda x: F.lit(x).cast("array<bigint>")
+    doc_id, th = F.col("doc_id"), F.col("th")
+    edges = F.arrays_zip(longs(ids).alias("d"), longs(ths).alias("t"))
+    of_none = F.size(F.filter(longs(none), lambda t: t <= th))
+    of_ids = F.size(F.filter(edges, lambda e: (e["d"] < doc_id) | ((e["d"] == doc_id) & (e["t"] <= th)))) + len(none) + 1
+    own = texts.withColumns({"range": F.when(doc_id.isNull(), of_none).otherwise(of_ids), "guest": F.lit(0)})
+    # the first row of a range follows the last row of the range above it; that of the highest follows the lowest
+    firsts = own.groupBy("range").agg(F.max(F.struct("doc_id", "th")).alias("row")).collect()  # at most a row for each range
+    if firsts:
+        firsts = sorted(((r["range"], *r["row"]) for r in firsts), key=lambda r: r[0])
+        visits = list(zip([r[0] for r in firsts[1:] + firsts[:1]], firsts))
+        columns = {"to": [to for to, _ in visits], "blank": [int(d is None) for _, (_, d, _) in visits], "id": [d or 0 for _, (_, d, _) in visits], "hash": [t for _, (_, _, t) in visits]}
+        visit = texts.sparkSession.range(1).select(F.inline(F.arrays_zip(*[longs(v).alias(k) for k, v in columns.items()])))
+        same = (th == F.col("hash")) & (doc_id.isNull() == (F.col("blank") == 1)) & (F.coalesce(doc_id, F.lit(0)) == F.col("id"))
+        guests = texts.join(F.broadcast(visit), same).groupBy("to").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("th").alias("th"))
+        own = own.unionByName(guests.select("doc_id", "text", "th", F.col("to").cast("int").alias("range"), F.lit(1).alias("guest")))
+    return own.repartition("range")
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, one_in: int = ONE_IN) -> DataFrame:

@@ -370,6 +370,38 @@ def test_next_of_the_last_is_the_first(spark):
         assert len(got) <= len(rows)
 
 
+def by_hash(spark, rows):
+    """The rows with the row that follows each, in descending order of doc_id and hash."""
+    th = {r.text: r.th for r in sketches.keyed_texts(table(spark, rows)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, th[r[1]]), reverse=True)
+    return list(zip(order, order[1:] + order[:1]))
+
+
+def check_following(spark, rows):
+    want = Counter()
+    for (d, t), (_, f) in by_hash(spark, rows):
+        k = len(t) // 3
+        want[(d, len(t), hashlib.sha256((t[: len(t) - k] + f[:k]).encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in sketches.fingerprints(table(spark, rows)).collect()) == want
+
+
+def short_texts(n, seed):
+    rnd = random.Random(seed)
+    return [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(8, 20))) for _ in range(n)]
+
+
+def test_next_of_large_ids(spark):
+    rnd = random.Random(3)
+    check_following(spark, [((1 << 62) + rnd.randrange(1 << 60), t) for t in short_texts(600, 1)])
+
+
+def test_rows_that_share_an_id_are_split(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(short_texts(900, 2))]
+    check_following(spark, rows)
+    sizes = sketches._in_ranges(table(spark, rows)).groupBy("range").count().collect()
+    assert max(r["count"] for r in sizes) <= 90
+
+
 def test_sketches_merge(spark):
     words = [f"w{i}" for i in range(400)]
     a, b = " ".join(words[:250]), " ".join(words[246:])
