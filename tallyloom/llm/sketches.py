@@ -2,7 +2,8 @@
 
 A sketch holds every hash of a document's word shingles below a fixed fraction
 of the hash range, and the least hash whatever it is, so that no text with a
-word has an empty sketch. Sketches of parts merge to that of the whole by union
+word has an empty sketch. By default the fraction is the whole range: a part of it
+leaves short texts one or a few hashes, whose likeness is chance. Sketches of parts merge to that of the whole by union
 (``merged``). The share of one sketch found in another estimates containment, also between
 documents of very different lengths; ``likeness`` is that of the smaller in the larger.
 
@@ -28,30 +29,30 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import keyed_texts
 
-WORDS, ONE_IN = 5, 8
+WORDS, ONE_IN = 5, 1
 MOST_RANGES = 1000
 LEAST_HASH = -(1 << 63)
 
 
 def with_sketch(df: DataFrame, text: str, name: str, words: int = WORDS, one_in: int = ONE_IN) -> DataFrame:
     """Add the sorted sketch of a text column."""
-    if one_in < 2:
-        raise ValueError("one_in is 2 or more")
-    limit = -(1 << 63) + (1 << 64) // one_in
+    if one_in < 1:
+        raise ValueError("one_in is 1 or more")
+    limit = F.lit(-(1 << 63) + (1 << 64) // one_in if one_in > 1 else (1 << 63) - 1)
     df = df.withColumn("_words", F.transform(F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), ""), lambda w: F.xxhash64(w)))
     at = lambda i, k: F.element_at(F.col("_words"), i + 1 + k)
     long = F.transform(F.slice("_words", 1, F.greatest(F.size("_words") - (words - 1), F.lit(0))), lambda w, i: F.xxhash64(w, *[at(i, k) for k in range(1, words)]))
     short = F.when(F.size("_words") > 0, F.array(F.xxhash64("_words"))).otherwise(F.array().cast("array<bigint>"))
     df = df.withColumn("_all", F.when(F.size("_words") >= words, long).otherwise(short))
     least = F.when(F.size("_all") > 0, F.array(F.array_min("_all"))).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn(name, F.array_sort(F.array_distinct(F.concat(least, F.filter("_all", lambda h: h < limit))))).drop("_words", "_all")
+    return df.withColumn(name, F.array_sort(F.array_distinct(F.concat(least, F.filter("_all", lambda h: (h < limit) | F.lit(one_in == 1)))))).drop("_words", "_all")
 
 
 def merged(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
     """Sketch of two parts together."""
-    limit = -(1 << 63) + (1 << 64) // one_in
+    limit = F.lit(-(1 << 63) + (1 << 64) // one_in if one_in > 1 else (1 << 63) - 1)
     both = F.array_sort(F.array_union(a, b))
-    return F.filter(both, lambda h, i: (i == 0) | (h < limit))
+    return F.filter(both, lambda h, i: (i == 0) | (h < limit) | F.lit(one_in == 1))
 
 
 def containment(a: Column, b: Column) -> Column:

@@ -402,6 +402,17 @@ def test_rows_that_share_an_id_are_split(spark):
     assert max(r["count"] for r in sizes) <= 90
 
 
+def test_near_edited_is_exact_on_short_texts(spark):
+    rows = list(enumerate(short_texts(200, 4)))
+    shingles = lambda t: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(max(1, len(w) - 4))}
+    got = {r.doc_id: r.near_edited for r in sketches.fingerprints(table(spark, rows)).collect()}
+    for (d, t), (_, f) in by_hash(spark, rows):
+        k = len(t) // 3
+        a, b = sorted((shingles(t), shingles(t[: len(t) - k] + f[:k])), key=len)
+        inside = {len(a & b) / len(a)} | ({len(a & b) / len(b)} if len(a) == len(b) else set())
+        assert got[d] in inside
+
+
 def test_sketches_merge(spark):
     words = [f"w{i}" for i in range(400)]
     a, b = " ".join(words[:250]), " ".join(words[246:])
