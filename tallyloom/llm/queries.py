@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chunked_bpe, exact, packing, planes, rlz, simhash, sketches, suffixes, toxicity, warc
+from tallyloom.llm import chunked_bpe, divergence, exact, packing, periodic, planes, rlz, simhash, sketches, suffixes, toxicity, warc
 from tallyloom.sources.shared import shared_path
 
 
@@ -69,6 +69,27 @@ def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return sketches.fingerprints(_table(spark, folder, "documents")).drop("sketch", "edited_sketch")
 
 
+def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.collapsed(_table(spark, folder, "documents"), rewrite=periodic.planted)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    out = found.withColumns({"top": longest, "length": -longest["less"]})
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "length",
+        "top.period",
+        F.call_function("div", 1000 * F.col("length"), F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": packed_sequences,
     "op2_exact_dedup": exact_dedup,
@@ -80,6 +101,8 @@ QUERIES = {
     "op8_toxicity": toxic_scores,
     "op9_suffix_dedup": suffix_dedup,
     "op10_fingerprints": document_fingerprints,
+    "op11_divergence": source_divergence,
+    "op12_periodic_runs": periodic_runs,
 }
 
 SQL = {
@@ -95,4 +118,22 @@ SQL = {
                CASE WHEN n >= 1000 AND page_id <> win THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 1000 AND page_id <> win THEN win END AS refers_to
         FROM w""",
+    "op11_divergence": """
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+             t AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+             kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+             c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n FROM g JOIN kept k ON k.lang = g.lang
+                   LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+             p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS p FROM f WINDOW w AS (PARTITION BY lang, source)),
+             l AS (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term),
+             q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS q FROM l WINDOW w AS (PARTITION BY lang)),
+             b AS (SELECT a.lang, a.source AS x, b.source AS y, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY 1, 2, 3),
+             pairs AS (SELECT a.lang, a.source, 'pair' AS part, o.source AS item, coalesce(b.value, 0) AS value FROM g a JOIN g o ON o.lang = a.lang AND o.source <> a.source
+                       LEFT JOIN b ON b.lang = a.lang AND b.x = a.source AND b.y = o.source),
+             terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }

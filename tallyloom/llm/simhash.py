@@ -155,7 +155,7 @@ def near_groups(docs: DataFrame, words: int = 3, most: int = 2, segments: int =
     return rows.join(groups, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, most: int = 6, segments: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 3, most: int = 2, segments: int = 2) -> DataFrame:
     """Of each group the document with the least doc_id (null last), all its columns unchanged; others go."""
     return keep_of_groups(docs, *grouped(docs, words, most, segments))
 

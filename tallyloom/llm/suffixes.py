@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import modest_batches, utf8
 from tallyloom.llm.repeats import LAST, merged, ordered_texts, repeated_spans
+from tallyloom.llm.runs import words_of
 
 WIDTH, GRAM, SHALLOW = 400, 40, 64
 
@@ -106,12 +108,16 @@ def deep_shallow_order(strings: list[bytes], shallow: int = SHALLOW) -> list[int
     return out
 
 
-def compare(regions: list[dict], width: int) -> list[tuple[int, int, int, int, int]]:
-    """Spans of the target regions of one anchor whose windows other regions hold too."""
-    right = [x["region"][x["at"] :] for x in regions]
-    left = [x["region"][: x["at"]][::-1] for x in regions]
+def _backwards(region: bytes, unit: int) -> bytes:
+    return region[::-1] if unit == 1 else np.frombuffer(region, np.uint64)[::-1].tobytes()
+
+
+def compare(regions: list[dict], width: int, unit: int = 1) -> list[tuple[int, int, int, int, int]]:
+    """Spans of the target regions of one anchor whose windows other regions hold too; a unit has ``unit`` bytes."""
+    right = [x["region"][x["at"] * unit :] for x in regions]
+    left = [_backwards(x["region"][: x["at"] * unit], unit) for x in regions]
     order = deep_shallow_order(right)
-    near = [common_prefix(right[a], right[b]) for a, b in zip(order, order[1:])]
+    near = [common_prefix(right[a], right[b]) // unit for a, b in zip(order, order[1:])]
     out = []
     for k, i in enumerate(order):
         x = regions[i]
@@ -127,15 +133,20 @@ def compare(regions: list[dict], width: int) -> list[tuple[int, int, int, int, i
                 shared = min(shared, near[j - 1] if step == 1 else near[j])
                 if width - shared > high:
                     break
-                a, b = max(low, width - shared), min(high, common_prefix(left[i], left[order[j]]))
+                a, b = max(low, width - shared), min(high, common_prefix(left[i], left[order[j]]) // unit)
                 if a <= b:
                     out.append((x["o"], x["h0"], x["r0"], x["first"] + x["at"] - b, x["first"] + x["at"] - a + width))
     return out
 
 
-def _with_spans(docs: DataFrame, width: int, gram: int, rows: DataFrame) -> DataFrame:
+def compare_words(regions: list[dict], width: int) -> list[tuple[int, int, int, int, int]]:
+    """``compare`` for regions of eight-byte word hashes."""
+    return compare(regions, width, 8)
+
+
+def _with_spans(docs: DataFrame, width: int, gram: int, rows: DataFrame, kind: str = "bytes") -> DataFrame:
     """``rows`` (o, th and more) with the list of repeated stretches, null where there is none."""
-    spans = repeated_spans(ordered_texts(docs), "other", "bytes", width, gram, compare)
+    spans = repeated_spans(ordered_texts(docs), "other", kind, width, gram, compare if kind == "bytes" else compare_words)
     return rows.join(spans, ["o", "th"], "left")
 
 
@@ -145,6 +156,15 @@ def _kept(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), gone
 
 
+def _kept_words(data: np.ndarray, spans) -> bytes:
+    """The text without the words of the spans and the white space that follows each of them."""
+    if not spans:
+        return data.tobytes()
+    first, _ = words_of(data)
+    edge = np.append(first, len(data))
+    return _kept(data.tobytes(), [{"lo": int(edge[s["lo"]]), "hi": int(edge[s["hi"]])} for s in spans])[0]
+
+
 def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, spans (lo, hi), kept_sha256."""
 
@@ -164,21 +184,27 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     return modest_batches(joined).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<lo:bigint,hi:bigint>>, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, kind: str = "bytes") -> DataFrame:
     """The documents with repeated stretches cut out of the text, other columns unchanged but ``n_chars``, the new length.
 
-    A character that a cut splits goes as a whole.
+    ``kind`` is bytes or words: width and gram count these. Words are
+    ``[^\\x20\\x09-\\x0D]+``, compared by 64-bit hashes; a removed word takes the
+    white space after it along. Of bytes, a character that a cut splits goes as a whole.
     """
 
     def cut(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            texts = [_kept(data[offsets[i] : offsets[i + 1]].tobytes(), spans)[0].decode("utf-8", "ignore") for i, spans in enumerate(batch.column(1).to_pylist())]
+            texts = []
+            for i, spans in enumerate(batch.column(1).to_pylist()):
+                text = data[offsets[i] : offsets[i + 1]]
+                kept = _kept_words(text, spans) if kind == "words" else _kept(text.tobytes(), spans)[0]
+                texts.append(kept.decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[2:]], names=["new", *batch.schema.names[2:]])
 
     lean = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("o"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), F.coalesce("text", F.lit("")).alias("text"), lean.alias("row"))
-    joined = _with_spans(docs, width, gram, rows).select("text", "spans", "row")
+    joined = _with_spans(docs, width, gram, rows, kind).select("text", "spans", "row")
     rest = joined.schema["row"].dataType.simpleString()
     done = modest_batches(joined).mapInArrow(cut, f"new string, row {rest}")
     chosen = {"text": F.col("new"), "n_chars": F.length("new").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": F.col("new")}
