@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import exact, near, packing, suffixes
+from tallyloom.llm import exact, packing, simhash, suffixes
 from tallyloom.llm import toxicity as toxic
 from tallyloom.llm.common import stored
 from tallyloom.llm.queries import vocabulary
@@ -27,13 +27,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, the one with the least doc_id."""
-    return near.keep_one(docs)
+    """Of each group of texts that SimHash fingerprints of three-word shingles at two or fewer differing bits connect, the one with the least doc_id."""
+    return simhash.keep_one(docs, words=3, most=2)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte strings that occur more than once."""
-    return suffixes.without_repeats(docs)
+    """Texts without the words that lie in any sequence of 50 words that starts more than once."""
+    return suffixes.without_repeats(docs, width=50, gram=12, kind="words")
 
 
 def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
