@@ -107,10 +107,12 @@ def _is_run(ids: np.ndarray, s: int, e: int, p: int) -> bool:
     return np.array_equal(ids[s : e - p], ids[s + p : e]) and (s == 0 or ids[s - 1] != ids[s - 1 + p]) and (e == len(ids) or ids[e] != ids[e - p])
 
 
-def _stretches_of_period(ids: np.ndarray, p: int) -> np.ndarray:
-    """First and last+1 of every maximal stretch of period p, word by word."""
+def _stretches_of_period(ids: np.ndarray, p: int, least: int) -> list[tuple[int, int]]:
+    """First and last+1 of every maximal stretch of at least ``least`` and two periods whose smallest period is p, word by word."""
     edge = np.diff(np.concatenate(([0], (ids[p:] == ids[:-p]).astype(np.int8), [0])))
-    return np.column_stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + p))
+    both = zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) + p).tolist())
+    parts = [q for q in range(1, p // 2 + 1) if p % q == 0]  # a smaller period of two periods divides them
+    return [(s, e) for s, e in both if e - s >= max(least, 2 * p) and not any(np.array_equal(ids[s : e - q], ids[s + q : e]) for q in parts)]
 
 
 def find_runs(ids: np.ndarray, marks: int = 0, least: int = LEAST) -> list[tuple[int, int, int]]:
@@ -133,7 +135,7 @@ def find_runs(ids: np.ndarray, marks: int = 0, least: int = LEAST) -> list[tuple
     wrong = {p for s, e, p in found if not _is_run(ids, s, e, p)}  # equal hashes of unequal words
     out = [(s, e - s, p) for s, e, p in found if p not in wrong]
     for p in wrong:
-        out += [(s, e - s, p) for s, e in _stretches_of_period(ids, p).tolist() if e - s >= max(least, 2 * p)]
+        out += [(s, e - s, p) for s, e in _stretches_of_period(ids, p, least)]
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 

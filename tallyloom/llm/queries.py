@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chunked_bpe, divergence, exact, packing, periodic, planes, rlz, simhash, sketches, suffixes, toxicity, warc
+from tallyloom.llm import chunked_bpe, divergence, exact, minhash, packing, periodic, planes, rlz, simhash, sketches, suffixes, toxicity, warc
 from tallyloom.sources.shared import shared_path
 
 
@@ -73,8 +73,9 @@ def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_table(spark, folder, "documents"))
 
 
-def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
-    found = periodic.collapsed(_table(spark, folder, "documents"), rewrite=periodic.planted)
+def periodic_columns(docs: DataFrame) -> DataFrame:
+    """Counts, the longest run and digests of the runs of documents, of which a tenth gets a periodic end."""
+    found = periodic.collapsed(docs, rewrite=periodic.planted)
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
     out = found.withColumns({"top": longest, "length": -longest["less"]})
@@ -90,6 +91,14 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_columns(_table(spark, folder, "documents"))
+
+
+def near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_packing": packed_sequences,
     "op2_exact_dedup": exact_dedup,
@@ -103,6 +112,7 @@ QUERIES = {
     "op10_fingerprints": document_fingerprints,
     "op11_divergence": source_divergence,
     "op12_periodic_runs": periodic_runs,
+    "op13_minhash": near_copies,
 }
 
 SQL = {

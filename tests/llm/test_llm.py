@@ -2,14 +2,15 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chunked_bpe, components, exact, near, packing, planes, repeats, rlz, simhash, sketches, suffixes, toxicity, warc
-from tallyloom.llm.queries import QUERIES, SQL, vocabulary
+from tallyloom.llm import bpe, chunked_bpe, components, divergence, exact, minhash, packing, periodic, planes, repeats, rlz, simhash, sketches, suffixes, toxicity, warc
+from tallyloom.llm.queries import QUERIES, SQL, periodic_columns, vocabulary
 from tests.check_sql import compare, connect
 from tests.llm import brute
 
@@ -48,11 +49,16 @@ def test_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), connect(FOLDER), SQL[name]) == ""
 
 
-def test_empty_tables(spark):
+def test_empty_tables(spark, tmp_path):
     none = table(spark, [])
     assert packing.pack(none, vocabulary("byte_bpe_50k.json")).count() == 0
     assert exact.dedup(none).count() == exact.keep_one(none).count() == 0
-    assert simhash.near_groups(none).count() == simhash.keep_one(none).count() == 0
+    assert simhash.near_groups(none).count() == simhash.keep_one(none).count() == minhash.near_groups(none).count() == 0
+    assert divergence.audit(none.withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))).count() == periodic.collapsed(none).count() == 0
+    planes.write_tokens(none, str(tmp_path / "t"), vocabulary("byte_bpe_50k.json"))
+    assert planes.read_documents(spark, str(tmp_path / "t")).count() == planes.shard_starts(spark, str(tmp_path / "t")).count() == 0
+    warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w"))
+    assert warc.parsed(warc.read_records(spark, str(tmp_path / "w"))).count() == 0
     assert rlz.removed(none).count() == suffixes.removed(none).count() == suffixes.without_repeats(none).count() == 0
     assert chunked_bpe.encode_decode(none, vocabulary("word_bpe_49k.json")).count() == 0
     assert sketches.fingerprints(none).count() == 0
@@ -207,9 +213,30 @@ def test_substrings(spark):
         check_words(spark, docs, rows, 50, 12)
         check_bytes(spark, docs, rows, 400, 40)
     docs = table(spark, odd_rows())
-    left = suffixes.without_repeats(docs)
-    assert left.columns == docs.columns and left.count() == docs.count()
-    assert all(r.n_chars == len(r.text) for r in left.collect())
+    for kind in ("bytes", "words"):
+        left = suffixes.without_repeats(docs, kind=kind)
+        assert left.columns == docs.columns and left.count() == docs.count()
+        assert all(r.n_chars == len(r.text) for r in left.collect())
+
+
+@pytest.mark.parametrize("seed,hot", [(6, 256), (7, 2)])
+def test_repeated_words_are_cut(spark, monkeypatch, seed, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rows = [(d, "  ".join(t) + "\n" if t else t) for d, t in repetitive(seed, 60, "abcd", 12, 60)]
+    got = Counter(tuple(r.text.split()) for r in suffixes.without_repeats(table(spark, rows), 12, 4, "words").collect())
+    want = [tuple(w.decode() for w, g in zip(*found) if not g) for found in brute.repeated_words([t for _, t in rows], 12)]
+    assert got == Counter(want)
+
+
+def test_passages_of_51_words_between_unlike_documents(spark):
+    rnd = random.Random(51)
+    word = lambda: f"w{rnd.randrange(10**5)}"
+    passage = [word() for _ in range(51)]
+    rows = [(i, " ".join([word() for _ in range(80)] + (passage if i % 3 == 0 else []) + [word() for _ in range(40)])) for i in range(30)]
+    assert len(" ".join(passage)) < 400
+    for r in suffixes.without_repeats(table(spark, rows), 50, 12, "words").collect():
+        text = dict(rows)[r.doc_id]
+        assert r.text == text.replace(" ".join(passage) + " ", "")
 
 
 def test_long_documents_are_cut_into_chunks(spark, monkeypatch):
@@ -421,9 +448,97 @@ def test_sketches_merge(spark):
     assert r.m == r.sc and r.inside >= 0.9
 
 
-# near copies ------------------------------------------------------------------------------------
+# 11 ---------------------------------------------------------------------------------------------
+def check_divergence(spark, rows, least, top):
+    full = [(i, *r, "x", 1.5) for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(full, "doc_id long, lang string, source string, text string, term string, n double").repartition(3)
+    got = [tuple(r) for r in divergence.audit(docs, least, top).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute.divergence(rows, least, top)
+
+
+def test_divergence(spark):
+    rows = [(r.lang, r.source, r.text) for r in documents(spark).collect()]
+    check_divergence(spark, rows, 30, 50)
+    rnd = random.Random(8)
+    odd = [(None, None, "Ab aB ÉÉ é x1y ß日本"), (None, "s", None), ("en", "a", ""), ("en", "b", "!!"), ("xx", "only", "word word"), ("", "", "ab")]
+    words = ["Ab", "ab", "cd", "e", "É", "日本", "f-g", "h_i", "\U0001f600"]
+    odd += [(rnd.choice(["en", "fr", None]), rnd.choice(["a", "b", "c", None, ""]), " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 12)))) for _ in range(150)]
+    for least, top in ((1, 50), (4, 2), (1000, 50)):
+        check_divergence(spark, odd, least, top)
+
+
+def test_counts_of_terms_are_handed_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "HELD", 5)
+    rnd = random.Random(9)
+    check_divergence(spark, [("en", f"s{i % 7}", " ".join(f"t{chr(97 + rnd.randrange(26))}" for _ in range(20))) for i in range(200)], 2, 5)
+
+
+def test_tree_corrects_each_node_with_its_ancestors():
+    tree = divergence.PathTree()
+    rows = [([("a", 5, 1), ("b", 7, 2)], 3), ([("a", 5, 1), ("b", 7, 2), ("c", 4, 4)], 2), ([("a", 6, 1)], 1), ([("b", 7, 2), ("c", 9, 4)], 1)]
+    for path, times in rows:
+        tree.add(path, times)
+    tree.close(0)
+    want = Counter()
+    for path, times in rows:
+        for j, (b, q, zb) in enumerate(path):
+            for a, p, za in path[:j]:
+                want[a, b] += times * (abs(p - q) - abs(p - zb) - abs(za - q) + abs(za - zb))
+    assert {k: v for k, v in tree.sums.items() if v} == {k: v for k, v in want.items() if v}
+
+
+# 12 ---------------------------------------------------------------------------------------------
+def test_lyndon_arrays():
+    rnd = random.Random(12)
+    for _ in range(300):
+        w = [rnd.randrange(rnd.choice([1, 2, 3])) for _ in range(rnd.randint(1, 24))]
+        ranks = np.unique(w, return_inverse=True)[1]
+        assert periodic.lyndon_lengths(ranks).tolist() == brute.lyndon(w)
+
+
+@pytest.mark.parametrize("least", [2, 4, 12])
+def test_runs_are_complete(least):
+    rnd = random.Random(least)
+    for _ in range(400):
+        docs = []
+        for _ in range(rnd.randint(1, 4)):
+            letters = [b"a", b"b", b"c", b"d", b"e"][: rnd.choice([1, 2, 3, 5])]
+            docs.append([w for _ in range(rnd.randint(0, 4)) for w in [rnd.choice(letters) for _ in range(rnd.randint(1, 9))] * rnd.randint(1, 6)])
+        assert periodic.runs_of_documents(docs, least) == [brute.runs(d, least) for d in docs]
+
+
+def test_runs_when_hashes_collide(monkeypatch):
+    monkeypatch.setattr(periodic, "stretch_hash", lambda prefix, a, b, which: (b - a).astype(np.uint64) % np.uint64(3))
+    w = [0, 1, 2, 3] * 6 + [9, 8, 7] + [4, 5] * 8
+    assert periodic.find_runs(np.unique(w, return_inverse=True)[1]) == brute.runs(w, 12)
+
+
+def test_periodic_runs(spark):
+    def expected(d, t):
+        words = (t or "").encode().split()
+        n, h = len(words), zlib.crc32(str(d).encode())
+        if d is not None and h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        found = periodic.runs_of_documents([words])[0] if n > 3000 else brute.runs(words, 12)
+        gone = {i for s, size, p in found for i in range(s + p, s + size)}
+        top = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+        lines = "".join(f"{s},{size},{p}\n" for s, size, p in found)
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        return (d, len(found), *top, 1000 * top[1] // top[2] if found else None, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+    rows = odd_rows() + [(20, "a b " * 6), (21, "a b " * 5 + "a"), (22, "A a " * 9), (23, "x y z " * 4 + "q r " * 7)]
+    columns = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    for docs, plain_rows in ((table(spark, rows), rows), (documents(spark), plain(spark))):
+        got = periodic_columns(docs).select(*columns).collect()
+        assert Counter(tuple(r) for r in got) == Counter(expected(d, t) for d, t in plain_rows)
+
+
+# 13 ---------------------------------------------------------------------------------------------
 def near_rows():
-    """Copies with a few, with some and with many changed words, chains of changes, one large group and odd rows."""
+    """Copies with a few, with some and with many changed words, chains of changes, a large group, many nearly similar texts and odd rows."""
     rnd, rows = random.Random(11), []
     for g in range(25):
         words = [f"g{g}w{i}" for i in range(rnd.choice([30, 80, 200]))]
@@ -435,18 +550,34 @@ def near_rows():
             words = some if c % 3 == 2 else words
     base = [f"b{i}" for i in range(100)]
     rows += [(1000 + i, " ".join(base[: i % 97] + [f"y{i}"] + base[i % 97 + 1 :])) for i in range(150)]
-    return rows + odd_rows()
+    for i in range(120):
+        some = list(base)
+        for j in rnd.sample(range(100), 8):
+            some[j] = f"z{i}.{j}"
+        rows.append((2000 + i, " ".join(some)))
+    return rows + odd_rows() + [(30, "One"), (31, "ONE"), (32, "One two three"), (33, "two one"), (None, "lone text"), (None, " ")]
 
 
-def test_near_copies_are_those_of_similar_shingles(spark):
+def test_near_copies_are_those_of_similar_sets(spark):
     for docs, rows in [(table(spark, near_rows()), near_rows()), (documents(spark), plain(spark))]:
-        groups = brute.near_groups([t for _, t in rows], 5, 0.8)
+        sets = brute.shingle_sets([t for _, t in rows], 2)
         want = Counter()
-        for g in groups:
-            want[min((rows[i][0] for i in g if rows[i][0] is not None), default=None)] += 1
-        left = near.keep_one(docs)
-        assert left.columns == docs.columns
-        assert Counter(r.doc_id for r in left.collect()) == want
+        for (d, _), s, g in zip(rows, sets, brute.near_groups(sets, 80)):
+            low = min((rows[i][0] for i in g if rows[i][0] is not None), default=None)
+            want[d, len(s), low, d == low] += 1
+        got = minhash.near_groups(docs).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == want
+
+
+def test_coordinates_are_shifted_permutations():
+    sets = list(minhash.shingle_sets(np.frombuffer(b"a b c d ea b c d eA b", np.uint8), np.array([0, 9, 18, 21]), 2))
+    assert [len(s) for s in sets] == [4, 4, 1] and (sets[0] == sets[1]).all() and sets[2][0] in sets[0]
+    got = minhash.signatures(sets)
+    assert got.shape == (3, minhash.BANDS * minhash.DEEP) and (got[0] == got[1]).all()
+    wide = [np.sort(np.random.default_rng(i).integers(0, 1 << 63, 40_000, dtype=np.uint64)) for i in range(2)]
+    wide.append(np.unique(np.concatenate((wide[0][:36_000], wide[1][:4_000]))))
+    same = (minhash.signatures(wide)[0] == minhash.signatures(wide)[2]).mean()
+    assert 0.65 < same < 0.97  # 36,000 of 44,000
 
 
 # pipeline ----------------------------------------------------------------------------------------
@@ -467,12 +598,14 @@ def test_pipeline_stages(spark):
     texts = {r.doc_id: r.text for r in kept["toxicity"].collect()}
     largest = {brute.low(t): d for d, t in sorted(texts.items())}
     assert {r.doc_id for r in kept["exact_dedup"].collect()} == set(largest.values())
-    prints = [(d, brute.simhash(texts[d], 5)) for d in largest.values()]
-    assert {r.doc_id for r in kept["near_dedup"].collect()} == set(brute.groups_of(prints, 6)[0])
+    prints = [(d, brute.simhash(texts[d], 3)) for d in largest.values()]
+    assert {r.doc_id for r in kept["near_dedup"].collect()} == set(brute.groups_of(prints, 2)[0])
     left = [(r.doc_id, r.text) for r in kept["near_dedup"].collect()]
-    want = {d: h for d, _, _, _, h in brute.repeated_bytes(left, 400)}
+    gone = dict(zip([d for d, _ in left], brute.repeated_words([t for _, t in left], 50)))
     for r in kept["suffix_dedup"].collect():
-        assert r.n_chars == len(r.text) and (hashlib.sha256(r.text.encode()).hexdigest() == want[r.doc_id] or len(r.text) < len(texts[r.doc_id]))
+        words, flags = gone[r.doc_id]
+        assert r.text.encode().split() == [w for w, g in zip(words, flags) if not g]
+        assert r.n_chars == len(r.text) and (any(flags) or r.text == texts[r.doc_id])
     tok = bpe.load(vocabulary("byte_bpe_50k.json"))
     ids = defaultdict(list)
     for r in sorted(rows.collect(), key=lambda r: r.start):
