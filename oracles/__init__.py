@@ -4,7 +4,7 @@ from importlib import import_module
 
 from oracles.bindings import bound
 
-MODULES = ["products", "medallion", "incremental", "logs", "finops", "governance", "textual", "intelligence", "generators", "streams"]
+MODULES = ["products", "medallion", "incremental", "logs", "finops", "governance", "textual", "intelligence", "generators", "streams", "chained"]
 
 
 def statements() -> dict[str, str]:

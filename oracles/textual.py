@@ -118,6 +118,16 @@ SQL = {
       n AS (SELECT article_id, sqrt(sum(w * w)) AS n FROM x GROUP BY 1), g AS (SELECT article_id, unnest(range(768)) AS b FROM knowledge_base)
       SELECT g.article_id, list(round(coalesce(w / nullif(n, 0), 0), 6) ORDER BY g.b) AS embedding FROM g LEFT JOIN x ON x.article_id = g.article_id AND x.b = g.b
       LEFT JOIN n ON n.article_id = g.article_id GROUP BY 1""",
+    "text_vector_search": f"""WITH c AS ({hashed('knowledge_base', 'article_id', 'content', 768)}), f AS (SELECT b, count(*) AS df FROM c GROUP BY 1),
+      t AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM knowledge_base), x AS (SELECT article_id, b, tf * ln((t.n + 1) / (df + 1)) AS w FROM c JOIN f USING (b) CROSS JOIN t),
+      xn AS (SELECT article_id, sqrt(sum(w * w)) AS n FROM x GROUP BY 1), v AS (SELECT article_id, b, round(coalesce(w / nullif(n, 0), 0), 6) AS v FROM x JOIN xn USING (article_id)),
+      q AS ({hashed('benchmark', 'item_id', 'text', 768)}), y AS (SELECT item_id, q.b, tf * ln((t.n + 1) / (coalesce(df, 0) + 1)) AS w FROM q LEFT JOIN f ON f.b = q.b CROSS JOIN t),
+      yn AS (SELECT item_id, sqrt(sum(w * w)) AS n FROM y GROUP BY 1), u AS (SELECT item_id, b, round(coalesce(w / nullif(n, 0), 0), 6) AS v FROM y JOIN yn USING (item_id)),
+      vn AS (SELECT article_id, sqrt(sum(v * v)) AS n FROM v GROUP BY 1), un AS (SELECT item_id, sqrt(sum(v * v)) AS n FROM u GROUP BY 1),
+      d AS (SELECT item_id, article_id, sum(u.v * v.v) AS dot FROM u JOIN v ON u.b = v.b GROUP BY 1, 2),
+      s AS (SELECT item_id, article_id, round(dot / (vn.n * un.n), 6) AS similarity_score FROM d JOIN vn USING (article_id) JOIN un USING (item_id) WHERE vn.n * un.n > 0)
+      SELECT item_id, article_id, similarity_score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY similarity_score DESC, article_id) AS INTEGER) AS rank
+      FROM s WHERE similarity_score > 0 QUALIFY rank <= 5""",
     "sentiment": f"""WITH {SENT} SELECT feedback_id, customer_id, nps_score, left(feedback_text, 60) || '...' AS feedback_preview, round(s, 3) AS sentiment_score, {LABEL} AS sentiment_label FROM scored""",
     "sentiment_by_group": f"""WITH {SENT} SELECT nps_category, count(*) AS response_count, round(sum(s) / count(*), 4) AS avg_sentiment, round(min(s), 4) AS min_sentiment,
       round(max(s), 4) AS max_sentiment FROM scored GROUP BY 1""",

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame
 
-PLANS = ["products", "medallion", "incremental", "logs", "finops", "governance", "textual", "intelligence", "generators", "streams"]
+PLANS = ["products", "medallion", "incremental", "logs", "finops", "governance", "textual", "intelligence", "generators", "streams", "chained"]
 
 
 def all_queries() -> dict[str, Callable[..., DataFrame]]:

@@ -72,10 +72,13 @@ def revenue_movements_as_written(feed: DataFrame, as_of: Column) -> DataFrame:
 
 def merge_dimension(
     dim: DataFrame, feed: DataFrame, key: str, tracked: Sequence[str], at: Column, surrogate: str,
-    mode: str = "versioned", close_deleted: bool = False, order: Sequence[str] = (),
+    mode: str = "versioned", close_deleted: bool = False, order: Sequence[str] = (), changed_only: bool = False, highest: Column | None = None,
 ) -> DataFrame:
     """Close changed rows of a slowly changing dimension and add their new versions.
 
+    With ``changed_only`` the result is the closed and the added rows alone; ``dim``
+    may then be the rows of the fed keys, with ``highest`` the last surrogate given.
+
     A key may change several times in one feed: the last change by the ``order``
     columns counts, an insert after a delete of the same moment. Without
     ``order`` a key with two new images raises, as nothing says which is the last.
@@ -107,17 +110,19 @@ def merge_dimension(
     closes = matched & (F.col("_gone") | (F.col("_in").isNotNull() & differs))
     adds = F.col("_in").isNotNull() & (F.col(key).isNull() | (matched & differs if mode == "versioned" else F.lit(False)))
 
-    kept = joined.filter(F.col(key).isNotNull()).select(
+    stay = F.col(key).isNotNull() & F.coalesce(closes, F.lit(False)) if changed_only else F.col(key).isNotNull()
+    kept = joined.filter(stay).select(
         *[c for c in dim.columns if c not in ("is_current", "effective_to")],
         (~F.coalesce(closes, F.lit(False))).alias("is_current"),
         F.when(F.coalesce(closes, F.lit(False)), at).otherwise(F.col("effective_to")).alias("effective_to"),
     )
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar() if highest is None else highest
     added = dense_ids(joined.filter(adds).select(F.col("_key").alias(key), "_in.*"), [F.col(key)], "_id")
     added = added.withColumns({
         surrogate: (highest + F.col("_id")).cast(dim.schema[surrogate].dataType), "is_current": F.lit(True), "effective_from": at, "effective_to": F.lit(None).cast(dim.schema["effective_to"].dataType),
     })
-    return history.unionByName(kept).unionByName(added.select(*dim.columns))
+    changed = kept.unionByName(added.select(*dim.columns))
+    return changed if changed_only else history.unionByName(changed)
 
 
 def merge_additive(target: DataFrame, batch: DataFrame, keys: Sequence[str], add: Sequence[str], replace: Sequence[str] = ()) -> DataFrame:

@@ -122,11 +122,16 @@ def to_gold_customer_360(customers: DataFrame, subscriptions: DataFrame, users:
     )
     people = users.groupBy("customer_id").agg(F.count("user_id").alias("user_count"))
     copies = F.greatest(F.coalesce("user_count", F.lit(0)), F.lit(1)) if fan_out else F.lit(1)
-    mrr = F.col("total_mrr") * copies
+    return customer_profile(customers, owned.withColumnsRenamed({"product_count": "n", "total_mrr": "owned_mrr"}), people, copies)
+
+
+def customer_profile(customers: DataFrame, owned: DataFrame, people: DataFrame, copies: Column | None = None) -> DataFrame:
+    """Profile rows from what each customer owns (n, owned_mrr, products_owned) and its user_count."""
+    mrr = F.when(F.col("n") > 0, F.col("owned_mrr")) * (F.lit(1) if copies is None else copies)
     health = F.when(F.col("health_score") >= 80, labels.GOLD["healthy"]).when(F.col("health_score") >= 60, labels.GOLD["risk"]).otherwise(labels.GOLD["critical"])
     return customers.join(owned, "customer_id", "left").join(people, "customer_id", "left").select(
         "customer_id", "company_name", "segment", "industry", "health_score", "created_date",
-        month_diff(F.col("created_date"), day(ORDERS_AS_OF)).alias("tenure_months"), F.coalesce("product_count", F.lit(0)).alias("product_count"),
+        month_diff(F.col("created_date"), day(ORDERS_AS_OF)).alias("tenure_months"), F.coalesce("n", F.lit(0)).alias("product_count"),
         dbl(mrr).alias("total_mrr"), dbl(mrr * 12).alias("total_arr"), "products_owned", F.coalesce("user_count", F.lit(0)).alias("user_count"), health.alias("health_status"),
     )
 

@@ -10,7 +10,7 @@ from tallyloom.functions.numbers import dbl
 from tallyloom.plans.incremental import MERGED_AT, _dimension, customer_feed
 from tallyloom.sources.lab import ORDERS_AS_OF, Lab
 from tallyloom.sources.shared import shared_path
-from tallyloom.streaming.feeds import consume, dimension_batch, read_dimension, read_usage, usage_batch
+from tallyloom.streaming.feeds import consume, dimension_batch, dimension_table, read_usage, start_dimension, usage_batch
 
 
 def usage_stream(lab: Lab) -> DataFrame:
@@ -26,10 +26,11 @@ def dimension_stream(lab: Lab) -> DataFrame:
     """The customer change feed consumed into the slowly changing dimension."""
     spark, feed, target, checkpoint = lab.spark, *(shared_path(lab.spark, n) for n in ("customer-feed", "customer-dim", "customer-position"))
     customer_feed(lab).withColumn("tenure_months", month_diff(F.col("created_date"), day(ORDERS_AS_OF))).write.parquet(feed)
-    _dimension(lab).write.parquet(f"{target}/batch_id=-1")
-    apply = dimension_batch(target, "customer_id", ["company_name", "segment", "account_status"], "customer_sk", F.lit(MERGED_AT).cast("timestamp_ntz"))
+    table = dimension_table(spark, target, _dimension(lab).schema, "customer_id", "customer_sk")
+    start_dimension(table, _dimension(lab))
+    apply = dimension_batch(table, ["company_name", "segment", "account_status"], F.lit(MERGED_AT).cast("timestamp_ntz"))
     consume(spark, feed, spark.read.parquet(feed).schema, checkpoint, apply)
-    return read_dimension(spark, target)
+    return table.read()
 
 
 QUERIES = {"usage_stream": usage_stream, "dimension_stream": dimension_stream}

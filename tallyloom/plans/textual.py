@@ -9,6 +9,7 @@ from tallyloom import labels
 from tallyloom.functions.numbers import count_when, dbl, mean, rounded, sum_when
 from tallyloom.functions.picks import below
 from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, summary, tokens, with_tokens
+from tallyloom.operators import vectors
 from tallyloom.operators.digest import digest
 from tallyloom.operators.search import build_index, nearest, search, search_queries, search_stored, write_index
 from tallyloom.plans.products import _customer_360
@@ -162,24 +163,61 @@ def enrich_once(lab: Lab) -> DataFrame:
     return append_rows(_enrich(fresh), path)
 
 
-def hashed_vectors(lab: Lab) -> DataFrame:
-    """768-dimensional hashed TF-IDF vectors of unit length; a text without words has the zero vector."""
-    size, base = 768, lab.knowledge_base().select("article_id", "content")
-    counts = hashed_counts(base, "article_id", "content", size)
+EMBEDDING = 768
+
+
+def _rarity(lab: Lab) -> tuple[DataFrame, DataFrame]:
+    """(bucket, idf) over the articles, and the idf of a bucket that no article has, as one row."""
+    base = lab.knowledge_base().select("article_id", "content")
     total = base.agg(F.count("*").cast("double")).scalar()
-    rarity = counts.groupBy("bucket").agg(F.count("*").alias("df")).select("bucket", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
-    weighted = counts.join(rarity, "bucket").withColumn("w", F.col("tf") * F.col("idf"))
-    sparse = weighted.groupBy("article_id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: rounded(F.coalesce(F.try_element_at("m", b.cast("bigint")) / F.nullif("norm", F.lit(0.0)), F.lit(0.0)), 6))
-    return base.select("article_id").join(sparse, "article_id", "left").select("article_id", unit.alias("embedding"))
+    counts = hashed_counts(base, "article_id", "content", EMBEDDING)
+    return counts.groupBy("bucket").agg(F.count("*").alias("df")).select("bucket", F.log((total + 1) / (F.col("df") + 1)).alias("idf")), base.agg(F.log(F.count("*").cast("double") + 1).alias("idf"))
+
+
+def embedded(lab: Lab, df: DataFrame, key: str, on: str) -> DataFrame:
+    """768-dimensional hashed TF-IDF vectors of unit length, weighted by rarity among the articles; a text without words has the zero vector."""
+    rarity, unseen = _rarity(lab)
+    weighted = hashed_counts(df, key, on, EMBEDDING).join(rarity, "bucket", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unseen.scalar()))
+    sparse = weighted.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    unit = F.transform(F.sequence(F.lit(0), F.lit(EMBEDDING - 1)), lambda b: rounded(F.coalesce(F.try_element_at("m", b.cast("bigint")) / F.nullif("norm", F.lit(0.0)), F.lit(0.0)), 6))
+    return df.select(key).join(sparse, key, "left").select(key, unit.alias("embedding"))
+
+
+def hashed_vectors(lab: Lab) -> DataFrame:
+    return embedded(lab, lab.knowledge_base().select("article_id", "content"), "article_id", "content")
+
+
+def _vector_index(lab: Lab) -> tuple[str, DataFrame]:
+    """An index of the articles' vectors, and the benchmark texts' vectors."""
+    path = shared_path(lab.spark, "vector-index")
+    vectors.build(write_table(hashed_vectors(lab), f"{path}/embedded"), path, "article_id", "embedding")
+    asked = embedded(lab, lab.raw("benchmark").select("item_id", "text"), "item_id", "text")
+    return path, write_table(asked, f"{path}/asked")
+
+
+def _vector_search(lab: Lab, exact: bool) -> DataFrame:
+    path, asked = _vector_index(lab)
+    store = lambda df, name: write_table(df, shared_path(lab.spark, name))
+    found = vectors.search(asked, path, "item_id", "embedding", store, k=5, exact=exact)
+    return found.filter("similarity > 0").select("item_id", F.col("key").alias("article_id"), F.col("similarity").alias("similarity_score"), "rank")
+
+
+def text_vector_search(lab: Lab) -> DataFrame:
+    """The five articles nearest to every benchmark text, by the index and exactly."""
+    return _vector_search(lab, True)
+
+
+def text_vector_probed(lab: Lab) -> DataFrame:
+    """The same from the probed cells alone."""
+    return _vector_search(lab, False)
 
 
 def vector_topk(lab: Lab) -> DataFrame:
     """The five vectors nearest to the mean vector of label 0 (one row, read as a scalar)."""
-    vectors = lab.raw("embeddings")
-    first = vectors.filter("label = 0").select(F.posexplode("embedding").alias("at", "x")).groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    stored = lab.raw("embeddings")
+    first = stored.filter("label = 0").select(F.posexplode("embedding").alias("at", "x")).groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("m"))
     query = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "m"))), lambda s: s["m"])).scalar()
-    return nearest(vectors, "vec_id", "embedding", query, 5)
+    return nearest(stored, "vec_id", "embedding", query, 5)
 
 
 def _benchmark_question(lab: Lab) -> str:
@@ -229,6 +267,6 @@ QUERIES = {
     "index_search": index_search, "index_search_filtered": index_search_filtered, "search_batch": search_batch,
     "sentiment": sentiment_scores, "sentiment_by_group": sentiment_by_group, "mismatch": mismatch, "most_negative": most_negative, "at_risk_feedback": at_risk_feedback,
     "language": language_found, "classify": classified, "classify_trained": classify_trained, "answers": answers, "context_answers": context_answers, "prompt_rows": prompt_rows,
-    "document_summaries": document_summaries, "weekly_digest": weekly_digest, "whole_digest": whole_digest, "enrich_once": enrich_once, "hashed_vectors": hashed_vectors,
+    "document_summaries": document_summaries, "weekly_digest": weekly_digest, "whole_digest": whole_digest, "enrich_once": enrich_once, "hashed_vectors": hashed_vectors, "text_vector_search": text_vector_search, "text_vector_probed": text_vector_probed,
     "vector_topk": vector_topk, "text_search": text_search, "text_search_filtered": text_search_filtered, "search_knowledge_base": search_knowledge_base, "term_statistics": term_statistics,
 }

@@ -2,8 +2,8 @@
 
 The file source's checkpoint holds the position, so each change is used once and
 ``availableNow`` processes what is there and stops. ``foreachBatch`` may repeat a
-batch after a failure; every write below is addressed by its batch id and
-replaced as a whole, so a repeat changes nothing.
+batch after a failure; every write below is addressed by its batch id, and is
+replaced as a whole or made once, so a repeat changes nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 from tallyloom.operators.changes import merge_dimension
 from tallyloom.plans.incremental import USAGE_SUMS, monthly_usage
 from tallyloom.sources.lab import daily_usage_of
-from tallyloom.sources.snapshots import stored_versions
+from tallyloom.sources.keyed import KeyedTable
+from tallyloom.sources.shared import cut_lineage
 
 
 def consume(
@@ -56,23 +57,31 @@ def read_usage(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-def dimension_batch(target: str, key: str, tracked: list[str], surrogate: str, at: Column, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Merge a batch of change rows into the newest dimension version older than this batch.
+def dimension_table(spark: SparkSession, target: str, schema: StructType, key: str, surrogate: str, buckets: int = 16) -> KeyedTable:
+    """Where a dimension is kept: rows by surrogate, in buckets of the business key."""
+    return KeyedTable(spark, target, schema, [surrogate], [key], buckets)
+
+
+def start_dimension(table: KeyedTable, dim: DataFrame) -> None:
+    """Store the first state of a dimension."""
+    highest = dim.agg(F.max(table.keys[0])).first()[0]
+    table.append(dim, -1, mark=highest or 0)
+
+
+def dimension_batch(table: KeyedTable, tracked: list[str], at: Column, order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Append the rows that a batch of changes closes or adds; history and untouched keys are neither read nor written.
 
     A batch of several files can change a key several times; ``order`` names the columns that tell the last change.
     """
+    surrogate, key = table.keys[0], table.bucketed[0]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        versions = batch.sparkSession.read.parquet(target)
-        base_id = max(v for v in map(int, stored_versions(versions, "batch_id")) if v < batch_id)
-        base = versions.filter(F.col("batch_id") == base_id).drop("batch_id")
-        merged = merge_dimension(base, batch, key, tracked, at, surrogate, order=order)
-        merged.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        if table.has(batch_id):
+            return
+        highest = table.mark() or 0
+        changed = merge_dimension(table.read(of=batch).filter("is_current"), batch, key, tracked, at, surrogate, order=order, changed_only=True, highest=F.lit(highest))
+        changed = cut_lineage(changed)  # surrogates are given once
+        last = changed.agg(F.max(surrogate)).first()[0]
+        table.append(changed, batch_id, mark=max(highest, last or 0))
 
     return apply
-
-
-def read_dimension(spark: SparkSession, target: str) -> DataFrame:
-    versions = spark.read.parquet(target)
-    newest = max(map(int, stored_versions(versions, "batch_id")))
-    return versions.filter(F.col("batch_id") == newest).drop("batch_id")
