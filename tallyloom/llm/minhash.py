@@ -4,17 +4,20 @@ Two permutations make a whole signature. The first, sigma, mixes the 64-bit hash
 of a shingle; the second, pi, is applied to sigma's value circularly shifted by k,
 that is to (sigma - k) modulo 2**64, and its least value over the set is
 coordinate k. ``BANDS`` bands of ``DEEP`` coordinates are compared; a pair at 0.8
-shares none with a probability of (1 - 0.8**DEEP)**BANDS, 1e-7.
+shares none with a probability of (1 - 0.8**DEEP)**BANDS, 0.00002; one at 0.4 shares
+any with 0.14, so that unlike texts with a common passage seldom meet.
 
 Candidates are confirmed by the exact similarity of the two full sets, and the
 confirmed links' connected components are the groups. Texts of equal sets are
-one node. Bands are taken in a few rounds, the first of one band alone, and after
+one node. Bands are taken in a few rounds, the first of two bands alone, and after
 each comparison linked nodes are contracted: in the next a group of near copies is
 one root that is not compared with itself. A band value whose nodes have different
-roots is settled by pivots, one at first and then eight times as many in each
-turn, of as many roots as there are: a pivot is compared with every other node of
-another root and is done with. So a group costs about as many comparisons as it
-has members, and no pair of different groups that share a band is left out. Sizes
+roots is settled by pivots, one at first and then about eight times as many in each
+turn, drawn from all its nodes: a pivot is compared with every node of another root
+and is done with. Most pivots of a group of near copies belong to its root already
+and meet only the few nodes that it still lacks; so a group costs about as many
+comparisons as it has members, and no pair of different groups that share a band is
+left out. Set sizes
 alone rule out pairs that cannot reach the similarity.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A text of fewer words than a
@@ -39,8 +42,8 @@ from tallyloom.llm.components import components
 from tallyloom.llm.runs import byte_units, mixed, prefix_hash, stretch_hash, words_of
 
 WORDS, LEAST = 2, 80
-BANDS, DEEP = 24, 3
-ROUNDS = ((0, 1), (1, 5), (5, BANDS))  # bands that are compared together
+BANDS, DEEP = 36, 6
+ROUNDS = ((0, 2), (2, 8), (8, BANDS))  # bands that are compared together
 PIECE = 1 << 14  # shingles whose coordinates are taken at once
 _TAG = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.arange(256, dtype=np.uint8)
@@ -164,15 +167,14 @@ def _settled(active: DataFrame, labels: DataFrame | None, sets: DataFrame, least
         active = stored(told.join(mixed_, "band"), "active")
         if active.isEmpty():
             return labels
-        # the same pivots in every band, of as many roots as there are
-        part = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << max(0, 3 * turn - 4)))
-        slot = F.pmod(F.xxhash64("root", part, F.lit(turn)), F.lit(1 << 3 * turn))
+        # the same pivots in every band
+        slot = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 3 * turn))
         first = F.min(F.struct(F.xxhash64("fp", F.lit(turn), F.lit(1)), "fp", "n", "root")).alias("p")
         pivots = active.groupBy("band", slot.alias("slot")).agg(first).select("band", F.col("p.fp").alias("a"), F.col("p.n").alias("na"), F.col("p.root").alias("ra"))
         pivots = stored(pivots, "pivots")
         near = 100 * F.least("n", "na") >= least * F.greatest("n", "na")
         met = active.join(pivots, "band").where((F.col("root") != F.col("ra")) & near).select("a", "ra", F.col("fp").alias("b"), F.col("root").alias("rb"))
-        links = stored(_linked(met.distinct(), sets, least), "new_links")
+        links = stored(_linked(stored(met.distinct(), "met"), sets, least), "new_links")
         if not links.isEmpty():
             labels = _joined(labels, links)
         active = active.join(pivots.select("band", F.col("a").alias("fp")), ["band", "fp"], "left_anti").select("band", "fp", "n")
@@ -182,13 +184,14 @@ def _settled(active: DataFrame, labels: DataFrame | None, sets: DataFrame, least
 def groups(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame | None]:
     """Rows (doc_id, th, fp, n, bands) of all documents, and (fp, root) of the sets that are linked with others, None if none is; both stored."""
     rows = stored(_nodes(docs, words), "nodes")
-    nodes = rows.where("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct(F.col("th").alias("hash"), F.col("doc_id").alias("id"))).alias("row"))
-    members = stored(nodes.select("fp", "n", "row.*", F.posexplode("bands").alias("place", "band")), "members")
+    one = rows.where("n > 0").groupBy("fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    members = stored(one.select("fp", F.col("n").cast("int").alias("n"), F.posexplode("bands").alias("place", "band")), "members")
     shared = members.groupBy("band").count().where("count > 1").select("band")
     active = stored(members.join(shared, "band"), "shared")
     if active.isEmpty():
         return rows, None
-    sets = stored(_sets(docs, active.select("fp", "hash", "id").distinct(), words), "sets")
+    wanted = rows.join(active.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("th").alias("hash"), F.col("doc_id").alias("id"))).alias("row"))
+    sets = stored(_sets(docs, stored(wanted.select("fp", "row.*"), "wanted"), words), "sets")
     labels = None
     for lo, hi in ROUNDS:
         labels = _settled(active.where(F.col("place").between(lo, hi - 1)).select("band", "fp", "n"), labels, sets, least)
