@@ -132,7 +132,8 @@ def _corrections(paths: DataFrame) -> DataFrame:
         if tree.sums:
             yield batch_of(now, tree)
 
-    ordered = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    # ranges by the beginning of a path, of which the driver samples a few rows, and a hash that splits frequent beginnings
+    ordered = paths.repartitionByRange("lang", F.slice("path", 1, 3), F.xxhash64("path")).sortWithinPartitions("lang", "path")
     return modest_batches(ordered.select("lang", "path", "times")).mapInArrow(each, "lang string, a string, b string, value long")
 
 
