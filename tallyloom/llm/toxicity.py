@@ -5,12 +5,18 @@ a toxic document begin with, which toxic documents use far more often than
 others; near copies count once. They form a trie. A Levenshtein automaton for one edit is run over the
 trie: its states, sets of (trie node, edits so far), are made as
 words ask for them and kept, so scanning a word is a walk over a deterministic
-automaton and most words die within a few letters. Stems, short words and
-learned words that are not frequent must match exactly.
+automaton and most words die within a few letters.
+
+Every word is also found with one edit, and such hits are counted apart from exact
+ones. A word of more than ``EDIT_LETTERS`` letters takes any edit. Of a shorter
+word, one letter away from much clean prose, an edit is one of those that disguise:
+a digit or symbol for a letter, a doubled letter, two neighbours swapped. Stems, the
+beginnings of any number of words, must match exactly.
 
 A hit is judged by the words around it: within quotation marks or near a verb of
 reporting it counts as quoted, else as abuse. A logistic model over these counts
-gives the score. It is fitted on a bounded sample: ``sample`` labelled documents
+gives the score. An edited hit weighs what an exact one does until the sample tells
+otherwise: the fit draws its weights towards that. It is fitted on a bounded sample: ``sample`` labelled documents
 of each class at most, chosen by a hash of their ids, half of them for the terms
 and half for the weights; at most ``most_terms`` terms. Everything else is
 done for each text by itself.
@@ -40,52 +46,71 @@ SEEDS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "worthless", "pat
 # Verbs and nouns of reporting
 REPORT = frozenset("said says say wrote writes called calls quoted quotes quote cited term word insult slur dijo dice dit sagte sagt schrieb nannte".split())
 MARKS = "\"“”„«»"
-EDIT_LETTERS = 6  # words of fewer letters must match exactly
+EDIT_LETTERS = 6  # words of more letters take any edit
+LEAST_LETTERS = 4  # shorter words must match exactly
 ODDS = 20  # a learned term is this many times as frequent in toxic documents
 CONTEXT = 6  # words before a hit that are looked at
-WEIGHTS = (-4.0, 5.0, 1.5, 1.0)  # intercept, any abuse, more abuse, quoted; used without labels
+WEIGHTS = (-4.0, 5.0, 1.5, 1.0, 5.0, 5.0)  # intercept, any abuse, more abuse, quoted, edited long words, disguised ones; used without labels
+NONE, EXACT, EDITED, DISGUISED = range(4)
 
 
 class Lexicon:
-    """Trie of words and stems, and the automaton of words within one edit of a term."""
+    """Trie of words and stems, and the automaton of words within one edit of a term.
+
+    A state holds (node, kind): nothing edited yet, any one edit, an edit that
+    disguises, or the letter that must follow to complete a swap.
+    """
 
     def __init__(self, terms: list[str]):
-        """``terms``: words, words with a closing ~ that tolerate an edit, or stems with a closing star."""
+        """``terms``: words, or stems with a closing star."""
         self.children: list[dict[str, int]] = [{}]
-        self.word: list[int] = [-1]  # edits allowed for the word that ends here, -1: none
-        self.stem: list[bool] = [False]
+        self.letter = [""]  # that leads to the node
+        self.word = [0]  # letters of the word that ends here
+        self.stem = [False]
         for term in terms:
             node = 0
-            for c in term.rstrip("*~"):
+            for c in term.rstrip("*"):
                 node = self.children[node].setdefault(c, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
-                    self.word.append(-1)
+                    self.letter.append(c)
+                    self.word.append(0)
                     self.stem.append(False)
             if term.endswith("*"):
                 self.stem[node] = True
             else:
-                self.word[node] = max(self.word[node], int(term.endswith("~") and len(term) > EDIT_LETTERS))
-        self.start = self._closed({(0, 0)})
+                self.word[node] = len(term)
+        self.start = self._closed({(0, EXACT)})
         self.steps: dict[frozenset, dict[str, frozenset]] = {}
-        self.known: dict[str, bool] = {}
+        self.known: dict[str, int] = {}
 
     def _closed(self, state) -> frozenset:
         """With the terms' letters that the word leaves out."""
-        return frozenset(state | {(child, 1) for node, e in state if e == 0 for child in self.children[node].values()})
+        return frozenset(state | {(child, EDITED) for node, kind in state if kind == EXACT for child in self.children[node].values()})
 
     def _step(self, state: frozenset, c: str) -> frozenset:
         out = set()
-        for node, e in state:
+        for node, kind in state:
+            if isinstance(kind, str):
+                if kind == c:
+                    out.add((node, DISGUISED))
+                continue
             child = self.children[node].get(c)
             if child is not None:
-                out.add((child, e))
-            if e == 0:
-                out.add((node, 1))
-                out.update((x, 1) for x in self.children[node].values())
+                out.add((child, kind))
+            if kind == EXACT:
+                nexts = self.children[node].values()
+                out.add((node, EDITED))
+                out.update((x, EDITED) for x in nexts)
+                if not c.isalpha():
+                    out.update((x, DISGUISED) for x in nexts)
+                if self.letter[node] == c:
+                    out.add((node, DISGUISED))
+                out.update((self.children[x][c], self.letter[x]) for x in nexts if c in self.children[x] and self.letter[x] != c)
         return self._closed(out) if out else frozenset()
 
-    def holds(self, word: str) -> bool:
+    def holds(self, word: str) -> int:
+        """How the word is a term: NONE, EXACT, EDITED (a long word with any edit) or DISGUISED."""
         got = self.known.get(word)
         if got is None:
             got = self._walk(word)
@@ -93,7 +118,7 @@ class Lexicon:
                 self.known[word] = got
         return got
 
-    def _walk(self, word: str) -> bool:
+    def _walk(self, word: str) -> int:
         state = self.start
         for c in word:
             steps = self.steps.get(state)
@@ -106,27 +131,28 @@ class Lexicon:
                 after = steps[c] = self._step(state, c)
             state = after
             if not state:
-                return False
-            if any(e == 0 and self.stem[node] for node, e in state):
-                return True
-        return any(e <= self.word[node] for node, e in state)
-
-    def counts(self, text: str) -> tuple[int, int]:
-        """Hits as abuse and hits as quotation."""
+                return NONE
+            if any(kind == EXACT and self.stem[node] for node, kind in state):
+                return EXACT
+        found = {kind for node, kind in state if self.word[node] and (kind == EXACT or self.word[node] > EDIT_LETTERS or kind == DISGUISED and self.word[node] >= LEAST_LETTERS)}
+        return next((k for k in (EXACT, DISGUISED, EDITED) if k in found), NONE)
+
+    def counts(self, text: str) -> tuple[int, int, int, int]:
+        """Exact hits as abuse, hits as quotation, and as abuse long words with an edit and disguised words."""
         words = text.lower().split()
         bare = [w.strip(EDGE) for w in words]
         hits = [i for i, w in enumerate(bare) if w and self.holds(w)]
         if not hits:
-            return 0, 0
-        abuse = quoted = 0
+            return 0, 0, 0, 0
+        found = [0, 0, 0, 0]
         for i in hits:
             before = range(max(0, i - CONTEXT), i)
             opened = sum(words[j].count(m) for j in before for m in MARKS) + sum(words[i][: words[i].find(bare[i])].count(m) for m in MARKS)
             if opened % 2 == 1 or any(bare[j] in REPORT for j in before):
-                quoted += 1
+                found[1] += 1
             else:
-                abuse += 1
-        return abuse, quoted
+                found[{EXACT: 0, EDITED: 2, DISGUISED: 3}[self.holds(bare[i])]] += 1
+        return tuple(found)
 
 
 @lru_cache(maxsize=2)
@@ -134,22 +160,32 @@ def _lexicon(terms: tuple[str, ...]) -> Lexicon:
     return Lexicon(list(terms))
 
 
-def features(abuse: np.ndarray, quoted: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(abuse)), abuse > 0, np.log1p(abuse), np.log1p(quoted)]).astype(float)
+def features(counts: np.ndarray) -> np.ndarray:
+    abuse, quoted, edited, disguised = counts.T
+    return np.column_stack([np.ones(len(abuse)), abuse > 0, np.log1p(abuse), np.log1p(quoted), np.log2(1 + edited), np.log2(1 + disguised)]).astype(float)
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Weights of a logistic model, by Newton's method."""
-    w = np.zeros(x.shape[1])
+def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, towards: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic model, by Newton's method, drawn ``towards`` given ones, or zero."""
+    prior = np.zeros(x.shape[1]) if towards is None else towards
+    w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * (w - prior))
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def fit_model(counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of all features: first without edited hits, then with them, drawn towards the weight of an exact hit."""
+    x = features(counts)
+    exact = fit_weights(x[:, :4], y)
+    one = exact[1] + exact[2] * np.log(2)
+    return fit_weights(x, y, towards=np.array([*exact, one, one]))
+
+
 def _learned_terms(texts: DataFrame, most: int) -> list[str]:
     """Words and stems that toxic documents of (text, toxic) hold far more often than others."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
@@ -166,9 +202,9 @@ def _learned_terms(texts: DataFrame, most: int) -> list[str]:
     words = {r["term"]: r["t"] for r in rows if not r["term"].endswith("*")}
     most_of = lambda stem: max((t for w, t in words.items() if w.startswith(stem)), default=0)
     rows = [r for r in rows if not r["term"].endswith("*") or most_of(r["term"][:-1]) < 0.8 * r["t"]]
-    found = [r["term"] + ("~" if r["t"] >= 0.05 * toxic and not r["term"].endswith("*") else "") for r in rows]
+    found = [r["term"] for r in rows]
     stems = {t[:-1] for t in found if t.endswith("*")}
-    covered = lambda t: any(t[:n] in stems for n in STEMS if n < len(t.rstrip("*~")))
+    covered = lambda t: any(t[:n] in stems for n in STEMS if n < len(t.rstrip("*")))
     return [t for t in found if not covered(t)]
 
 
@@ -176,14 +212,29 @@ class Model:
     def __init__(self, terms: list[str], weights):
         self.terms, self.weights = tuple(terms), tuple(float(w) for w in weights)
 
-    def score(self, abuse: np.ndarray, quoted: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features(abuse, quoted) @ np.array(self.weights), -30, 30)))
+    def score(self, counts: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(features(counts) @ np.array(self.weights), -30, 30)))
 
 
-def _counted(terms: tuple[str, ...], texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+COUNTS = ["abuse", "quoted", "edited", "disguised"]
+
+
+def _counted(terms: tuple[str, ...], texts: pa.Array) -> np.ndarray:
     lexicon = _lexicon(terms)
-    both = np.array([lexicon.counts(t.as_py() or "") for t in texts], dtype=np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+    return np.array([lexicon.counts(t.as_py() or "") for t in texts], dtype=np.int64).reshape(-1, 4)
+
+
+def _one_of_alike(texts: DataFrame) -> DataFrame:
+    """Of texts that share the least hash of their five-word shingles, under either of two seeds, the one whose id has the least hash.
+
+    Near copies mostly share one; texts that share a header alone mostly do not.
+    """
+    for seed in (1, 2):
+        words = F.split(F.lower("text"), r"\s+")
+        least = F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, 5), F.lit(seed))))
+        named = texts.withColumn("w", words).withColumn("least", least)
+        texts = named.groupBy("least").agg(F.min_by(F.struct("id", "text", "toxic"), F.struct(F.xxhash64("id"), F.col("id"))).alias("row")).select("row.*")
+    return texts
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms: int = MOST_TERMS) -> Model:
@@ -193,25 +244,26 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms:
     # at most 2 * sample rows of two numbers: small enough to send everywhere
     chosen = F.broadcast(known.where("toxic = 1").orderBy(order).limit(sample).unionByName(known.where("toxic = 0").orderBy(order).limit(sample)))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(chosen, "id")
-    # copies would lend their words weight: one text for each beginning and each end
-    texts = texts.withColumns({"head": F.left("text", F.lit(40)), "tail": F.right("text", F.lit(40))}).dropDuplicates(["head"]).dropDuplicates(["tail"])
+    # copies would lend their words weight
+    texts = _one_of_alike(stored(texts.select("id", "text", "toxic"), "sampled"))
     texts = stored(texts.select("id", "text", "toxic"), "labelled")
     terms = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 0)
     rest = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 1)
-    lexicon = tuple(sorted(set(_learned_terms(terms, most_terms)) | {f"{s}~" for s in SEEDS}))
+    lexicon = tuple(sorted(set(_learned_terms(terms, most_terms)) | set(SEEDS)))
 
     def each(batches):
         for batch in batches:
-            abuse, quoted = _counted(lexicon, batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(abuse), pa.array(quoted), batch.column(1)], names=["abuse", "quoted", "toxic"])
+            counts = _counted(lexicon, batch.column(0))
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in counts.T], batch.column(1)], names=[*COUNTS, "toxic"])
 
-    counts = modest_batches(rest.select("text", "toxic")).mapInArrow(each, "abuse long, quoted long, toxic int")
-    rows = counts.groupBy("abuse", "quoted", "toxic").count().collect()  # at most a row for each sampled document
+    counts = modest_batches(rest.select("text", "toxic")).mapInArrow(each, ", ".join(f"{c} long" for c in COUNTS) + ", toxic int")
+    rows = counts.groupBy(*COUNTS, "toxic").count().orderBy(*COUNTS, "toxic").collect()  # at most a row for each sampled document
     n = np.array([r["count"] for r in rows], dtype=int)
-    a, q, y = (np.repeat([r[k] for r in rows], n) for k in ("abuse", "quoted", "toxic"))
+    found = np.repeat(np.array([[r[c] for c in COUNTS] for r in rows], dtype=np.int64).reshape(-1, 4), n, axis=0)
+    y = np.repeat([r["toxic"] for r in rows], n)
     if len(y) == 0 or y.min() == y.max():
         return Model(list(lexicon), WEIGHTS)
-    return Model(list(lexicon), fit_weights(features(a, q), y.astype(float)))
+    return Model(list(lexicon), fit_model(found, y.astype(float)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -224,22 +276,22 @@ def learn_without_held_out(docs: DataFrame, labels: DataFrame, **bounds) -> Mode
 
 
 def _scored(model: Model, rows: DataFrame) -> DataFrame:
-    """``rows`` (text, row) as (row, score, abuse, quoted)."""
+    """``rows`` (text, row) as (row, score) and the counts."""
 
     def each(batches):
         for batch in batches:
-            abuse, quoted = _counted(model.terms, batch.column(0))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(model.score(abuse, quoted)), pa.array(abuse), pa.array(quoted)], names=["row", "score", "abuse", "quoted"])
+            counts = _counted(model.terms, batch.column(0))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(model.score(counts)), *[pa.array(c) for c in counts.T]], names=["row", "score", *COUNTS])
 
     kind = rows.schema["row"].dataType.simpleString()
-    return modest_batches(rows.select("text", "row")).mapInArrow(each, f"row {kind}, score double, abuse long, quoted long")
+    return modest_batches(rows.select("text", "row")).mapInArrow(each, f"row {kind}, score double, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, abuse, quoted."""
+    """One row per document: doc_id, held_out, score, predicted, abuse, quoted, edited, disguised."""
     rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").alias("text"))
     out = _scored(model, rows).withColumnRenamed("row", "doc_id")
-    return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "abuse", "quoted")
+    return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *COUNTS)
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:

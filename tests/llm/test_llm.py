@@ -334,7 +334,8 @@ def test_archive_of_odd_pages(spark, tmp_path):
 
 # 8 ----------------------------------------------------------------------------------------------
 def test_automaton_finds_one_edit():
-    lexicon = toxicity.Lexicon(["idiots~", "scum~", "chlla*"])
+    terms = ["idiots", "imbecile", "scum", "moron", "chlla*"]
+    lexicon = toxicity.Lexicon(terms)
 
     def edits(a, b):
         row = list(range(len(b) + 1))
@@ -344,11 +345,41 @@ def test_automaton_finds_one_edit():
                 last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         return row[-1]
 
+    def disguised(t):
+        """All words that a disguising edit makes of a term, symbols as 1."""
+        swapped = {t[:i] + t[i + 1] + t[i] + t[i + 2 :] for i in range(len(t) - 1)} - {t}
+        return swapped | {t[:i] + "1" + t[i + 1 :] for i in range(len(t))} | {t[: i + 1] + t[i:] for i in range(len(t))}
+
+    def kind(w):
+        if w in terms or w.startswith("chlla"):
+            return toxicity.EXACT
+        if any(w in disguised(t) for t in terms[:4]):
+            return toxicity.DISGUISED
+        return toxicity.EDITED if edits(w, "imbecile") <= 1 else toxicity.NONE
+
     rnd = random.Random(4)
-    words = {"".join(rnd.choice("idotx") for _ in range(rnd.randint(3, 7))) for _ in range(3000)} | {"idiot", "idoit", "id1ot", "idiots", "idit", "xidiot", "scum", "scam", "chllaxyz", "chllx", "chlla"}
+    words = {"".join(rnd.choice("idotx1") for _ in range(rnd.randint(3, 7))) for _ in range(3000)} | {"idiot", "idoits", "id1ots", "idiots", "idits", "scum", "scam", "scumm", "csum", "chllaxyz", "chllx", "chlla", "m0ron", "mor1n", "moorn", "morron"}
+    for t in ("imbecile", "idiots", "moron", "chlla"):
+        for _ in range(800):
+            i = rnd.randrange(len(t))
+            words.add(rnd.choice([t[:i] + rnd.choice("abcehilm1") + t[i + rnd.randint(0, 1) :], t[:i] + t[i + 1 :], t[:i] + t[i + 1 : i + 2] + t[i : i + 1] + t[i + 2 :]]))
     for w in words:
-        assert lexicon.holds(w) == (edits(w, "idiots") <= 1 or w == "scum" or w.startswith("chlla")), w
-    assert lexicon.counts("You idiot!") == (1, 0) and lexicon.counts('He said "idiot" twice') == (0, 1) and lexicon.counts("") == (0, 0)
+        assert lexicon.holds(w) == kind(w.replace("0", "1")), w
+    assert lexicon.counts("You idiots!") == (1, 0, 0, 0) and lexicon.counts('He said "idiots" twice') == (0, 1, 0, 0) and lexicon.counts("") == (0, 0, 0, 0)
+    assert lexicon.counts("you m0ron, imbexile") == (0, 0, 1, 1)
+
+
+def test_misspelled_insults_are_caught(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.learn_without_held_out(docs, labels)
+    again = toxicity.learn_without_held_out(docs.repartition(7), labels.repartition(5))
+    assert (model.terms, model.weights) == (again.terms, again.weights)
+    clean = "the people of this town are at the market and we talk about the weather"
+    bad = ["idiiot", "m0ron", "tr4sh", "scmu", "l0ser", "wh0re", "b1tch", "worthles", "pathettic", "disgustingg", "imbecille"]
+    rows = [(i, f"you are such a {w} today") for i, w in enumerate(bad)] + [(100, clean), (101, "she met him at the whore house museum, he said"), (102, "his son lost the short race")]
+    got = {r.doc_id: r.predicted for r in toxicity.scores(table(spark, rows), model).collect()}
+    assert all(got[i] for i in range(len(bad))) and not got[100] and not got[102]
 
 
 def test_toxicity_of_held_out_labels(spark):
@@ -382,7 +413,7 @@ def test_fingerprints(spark):
         for r in got:
             assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     whole = sketches.fingerprints(documents(spark))
-    assert whole.where("n_chars > 3000 AND near_edited < 0.4").count() == 0
+    assert whole.where("n_chars > 3000 AND near_edited < 0.35").count() == 0
     assert "Python" not in whole._jdf.queryExecution().executedPlan().toString()
 
 
@@ -429,15 +460,46 @@ def test_rows_that_share_an_id_are_split(spark):
     assert max(r["count"] for r in sizes) <= 90
 
 
-def test_near_edited_is_exact_on_short_texts(spark):
-    rows = list(enumerate(short_texts(200, 4)))
-    shingles = lambda t: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(max(1, len(w) - 4))}
-    got = {r.doc_id: r.near_edited for r in sketches.fingerprints(table(spark, rows)).collect()}
+def shingles_of(text, widths=(2, 5)):
+    w = text.split()
+    return {tuple(w[i : i + n]) for n in widths for i in range(len(w) - n + 1)} | ({tuple(w)} if w and len(w) < max(widths) else set())
+
+
+def likeness_of(a, b):
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    return len(a & b) / len(a) if a else float(not b)
+
+
+@pytest.mark.parametrize("one_in", [1, 2])
+def test_near_edited_against_exact_containment(spark, one_in):
+    rows = list(enumerate(short_texts(300, 4)))
+    got = {r.doc_id: r.near_edited for r in sketches.fingerprints(table(spark, rows), one_in=one_in).collect()}
+    off = []
     for (d, t), (_, f) in by_hash(spark, rows):
         k = len(t) // 3
-        a, b = sorted((shingles(t), shingles(t[: len(t) - k] + f[:k])), key=len)
-        inside = {len(a & b) / len(a)} | ({len(a & b) / len(b)} if len(a) == len(b) else set())
-        assert got[d] in inside
+        off.append(abs(got[d] - likeness_of(shingles_of(t), shingles_of(t[: len(t) - k] + f[:k]))))
+    assert max(off) < 1e-9 if one_in == 1 else sum(off) / len(off) < 0.15 and sum(x > 0.4 for x in off) < 0.05 * len(off)
+
+
+def test_near_next_is_the_likeness_of_sketches(spark):
+    for docs in (table(spark, odd_rows()), documents(spark)):
+        rows = sorted(sketches.fingerprints(docs).join(sketches.keyed_texts(docs).groupBy("doc_id").agg(F.max("th").alias("th"), F.count("*").alias("n")), "doc_id").where("n = 1").collect(), key=lambda r: -r.doc_id)
+        ids = sorted({r.doc_id for r in docs.select("doc_id").collect() if r.doc_id is not None}, reverse=True)
+        following = dict(zip(ids, ids[1:]))
+        by = {r.doc_id: r for r in rows}
+        pairs = [(r, by[following[r.doc_id]]) for r in rows if following.get(r.doc_id) in by]
+        assert pairs
+        for a, b in pairs:
+            x, y = set(a.sketch), set(b.sketch)
+            assert a.near_next in {likeness_of(x, y), likeness_of(y, x)} and a.fingerprint == ",".join(f"{h & (2**64 - 1):016x}" for h in a.sketch)
+        assert all(h < 0 or h == r.sketch[0] for r in rows for h in r.sketch)
+
+
+def test_ranges_are_found_in_two_steps(spark):
+    edges = sorted({random.Random(i).randrange(10**6) for i in range(170)})
+    df = spark.range(0, 10**6, 997).withColumn("n", sketches._count_below([edges, [0] * len(edges)], lambda e: (e["c0"] < F.col("id")) | ((e["c0"] == F.col("id")) & (e["c1"] <= 0))))
+    assert all(r.n == sum(e <= r.id for e in edges) for r in df.collect())
+    assert spark.range(3).select(sketches._count_below([[]], lambda e: e["c0"] <= F.col("id")).alias("n")).distinct().collect()[0].n == 0
 
 
 def test_sketches_merge(spark):
