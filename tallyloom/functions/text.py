@@ -1,6 +1,6 @@
 """Text expressions: tokens, sentiment, language, classification, answers, summaries.
 
-All but ``summary`` are built-in expressions evaluated inside the JVM on whole
+All are built-in expressions evaluated inside the JVM on whole
 texts, without a shuffle. Functions named ``*_of`` take a token column made by
 ``with_tokens``: a text is then split once, however many lists it is compared to.
 """
@@ -8,9 +8,8 @@ texts, without a shuffle. Functions named ``*_of`` take a token column made by
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,28 +101,37 @@ def answer(context: Column, question: str) -> Column:
     return F.when(best["n"] > 0, best["s"])
 
 
-def _main_sentences(text: str, k: int) -> str:
-    parts = [p.strip(" ") for p in re.split("[.!?\n]+", text)]
-    parts = [p for p in parts if p]
-    words = [question_tokens(p) for p in parts]
-    freq = Counter(w for ws in words for w in ws)
-    score = [sum(freq[w] for w in ws) / len(ws) if ws else 0.0 for ws in words]
-    best = sorted(range(len(parts)), key=lambda i: (-score[i], i))[:k]
-    return ". ".join(parts[i] for i in sorted(best))
+def _stretches(df: DataFrame, items: str, name: str, same: Callable[[Column, Column], Column]) -> DataFrame:
+    """Add ``name``: (first, past) of each stretch of neighbours that are the same in a sorted array column."""
+    at = lambda i: F.element_at(F.col(items), i)
+    places = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items))).otherwise(F.array().cast("array<int>"))
+    df = df.withColumn("_firsts", F.filter(places, lambda i: F.when(i == 1, True).otherwise(~same(at(i), at(F.greatest(i - 1, F.lit(1)))))))
+    past = F.concat(F.slice("_firsts", 2, F.greatest(F.size("_firsts"), F.lit(1))), F.array(F.size(items) + 1))
+    return df.withColumn(name, F.zip_with("_firsts", F.slice(past, 1, F.size("_firsts")), lambda a, b: F.struct(a.alias("first"), b.alias("past")))).drop("_firsts")
 
 
-def summary(c: Column, k: int = 2) -> Column:
-    """The ``k`` sentences whose words are most frequent in the text, in text order.
+def with_summary(df: DataFrame, on: str, name: str, k: int = 2) -> DataFrame:
+    """Add the ``k`` sentences whose words are most frequent in the text, in text order; the first of equals.
 
-    Word counts per text have no built-in expression short of exploding the
-    text; an Arrow batch keeps the row where it is.
+    The words of all sentences, sorted, stand in stretches whose lengths are
+    their counts; sorted again by sentence these give each sentence's mean count.
+    Every step sorts or walks arrays of the row: nothing is shuffled.
     """
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _main_sentences(t, k))
-
-    return run(c)
+    sents = sentences(F.col(on))
+    df = df.withColumn("_sents", F.when(F.col(on).isNotNull(), sents).otherwise(F.array().cast("array<string>")))
+    words = F.flatten(F.transform("_sents", lambda s, i: F.transform(tokens(s), lambda w: F.struct(w.alias("w"), i.alias("i")))))
+    df = df.withColumn("_words", F.array_sort(words))
+    df = _stretches(df, "_words", "_runs", lambda a, b: a["w"] == b["w"])
+    counted = F.flatten(F.transform("_runs", lambda r: F.transform(F.slice("_words", r["first"], r["past"] - r["first"]), lambda e: F.struct(e["i"].alias("i"), (r["past"] - r["first"]).alias("n")))))
+    blank = F.transform("_sents", lambda s, i: F.struct(i.alias("i"), F.lit(0).alias("n")))  # so that a sentence without words has a score too
+    df = df.withColumn("_counts", F.array_sort(F.concat(counted, blank)))
+    df = _stretches(df, "_counts", "_parts", lambda a, b: a["i"] == b["i"])
+    total = lambda p: F.aggregate(F.slice("_counts", p["first"], p["past"] - p["first"]), F.lit(0).cast("bigint"), lambda a, e: a + e["n"])
+    score = lambda p: -total(p).cast("double") / F.greatest(p["past"] - p["first"] - 1, F.lit(1))
+    df = df.withColumn("_scores", F.transform("_parts", lambda p: F.struct(score(p).alias("score"), F.element_at(F.col("_counts"), p["first"])["i"].alias("i"))))
+    best = F.array_sort(F.transform(F.slice(F.array_sort("_scores"), 1, k), lambda s: s["i"]))
+    summary = F.when(F.col(on).isNotNull(), F.array_join(F.transform(best, lambda i: F.element_at(F.col("_sents"), i + 1)), ". "))
+    return df.withColumn(name, summary).drop("_sents", "_words", "_runs", "_counts", "_parts", "_scores")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -268,6 +268,8 @@ def search(queries: DataFrame, path: str, query_key: str, vector: str, store, k:
     """
     spark = queries.sparkSession
     quantiser = _read_quantiser(spark, path)
+    if not len(quantiser.centroids):
+        return queries.select(query_key, F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("double").alias("similarity"), F.lit(None).cast("int").alias("rank")).limit(0)
     radii = {r.cell: r.radius for r in spark.read.parquet(f"{path}/cells").select("cell", "radius").collect()}
     rows = store(_units(queries.select(F.col(query_key).alias("query"), F.col(vector).alias("vector")), quantiser.centroids.shape[1]), "queries")
     places = store(_places(rows, quantiser, radii), "places")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom import labels
 from tallyloom.functions.numbers import count_when, dbl, mean, rounded, sum_when
 from tallyloom.functions.picks import below
-from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, summary, tokens, with_tokens
+from tallyloom.functions.text import answer, classify_of, language_of, round6, sentiment_label, sentiment_of, tokens, with_summary, with_tokens
 from tallyloom.operators import vectors
 from tallyloom.operators.digest import digest
 from tallyloom.operators.search import build_index, nearest, search, search_queries, search_stored, write_index
@@ -131,9 +131,10 @@ def prompt_rows(lab: Lab) -> DataFrame:
 
 
 def document_summaries(lab: Lab) -> DataFrame:
-    """Long texts summarised, short ones as they are; short texts never reach Python."""
+    """Long texts summarised, short ones as they are."""
     body = F.col("feedback_text")
-    return _texts(lab).select("feedback_id", F.coalesce(summary(F.when(F.length(body) > 200, body)), body).alias("feedback_summary"))
+    long = _texts(lab).select("feedback_id", "feedback_text", F.when(F.length(body) > 200, body).alias("long"))
+    return with_summary(long, "long", "summary").select("feedback_id", F.coalesce("summary", body).alias("feedback_summary"))
 
 
 def _weekly(lab: Lab) -> DataFrame:

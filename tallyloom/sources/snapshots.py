@@ -1,48 +1,41 @@
-"""Versioned tables: one partition directory per snapshot time.
+"""Versioned tables: a folder for every snapshot and a log that names them.
 
-A write adds a directory and never touches an older one, so a reader of any
+A write adds a folder and never touches an older one, so a reader of any
 version is undisturbed, publishing is one more snapshot, and rolling back is
-reading or republishing the previous one.
+reading or republishing the previous one. Which folder holds the table as of a time
+is read from the commit log alone; no data folder is listed for it. Two writers
+of the same version conflict, and the log takes the first.
 """
 
 from __future__ import annotations
 
-import re
 from datetime import datetime, timedelta
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def write_snapshot(df: DataFrame, root: str, at: str) -> None:
-    """Store ``df`` as the version of time ``at``; writing the same time again replaces it."""
-    df.withColumn("_snapshot_ts", F.lit(at).cast("timestamp_ntz")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("_snapshot_ts").parquet(root)
+from tallyloom.sources.commits import commit, entries, new_folder, next_version
 
 
-def stored_versions(table: DataFrame, column: str) -> list[str]:
-    """Values of a partition column, from the names of the files alone: no data file is opened."""
-    folder = re.compile(rf"/{column}=([^/]*)/")
-    return sorted({unquote(m[1]) for f in table.inputFiles() if (m := folder.search(unquote(f)))})
+def write_snapshot(df: DataFrame, root: str, at: str) -> None:
+    """Store ``df`` as the version of time ``at``; of several of one time the last counts."""
+    spark, folder = df.sparkSession, new_folder()
+    version = next_version(entries(spark, root))
+    df.write.parquet(f"{root}/{folder}")
+    rows = spark.read.schema(df.schema).parquet(f"{root}/{folder}").count()
+    commit(spark, root, version, folder, rows=rows, kind="snapshot", at=at)
 
 
 def read_as_of(spark: SparkSession, root: str, at: str | None = None, offset_seconds: int | None = None) -> DataFrame:
-    """The newest version not later than ``at``, or ``offset_seconds`` before the newest one.
-
-    The version is resolved from the folders' names, so the read prunes to a
-    single directory and opens no file of another version.
-    """
-    table = spark.read.parquet(root)
-    versions = {datetime.fromisoformat(v): v for v in stored_versions(table, "_snapshot_ts")}
-    limit = datetime.fromisoformat(at) if at else max(versions)
-    if offset_seconds is not None:
-        limit = max(versions) - timedelta(seconds=offset_seconds)
-    chosen = max((v for v in versions if v <= limit), default=None)
+    """The newest version not later than ``at``, or ``offset_seconds`` before the newest one."""
+    versions = [(datetime.fromisoformat(e.at), e.version, e.folder) for e in entries(spark, root)]
+    newest = max((t for t, _, _ in versions), default=None)
+    limit = datetime.fromisoformat(at) if at else newest
+    if offset_seconds is not None and newest:
+        limit = newest - timedelta(seconds=offset_seconds)
+    chosen = max((v for v in versions if v[0] <= limit), default=None)
     if chosen is None:
         raise LookupError(f"no snapshot at or before {at}")
-    return table.filter(F.col("_snapshot_ts").cast("timestamp_ntz") == F.lit(versions[chosen]).cast("timestamp_ntz")).drop("_snapshot_ts")
+    return spark.read.parquet(f"{root}/{chosen[2]}")
 
 
 def publish(spark: SparkSession, root: str, staging: DataFrame, at: str) -> DataFrame:

@@ -1,17 +1,21 @@
 """Text functions, search and digests on small texts and on the test documents."""
 
 import math
+import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as t
+from tallyloom.operators import vectors
 from tallyloom.operators.digest import digest
 from tallyloom.operators.search import B, K1, build_index, nearest, search, search_index
 from tallyloom.plans import textual
 from tallyloom.sources.lab import Lab
 from tallyloom.sources.shared import shared_path
+from tallyloom.sources.tables import write_table
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -49,8 +53,59 @@ def test_classify_and_answer(spark):
 
 
 def test_summary_keeps_text_order(spark):
-    text = "Alpha beta beta. Nothing else here. Beta alpha beta alpha! Short."
-    assert one(spark, text, t.summary(F.col("x"), 2)) == "Alpha beta beta. Beta alpha beta alpha"
+    def brute(text, k):
+        if text is None:
+            return None
+        parts = [p.strip(" ") for p in re.split("[.!?\n]+", text) if p.strip(" ")]
+        words = [re.findall(r"[^\W_]+", p.lower()) for p in parts]
+        score = [sum(sum(ws.count(w) for ws in words) for w in own) / max(1, len(own)) for own in words]
+        best = sorted(range(len(parts)), key=lambda i: (-score[i], i))[:k]
+        return ". ".join(parts[i] for i in sorted(best))
+
+    rnd = random.Random(2)
+    texts = ["Alpha beta beta. Nothing else here. Beta alpha beta alpha! Short.", "", None, "...", "-- . -", "one", "a. a. a.", "x" * 3000 + ". y"]
+    texts += ["".join(rnd.choice(["a", "b", "c", " ", " ", ". ", "!", "-", "\n"]) for _ in range(rnd.randint(0, 60))) for _ in range(200)]
+    df = t.with_summary(spark.createDataFrame(list(enumerate(texts)), "i int, x string"), "x", "s", 2)
+    assert [r.s for r in df.orderBy("i").collect()] == [brute(x, 2) for x in texts]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString() and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def near_by_scan(rows, asked, k):
+    out = set()
+    for q, x in asked:
+        found = []
+        for key, y in rows:
+            if y is not None and any(y):
+                found.append((-round(float(np.dot(x, y) / (np.linalg.norm(x) * np.linalg.norm(y))), 6), key))
+        out |= {(q, key, -s, r) for r, (s, key) in enumerate(sorted(found)[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("chunk,cells", [(16_384, None), (7, 3)])
+def test_vector_index_is_exact_and_probing_is_near(spark, monkeypatch, chunk, cells):
+    monkeypatch.setattr(vectors, "CHUNK", chunk)
+    monkeypatch.setattr(vectors, "BLOCK", 5)
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(8, 12)) * 3
+    rows = [(i, (centers[i % 8] + rng.normal(size=12) * (0.2 if i % 2 else 1)).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[3][1]) for i in range(9)] + [(2000, None), (2001, [0.0] * 12)]
+    asked = [(i, (centers[i % 8] + rng.normal(size=12)).tolist()) for i in range(30)]
+    path, schema = shared_path(spark, "ix"), "key long, v array<double>"
+    store = lambda df, name: write_table(df, shared_path(spark, name))
+    vectors.build(spark.createDataFrame(rows, schema), path, "key", "v", cells=cells)
+    queries = spark.createDataFrame(asked, "q long, v array<double>")
+    take = lambda df: {(r.q, r.key, r.similarity, r["rank"]) for r in df.collect()}
+    want = near_by_scan(rows, asked, 4)
+    assert take(vectors.search(queries, path, "q", "v", store, k=4)) == want
+    probed = take(vectors.search(queries, path, "q", "v", store, k=4, probes=4, exact=False))
+    assert len({x[:2] for x in probed} & {x[:2] for x in want}) >= 0.9 * len(want)
+
+
+def test_vector_index_of_nothing(spark):
+    path, store = shared_path(spark, "ix"), lambda df, name: write_table(df, shared_path(spark, name))
+    none = spark.createDataFrame([], "key long, v array<double>")
+    vectors.build(none, path, "key", "v")
+    assert vectors.search(none.withColumnRenamed("key", "q"), path, "q", "v", store).count() == 0
 
 
 def test_cosine(spark):
