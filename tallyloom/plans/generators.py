@@ -43,7 +43,10 @@ def seeds(spark: SparkSession, n: int) -> DataFrame:
 
 
 def _lab_seeds(lab: Lab) -> DataFrame:
-    return lab.raw("customer").select(F.col("c_custkey").alias("k"))
+    """The keys of the customer table, dealt over all tasks: a few megabytes of keys, one split of a scan, become hundreds of rows each."""
+    spark = lab.spark
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return lab.raw("customer").select(F.col("c_custkey").alias("k")).repartition(tasks)
 
 
 def _days_ago(days: Column) -> Column:

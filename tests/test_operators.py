@@ -19,6 +19,7 @@ from tallyloom.operators.semantic import Named, SemanticModel, query_metrics, se
 from tallyloom.operators.series import anomalies, forecast
 from tallyloom.plans import finops, generators, medallion
 from tallyloom.sources import snapshots, tables
+from tallyloom.sources.lab import Lab
 from tallyloom.sources.shared import shared_path
 
 
@@ -360,3 +361,10 @@ def test_metrics_do_not_fan_out(spark):
 def test_semantic_view_comments(spark):
     v = semantic_view(spark.range(1), {"id": "the key"}, {"id": "k"})
     assert v.columns == ["k"] and v.schema["k"].metadata == {"comment": "the key"}
+
+
+def test_generators_deal_few_seeds_over_tasks(spark, tmp_path):
+    spark.range(2000).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    usage = generators.QUERIES["gen_star_usage"](Lab(spark, str(tmp_path)))
+    per_task = [r[0] for r in usage.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+    assert len(per_task) >= 8 and max(per_task) < sum(per_task) / 4
