@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import labels
@@ -167,32 +167,53 @@ def enrich_once(lab: Lab) -> DataFrame:
 EMBEDDING = 768
 
 
-def _rarity(lab: Lab) -> tuple[DataFrame, DataFrame]:
-    """(bucket, idf) over the articles, and the idf of a bucket that no article has, as one row."""
-    base = lab.knowledge_base().select("article_id", "content")
+def _article_counts(lab: Lab) -> DataFrame:
+    """(article_id, bucket, tf) of all articles, stored, as rarity and vectors both read them."""
+    counts = hashed_counts(lab.knowledge_base().select("article_id", "content"), "article_id", "content", EMBEDDING)
+    return write_table(counts, shared_path(lab.spark, "article-counts"))
+
+
+def _rarity(lab: Lab, articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, idf) over the articles' counts, and the idf of a bucket that no article has, as one row."""
+    base = lab.knowledge_base()
     total = base.agg(F.count("*").cast("double")).scalar()
-    counts = hashed_counts(base, "article_id", "content", EMBEDDING)
-    return counts.groupBy("bucket").agg(F.count("*").alias("df")).select("bucket", F.log((total + 1) / (F.col("df") + 1)).alias("idf")), base.agg(F.log(F.count("*").cast("double") + 1).alias("idf"))
+    return articles.groupBy("bucket").agg(F.count("*").alias("df")).select("bucket", F.log((total + 1) / (F.col("df") + 1)).alias("idf")), base.agg(F.log(F.count("*").cast("double") + 1).alias("idf"))
+
+
+def embedded(lab: Lab, counts: DataFrame, df: DataFrame, key: str, articles: DataFrame) -> DataFrame:
+    """768-dimensional hashed TF-IDF vectors of unit length of all rows of ``df``, from their counts, weighted by rarity among the articles; a text without words has the zero vector."""
+    rarity, unseen = _rarity(lab, articles)
+    weighted = counts.join(rarity, "bucket", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unseen.scalar()))
+    sparse = weighted.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("bucket", "w"))).alias("m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return df.select(key).join(sparse.select(key, _spread(F.col("m"), F.col("norm")).alias("embedding")), key, "left").select(key, F.coalesce("embedding", _zeros(F.lit(EMBEDDING))).alias("embedding"))
+
+
+def _zeros(n: Column) -> Column:
+    return F.array_repeat(F.lit(0.0), n.cast("int"))
+
+
+def _spread(entries: Column, norm: Column) -> Column:
+    """The vector of sorted (bucket, w) over a norm: one walk over the entries, each behind the zeros of the gap before it."""
+    before = lambda i: F.when(i > 0, F.get(entries, i - 1)["bucket"]).otherwise(F.lit(-1))
+    value = lambda e: rounded(F.coalesce(e["w"] / F.nullif(norm, F.lit(0.0)), F.lit(0.0)), 6)
+    filled = F.flatten(F.transform(entries, lambda e, i: F.concat(_zeros(e["bucket"] - before(i) - 1), F.array(value(e)))))
+    return F.concat(filled, _zeros(F.lit(EMBEDDING - 1) - F.element_at(entries, -1)["bucket"]))
 
 
-def embedded(lab: Lab, df: DataFrame, key: str, on: str) -> DataFrame:
-    """768-dimensional hashed TF-IDF vectors of unit length, weighted by rarity among the articles; a text without words has the zero vector."""
-    rarity, unseen = _rarity(lab)
-    weighted = hashed_counts(df, key, on, EMBEDDING).join(rarity, "bucket", "left").withColumn("w", F.col("tf") * F.coalesce("idf", unseen.scalar()))
-    sparse = weighted.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = F.transform(F.sequence(F.lit(0), F.lit(EMBEDDING - 1)), lambda b: rounded(F.coalesce(F.try_element_at("m", b.cast("bigint")) / F.nullif("norm", F.lit(0.0)), F.lit(0.0)), 6))
-    return df.select(key).join(sparse, key, "left").select(key, unit.alias("embedding"))
+def _article_vectors(lab: Lab, articles: DataFrame) -> DataFrame:
+    return embedded(lab, articles, lab.knowledge_base().select("article_id"), "article_id", articles)
 
 
 def hashed_vectors(lab: Lab) -> DataFrame:
-    return embedded(lab, lab.knowledge_base().select("article_id", "content"), "article_id", "content")
+    return _article_vectors(lab, _article_counts(lab))
 
 
 def _vector_index(lab: Lab) -> tuple[str, DataFrame]:
     """An index of the articles' vectors, and the benchmark texts' vectors."""
-    path = shared_path(lab.spark, "vector-index")
-    vectors.build(write_table(hashed_vectors(lab), f"{path}/embedded"), path, "article_id", "embedding")
-    asked = embedded(lab, lab.raw("benchmark").select("item_id", "text"), "item_id", "text")
+    path, articles = shared_path(lab.spark, "vector-index"), _article_counts(lab)
+    vectors.build(write_table(_article_vectors(lab, articles), f"{path}/embedded"), path, "article_id", "embedding")
+    texts = lab.raw("benchmark").select("item_id", "text")
+    asked = embedded(lab, hashed_counts(texts, "item_id", "text", EMBEDDING), texts, "item_id", articles)
     return path, write_table(asked, f"{path}/asked")
 
 
