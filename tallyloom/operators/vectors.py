@@ -7,8 +7,10 @@ a search reads the cells it probes and no others.
 
 With q the query, x a vector, y its reconstruction and e the length of x - y, q.x lies
 within e of q.y. So the codes alone give every vector a lower and an upper bound,
-only those whose upper bound reaches the k-th lower one are fetched, and their true
-cosines decide: inside the probed cells the result is exact. ``exact=True`` goes on
+only those whose upper bound reaches the k-th lower one of their block are compared,
+and true cosines decide: inside the probed cells the result is exact. Vectors lie in
+the block beside their codes, so a block passes on its best of each query and a search
+whose bounds exclude little sends no more rows on than one whose bounds exclude much. ``exact=True`` goes on
 to the cells that by their radius could still hold a better vector than the k-th
 found, and so gives what a scan of all vectors gives. Without it the result is that
 of the ``probes`` nearest cells.
@@ -41,7 +43,7 @@ from tallyloom.functions.text import cosine
 
 SAMPLE, LARGEST = 8000, 4096
 PARTS, WORDS, ROUNDS = 16, 256, 8
-CHUNK, BLOCK = 16_384, 64  # vectors in a block of codes, queries in a block
+CHUNK, BLOCK = 256, 256  # vectors in a block of a cell, queries in a block
 SLACK = 2e-6  # similarities that round alike are told apart by their keys
 
 
@@ -157,19 +159,20 @@ def build(vectors: DataFrame, path: str, key: str, vector: str, cells: int | Non
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
                 part = batch.slice(lo, 2048)
-                cell, angle, codes, error = quantiser.encode(_matrix(part.column(2)))
-                packed = pa.array([c.tobytes() for c in codes], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cell.astype(np.int32)), pa.array(angle), packed, pa.array(error)], names=["key", "vector", "cell", "angle", "code", "error"])
+                unit = _matrix(part.column(2))
+                cell, angle, codes, error = quantiser.encode(unit)
+                packed, held = (pa.array([r.tobytes() for r in rows], pa.binary()) for rows in (codes, unit))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cell.astype(np.int32)), pa.array(angle), packed, pa.array(error), held], names=["key", "vector", "cell", "angle", "code", "error", "unit"])
 
     kind = {c: rows.schema[c].dataType.simpleString() for c in ("key", "vector")}
-    coded = rows.select("key", "vector", "unit").mapInArrow(encode, f"key {kind['key']}, vector {kind['vector']}, cell int, angle double, code binary, error double")
+    coded = rows.select("key", "vector", "unit").mapInArrow(encode, f"key {kind['key']}, vector {kind['vector']}, cell int, angle double, code binary, error double, unit binary")
     coded.write.parquet(f"{path}/coded")
     coded = spark.read.parquet(f"{path}/coded")
     held = coded.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("n"))
     held.write.parquet(f"{path}/cells")
     chunked = coded.join(spark.read.parquet(f"{path}/cells").select("cell", "n"), "cell")
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / CHUNK)).cast("int"))
-    entry = F.struct("key", "code", "error")
+    entry = F.struct("key", "code", "error", "unit")
     chunked.groupBy("cell", "chunk").agg(F.collect_list(entry).alias("entries")).write.partitionBy("cell").parquet(f"{path}/codes")
     chunked.repartition("cell", "chunk").select("cell", "key", "vector").write.partitionBy("cell").parquet(f"{path}/vectors")
     model_rows = [("centroid", i, [c]) for i, c in enumerate(quantiser.centroids.tolist())] + [("book", i, b.tolist()) for i, b in enumerate(quantiser.books)]
@@ -202,45 +205,70 @@ def _places(queries: DataFrame, quantiser: Quantiser, radii: dict[int, float]) -
     return queries.select("query", "unit").mapInArrow(each, f"query {queries.schema['query'].dataType.simpleString()}, cell int, place int, reach double")
 
 
-def _candidates(spark: SparkSession, path: str, quantiser: Quantiser, asked: DataFrame, k: int) -> DataFrame:
-    """(query, cell, key, low, high) of the vectors that may be among the best k of (query, cell, unit, floor)."""
+def _contenders(sims: np.ndarray, x: np.ndarray, keys: np.ndarray, places: np.ndarray, k: int, floor: float) -> np.ndarray:
+    """Which of ``places`` may be among a query's best k of a block: none surely better than k of them; of equal vectors the k least keys."""
+    bound = np.partition(sims, -k)[-k] if len(sims) >= k else -2.0
+    left = np.flatnonzero(sims >= max(bound, floor) - SLACK)
+    if len(left) <= k:
+        return left
+    seen, kept = {}, []
+    for i in left[np.argsort(keys[places[left]], kind="stable")]:
+        same = x[places[i]].tobytes()
+        seen[same] = seen.get(same, 0) + 1
+        if seen[same] <= k:
+            kept.append(i)
+    return np.array(kept)
+
+
+def _candidates(spark: SparkSession, path: str, quantiser: Quantiser, queries: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query, cell, key, low, high) of the vectors that may be among the best k of (query, cell, floor).
+
+    A block of a cell's codes holds the vectors too: those that the bounds of the codes leave are
+    compared there, and only the block's best of each query go on.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for row in batch.to_pylist():
-                codes = np.frombuffer(b"".join(e["code"] for e in row["entries"]), np.uint8).reshape(len(row["entries"]), -1)
-                error = np.array([e["error"] for e in row["entries"]])
-                middle = quantiser.estimates(np.array([a["unit"] for a in row["asked"]]), row["cell"], codes)
-                for a, estimate in zip(row["asked"], middle):
-                    low, high = estimate - error, estimate + error
-                    bound = np.partition(low, -k)[-k] if len(low) >= k else -2.0
-                    for i in np.flatnonzero(high >= max(bound, a["floor"]) - SLACK):
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                cell, entries = row.column(0)[0].as_py(), row.column(1).flatten()
+                n = len(entries)
+                codes = np.frombuffer(b"".join(entries.field("code").to_pylist()), np.uint8).reshape(n, -1)
+                x = np.frombuffer(b"".join(entries.field("unit").to_pylist()), np.float64).reshape(n, -1)
+                error = entries.field("error").to_numpy(zero_copy_only=False)
+                keys = np.array(entries.field("key").to_pylist(), dtype=object)
+                members = row.column(3).flatten()
+                place = {q: i for i, q in enumerate(members.field("query").to_pylist())}
+                wanted = row.column(2)[0].as_py()
+                units = _matrix(members.field("unit"))[[place[a["query"]] for a in wanted]]
+                middle = quantiser.estimates(units, cell, codes)
+                low, high = middle - error, middle + error
+                bound = np.partition(low, -k, axis=1)[:, -k] if n >= k else np.full(len(units), -2.0)
+                open_ = high >= np.maximum(bound, [a["floor"] for a in wanted])[:, None] - SLACK
+                some = np.flatnonzero(open_.any(axis=0))  # fetched for at least one query
+                true = units @ x[some].T
+                out = {c: [] for c in types}
+                for a, sims, mine in zip(wanted, true, open_[:, some]):
+                    mine = np.flatnonzero(mine)
+                    for i in _contenders(sims[mine], x, keys, some[mine], k, a["floor"]):
                         out["query"].append(a["query"])
-                        out["cell"].append(row["cell"])
-                        out["key"].append(row["entries"][i]["key"])
-                        out["low"].append(low[i])
-                        out["high"].append(high[i])
-                    if len(out["key"]) > 50_000:
-                        yield flush()
-        if out["key"]:
-            yield flush()
+                        out["cell"].append(cell)
+                        out["key"].append(keys[some[mine[i]]])
+                        out["low"].append(sims[mine[i]])
+                        out["high"].append(sims[mine[i]])
+                if out["key"]:
+                    yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
     codes = spark.read.parquet(f"{path}/codes")
     types = {"query": asked.schema["query"].dataType.simpleString(), "cell": "int", "key": codes.schema["entries"].dataType.elementType["key"].dataType.simpleString(), "low": "double", "high": "double"}
     schema = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items())).schema
-    arrow, out = to_arrow_schema(schema), {c: [] for c in types}
-
-    def flush() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_pydict({c: list(v) for c, v in out.items()}, schema=arrow)
-        for v in out.values():
-            v.clear()
-        return batch
-
+    arrow = to_arrow_schema(schema)
     cells = [r.cell for r in asked.select("cell").distinct().collect()]  # LARGEST at most; the read prunes to their folders
-    counts = asked.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = asked.join(counts, "cell").groupBy("cell", F.pmod(F.xxhash64("query"), F.col("blocks")).alias("block"))
-    blocks = blocks.agg(F.collect_list(F.struct("query", "unit", "floor")).alias("asked")).select("cell", "asked")
-    met = codes.where(F.col("cell").isin(cells)).join(blocks, "cell").select("cell", "entries", "asked")
+    # queries with a vector come in blocks; a block meets the cells that any of it asks for
+    block = F.pmod(F.xxhash64("query"), F.lit(-(-queries.count() // BLOCK) or 1)).alias("block")
+    members = queries.groupBy(block).agg(F.collect_list(F.struct("query", "unit")).alias("members"))
+    blocks = asked.groupBy("cell", block).agg(F.collect_list(F.struct("query", "floor")).alias("asked"))
+    met = codes.where(F.col("cell").isin(cells)).join(blocks, "cell").join(members, "block").select("cell", "entries", "asked", "members")
     return met.mapInArrow(each, schema)
 
 
@@ -274,14 +302,13 @@ def search(queries: DataFrame, path: str, query_key: str, vector: str, store, k:
     rows = store(_units(queries.select(F.col(query_key).alias("query"), F.col(vector).alias("vector")), quantiser.centroids.shape[1]), "queries")
     places = store(_places(rows, quantiser, radii), "places")
     probes = probes or -(-len(radii) // 8)
-    units = rows.select("query", "unit")
-    first = places.where(F.col("place") < probes).join(units, "query").select("query", "cell", "unit", F.lit(-2.0).alias("floor"))
-    found = store(_best(_reranked(spark, path, rows, store(_candidates(spark, path, quantiser, first, k), "bounds"), k), k), "nearest")
+    first = places.where(F.col("place") < probes).select("query", "cell", F.lit(-2.0).alias("floor"))
+    found = store(_best(_reranked(spark, path, rows, store(_candidates(spark, path, quantiser, rows, first, k), "bounds"), k), k), "nearest")
     if exact:
         floor = found.groupBy("query").agg(F.when(F.count("*") >= k, F.min("similarity")).otherwise(-2.0).alias("floor"))
         rest = places.where(F.col("place") >= probes).join(floor, "query", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
-        rest = store(rest.where(F.col("reach") >= F.col("floor") - SLACK).join(units, "query").select("query", "cell", "unit", "floor"), "further")
-        more = _reranked(spark, path, rows, store(_candidates(spark, path, quantiser, rest, k), "bounds"), k)
+        rest = store(rest.where(F.col("reach") >= F.col("floor") - SLACK).select("query", "cell", "floor"), "further")
+        more = _reranked(spark, path, rows, store(_candidates(spark, path, quantiser, rows, rest, k), "bounds"), k)
         found = _best(found.drop("rank").unionByName(more), k)
     return found.select(F.col("query").alias(query_key), "key", "similarity", "rank")
 
