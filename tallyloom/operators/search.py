@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import rounded
 from tallyloom.functions.text import cosine, question_tokens, tokens
-from tallyloom.sources.shared import cut_lineage
+from tallyloom.sources.shared import cut_lineage, shared_path
+from tallyloom.sources.tables import write_table
 
 K1, B = 1.2, 0.75
 
@@ -80,7 +81,9 @@ def write_index(docs: DataFrame, path: str, key: str, on: str, columns: list[str
     """Store a search index: postings by bucket, the attributes that results show or filter on, and corpus statistics."""
     build_index(docs, key, on, buckets).write.partitionBy("bucket").parquet(f"{path}/postings")
     docs.select(key, *columns).write.parquet(f"{path}/attributes")
-    docs.agg(F.count("*").cast("double").alias("n"), (F.sum(F.size(tokens(F.col(on)))) / F.count("*")).alias("avg_length")).write.parquet(f"{path}/statistics")
+    n = docs.sparkSession.read.parquet(f"{path}/attributes").agg(F.count("*").cast("double")).scalar()
+    words = docs.sparkSession.read.parquet(f"{path}/postings").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))  # texts are split once
+    words.select(n.alias("n"), (F.col("words") / F.nullif(n, F.lit(0.0))).alias("avg_length")).write.parquet(f"{path}/statistics")
 
 
 def _read(spark: SparkSession, path: str) -> tuple[DataFrame, float, float]:
@@ -103,18 +106,18 @@ def search_stored(spark: SparkSession, path: str, key: str, query: str, columns:
 def search_queries(spark: SparkSession, path: str, key: str, queries: DataFrame, query_key: str, on: str, limit: int) -> DataFrame:
     """Best ``limit`` documents of a stored index for every query text, with their rank.
 
-    Queries and postings meet on the term; a frequent term's postings are spread
-    over their documents by a salt that the query terms are repeated for. Ranks
-    are cut to ``limit`` within slices of the documents before the final ones.
+    Postings of asked terms are dealt by document, once; queries meet them there,
+    so a document's sums are made where it lies and no (query, term, document)
+    row is shuffled. Ranks are cut to ``limit`` within slices of the documents
+    before the final ones.
     """
     postings, n, average = _read(spark, path)
-    salts = 16
-    asked = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(on)))).alias("term"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    known = asked.join(frequency, "term")
-    held = postings.withColumn("salt", F.pmod(F.hash(key), F.lit(salts)))
+    asked = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(on)))).alias("term"))
+    held = postings.join(write_table(asked.select("term").distinct(), shared_path(spark, "asked-terms")), "term", "left_semi")
+    frequency = held.groupBy("term").agg(F.count("*").alias("df"))
+    known = write_table(asked.join(frequency, "term"), shared_path(spark, "asked"))  # stored, so that its size is known where it is joined
     score = _idf(F.lit(n), F.col("df")) * _weight(F.col("tf").cast("double"), F.col("length"), F.lit(average))
-    scored = held.join(known, ["term", "salt"]).groupBy(query_key, key).agg(rounded(F.sum(score), 6).alias("score"))
+    scored = held.select("term", key, "tf", "length").repartition(key).join(known, "term").groupBy(query_key, key).agg(rounded(F.sum(score), 6).alias("score"))
     order = [F.desc("score"), F.col(key)]
     cut = scored.withColumn("slice", F.pmod(F.hash(key), F.lit(64))).withColumn("r", F.row_number().over(Window.partitionBy(query_key, "slice").orderBy(*order)))
     best = cut.filter(F.col("r") <= limit).withColumn("rank", F.row_number().over(Window.partitionBy(query_key).orderBy(*order)))

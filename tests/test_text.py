@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import text as t
 from tallyloom.operators import vectors
 from tallyloom.operators.digest import digest
-from tallyloom.operators.search import B, K1, build_index, nearest, search, search_index
+from tallyloom.operators.search import B, K1, build_index, nearest, search, search_index, search_queries, search_stored, write_index
 from tallyloom.plans import textual
 from tallyloom.sources.lab import Lab
 from tallyloom.sources.shared import shared_path
@@ -178,3 +178,33 @@ def test_digest_small_groups_and_whole(spark):
     got = digest(df, ["g"], "k", "x", k=1, min_chars=50).collect()
     assert [(r["g"], r["texts"]) for r in got] == [("g", 2)]
     assert digest(df, [], "k", "x", k=2, min_chars=10).first()["texts"] == 3
+
+
+def test_a_block_passes_on_its_best_of_each_query_alone(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(300)] + [(1000 + i, [1.0] * 12) for i in range(200)]  # bounds exclude little, copies tie
+    path, stored = shared_path(spark, "ix"), {}
+
+    def store(df, name):
+        stored.setdefault(name, []).append(write_table(df, shared_path(spark, name)))
+        return stored[name][-1]
+
+    vectors.build(spark.createDataFrame(rows, "key long, v array<double>"), path, "key", "v", cells=2, parts=1)
+    asked = [(i, (rng.normal(size=12) + i % 2).tolist()) for i in range(20)]
+    found = vectors.search(spark.createDataFrame(asked, "q long, v array<double>"), path, "q", "v", store, k=4)
+    assert {(r.q, r.key, r.similarity, r["rank"]) for r in found.collect()} == near_by_scan(rows, asked, 4)
+    blocks = spark.read.parquet(f"{path}/codes").count()
+    assert sum(df.count() for df in stored["bounds"]) <= 4 * blocks * len(asked)
+
+
+def test_batch_search_shuffles_postings_and_no_pairs(spark):
+    docs = spark.createDataFrame([(k, "common words stand here " + text) for k, _, text in DOCS], "id long, text string")
+    path = shared_path(spark, "ix")
+    write_index(docs, path, "id", "text", [])
+    asked = spark.createDataFrame([(1, "common email here"), (2, "words of a template")], "q long, ask string")
+    found = search_queries(spark, path, "id", asked, "q", "ask", 2)
+    for q, ask in asked.collect():
+        alone = search_stored(spark, path, "id", ask, [], 2)
+        assert {(r.id, r.score) for r in found.where(F.col("q") == q).collect()} == {(r.id, r.score) for r in alone.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" in plan and "hashpartitioning(term" not in plan
