@@ -97,7 +97,7 @@ def classify_trained(lab: Lab) -> DataFrame:
     """Multinomial naive Bayes over hashed words, learned from four fifths of the labels and applied to every text."""
     size, held = 4096, below(F.col("doc_id"), 300, 5) == 0
     known = lab.raw("labels").filter(F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    counts = hashed_counts(lab.raw("documents"), "doc_id", "text", size)
+    counts = write_table(hashed_counts(lab.raw("documents"), "doc_id", "text", size), shared_path(lab.spark, "counts"))  # read for learning and for scoring
     train = counts.join(known.filter(~held), "doc_id").groupBy("bucket").agg(sum_when(F.col("toxic") == 1, "tf").alias("t"), sum_when(F.col("toxic") == 0, "tf").alias("c"))
     seen = lab.spark.range(size).withColumnRenamed("id", "bucket").join(train, "bucket", "left").select("bucket", *[F.coalesce(x, F.lit(0)).cast("double").alias(x) for x in ("t", "c")])
     sums = seen.agg(F.struct(F.sum("t").alias("t"), F.sum("c").alias("c"))).scalar()

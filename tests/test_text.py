@@ -208,3 +208,14 @@ def test_batch_search_shuffles_postings_and_no_pairs(spark):
         assert {(r.id, r.score) for r in found.where(F.col("q") == q).collect()} == {(r.id, r.score) for r in alone.collect()}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(id" in plan and "hashpartitioning(term" not in plan
+
+
+@pytest.mark.parametrize("name", ["hashed_vectors", "classify_trained"])
+def test_hashed_counts_are_made_once(spark, tmp_path, name):
+    docs = [(1, "one two two", "en", "s"), (2, "two three", "en", "s"), (3, "", "en", "s"), (4, None, "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = textual.QUERIES[name](Lab(spark, str(tmp_path)))
+    assert df.count() == 4
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "map_from_entries" not in plan
