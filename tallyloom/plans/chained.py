@@ -1,6 +1,7 @@
 """Chained refresh: a bronze batch of any entities moves silver and gold by its changes.
 
-Only the batch is parsed. Silver keeps the newest row of every key; the signed
+Only the batch is parsed. Silver keeps the newest row of every key; a first load is
+its own change and is read back by column, and of a later one the signed
 changes of silver move the states behind gold (subscriptions and users per customer,
 counted products per customer, sums per product and per segment), and gold rows of
 the touched customers, products and segments are written anew. A batch that was
@@ -32,13 +33,18 @@ PRODUCTS = "product_name string, customers bigint, n bigint, active_mrr decimal(
 SEGMENTS = "segment string, customers bigint, owned_mrr decimal(28,2), n bigint, health bigint, health_rows bigint"
 
 
+def _newest(name: str, typed: DataFrame) -> DataFrame:
+    """The newest silver row of every key of typed rows."""
+    if name == "customers":
+        return newest_customers(typed)
+    return latest_per_key(typed.withColumn("_tie", F.xxhash64(*typed.columns)), [KEY[name]], ["_ingested_at", "_tie"]).drop("_tie")
+
+
 def _silver(name: str, typed: DataFrame, older: DataFrame) -> DataFrame:
     """The newest silver row of every key of a batch, given the stored rows of these keys."""
     if name == "customers":
-        return newest_customers(typed.unionByName(older.drop("_dq_status").withColumn("_batch_id", F.lit(None).cast("string"))))
-    key = {"subscriptions": "subscription_id", "users": "user_id"}[name]
-    both = typed.unionByName(older)
-    return latest_per_key(both.withColumn("_tie", F.xxhash64(*both.columns)), [key], ["_ingested_at", "_tie"]).drop("_tie")
+        older = older.drop("_dq_status").withColumn("_batch_id", F.lit(None).cast("string"))
+    return _newest(name, typed.unionByName(older))
 
 
 PARSE = {"customers": typed_customers, "subscriptions": to_silver_subscriptions, "users": to_silver_users}
@@ -71,26 +77,40 @@ class Layers:
         part = {"customers": F.lit(1), "owned_mrr": F.col("owned_mrr"), "n": F.coalesce("n", F.lit(0)), "health": F.col("health_score") * health, "health_rows": health}
         return held.groupBy("segment").agg(*[(sign * F.sum(v)).alias(c) for c, v in part.items()]).na.fill(0, list(part))
 
+    def _changes(self, name: str, arrived: DataFrame | None, batch: int) -> DataFrame:
+        """Store the silver rows that a batch moves, and give their signed changes."""
+        silver = self.silver[name]
+        if arrived is None:
+            return self.spark.createDataFrame([], silver.schema).withColumn("sign", F.lit(1))
+        typed = PARSE[name](arrived)
+        if silver.empty(before=batch):  # every row is new: the stored batch is its changes, and readers take the columns they need from it
+            silver.append(_newest(name, typed), batch)
+            return silver.of_batch(batch).withColumn("sign", F.lit(1))
+        typed = cut_lineage(typed)
+        older = cut_lineage(silver.read(of=typed, before=batch))
+        changes = cut_lineage(signed_changes(older, _silver(name, typed, older), [KEY[name]]))
+        silver.append(changes.where("sign > 0").select(*silver.schema.names), batch)
+        return changes
+
     def apply(self, batch: int, arrived: dict[str, DataFrame]) -> None:
         """Carry bronze rows of some entities through all layers."""
         if self.profile.has(batch):
             return
-        changes, fresh = {}, {}
-        for name, silver in self.silver.items():
-            typed = cut_lineage(PARSE[name](arrived[name])) if name in arrived else self.spark.createDataFrame([], PARSE[name](land(self.spark.createDataFrame([], "x int"), "", "", MERGED_AT)).schema)
-            older = silver.read(of=typed, before=batch)
-            fresh[name] = cut_lineage(_silver(name, typed, older))
-            changes[name] = cut_lineage(signed_changes(older, fresh[name], [KEY[name]]))
+        changes = {name: self._changes(name, arrived.get(name), batch) for name in self.silver}
         subs = changes["subscriptions"]
         active = F.col("status") == "ACTIVE"
         money = lambda on: F.when(on, F.col("mrr")).otherwise(F.lit(0).cast("decimal(18,2)"))
-        owned = cut_lineage(subs.groupBy("customer_id").agg(signed_sum(F.when(active, 1).otherwise(0)).alias("n"), signed_sum(money(active)).alias("owned_mrr")))
-        owns = cut_lineage(subs.groupBy("customer_id", "product_name").agg(signed_sum().alias("n"), signed_sum(F.when(active, 1).otherwise(0)).alias("n_active")))
-        people = changes["users"].groupBy("customer_id").agg(signed_sum().alias("user_count"))
         gone = F.col("status") == "CANCELLED"
-        sums = subs.groupBy("product_name").agg(
-            signed_sum().alias("n"), signed_sum(money(active)).alias("active_mrr"), signed_sum(money(gone)).alias("churned_mrr"), signed_sum(F.when(gone, 1).otherwise(0)).alias("cancelled")
-        )
+        # read once: what customers, their products and the products move by are sums of these
+        moves = cut_lineage(subs.groupBy("customer_id", "product_name").agg(
+            signed_sum().alias("n"), signed_sum(F.when(active, 1).otherwise(0)).alias("n_active"), signed_sum(money(active)).alias("active_mrr"),
+            signed_sum(money(gone)).alias("churned_mrr"), signed_sum(F.when(gone, 1).otherwise(0)).alias("cancelled"),
+        ))
+        total = lambda *names: [F.sum(c).alias(c) for c in names]
+        owned = cut_lineage(moves.groupBy("customer_id").agg(F.sum("n_active").alias("n"), F.sum("active_mrr").alias("owned_mrr")))
+        owns = moves.select("customer_id", "product_name", "n", "n_active")
+        people = cut_lineage(changes["users"].groupBy("customer_id").agg(signed_sum().alias("user_count")))
+        sums = moves.groupBy("product_name").agg(*total("n", "active_mrr", "churned_mrr", "cancelled"))
         steps = entered(self.owns, owns.drop("n_active"), "n", batch).groupBy("product_name").agg(F.sum("step").alias("customers"))
         product = sums.join(steps.withColumnRenamed("product_name", "_p"), F.col("product_name").eqNullSafe(F.col("_p")), "left").drop("_p").na.fill(0, ["customers"])
         touched = cut_lineage(changes["customers"].select("customer_id").union(owned.select("customer_id")).union(people.select("customer_id")).distinct())
@@ -100,17 +120,12 @@ class Layers:
             "owned": (self.owned, moved_state(self.owned, owned, batch)), "owns": (self.owns, moved_state(self.owns, owns, batch)),
             "people": (self.people, moved_state(self.people, people, batch)), "products": (self.products, moved_state(self.products, product, batch)),
         }
-        new = {name: (table, cut_lineage(rows)) for name, (table, rows) in new.items()}
-        before = cut_lineage(before)
-        for name, silver in self.silver.items():
-            moved = changes[name].where("sign > 0").select(*silver.schema.names)
-            silver.append(moved, batch)
         for table, rows in new.values():
             table.append(rows, batch)
-        customers, held = self.silver["customers"].read(of=touched), self.owned.read(of=touched)
+        customers, held = cut_lineage(self.silver["customers"].read(of=touched)), cut_lineage(self.owned.read(of=touched))
         after = self._contributions(customers, held, 1)
         shift = before.unionByName(after).groupBy("segment").agg(*[F.sum(c).alias(c) for c in before.columns if c != "segment"])
-        self.segments.append(cut_lineage(moved_state(self.segments, shift, batch)), batch)
+        self.segments.append(moved_state(self.segments, cut_lineage(shift), batch), batch)
         held = held.join(self._owned_products(touched), "customer_id", "left")
         self.profile.append(customer_profile(customers, held, self.people.read(of=touched)), batch)
 

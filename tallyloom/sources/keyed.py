@@ -51,9 +51,20 @@ class KeyedTable:
         whole = StructType([*self.schema.fields, StructField("_bucket", IntegerType())])
         return self.spark.read.schema(whole).parquet(f"{self.root}/{folder}")
 
+    def of_batch(self, batch: int) -> DataFrame:
+        """The new images that a committed batch holds, as written."""
+        found = next(e for e in entries(self.spark, self.root) if e.batch == batch)
+        return self._folder(found.folder).select(*self.schema.names)
+
+    def empty(self, before: int) -> bool:
+        """Whether nothing was committed before a batch."""
+        return not any(e.batch is None or e.batch < before for e in entries(self.spark, self.root))
+
     def read(self, of: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """The newest image of every key, or of those whose ``bucketed`` columns occur in ``of``; with ``before``, without that batch and later ones."""
         log = [e for e in entries(self.spark, self.root) if before is None or e.batch is None or e.batch < before]
+        if not log:
+            return self.spark.createDataFrame([], self.schema)  # nothing is asked of ``of`` then
         base = {b: e.version for e in log if e.kind == "base" for b in e.buckets}
         wanted = None if of is None else [r[0] for r in of.select(self._bucket()).distinct().collect()]  # as many as there are buckets at most
         parts = []
@@ -65,8 +76,6 @@ class KeyedTable:
             if folded:
                 rows = rows.where(~F.col("_bucket").isin(folded))
             parts.append(rows.withColumn("_version", F.lit(e.version)))
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
         rows = reduce(DataFrame.unionByName, parts)
         if of is not None:
             asked = of.select(*[F.col(c).alias(f"_of_{c}") for c in self.bucketed]).distinct()
