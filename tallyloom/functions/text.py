@@ -115,21 +115,22 @@ def with_summary(df: DataFrame, on: str, name: str, k: int = 2) -> DataFrame:
 
     The words of all sentences, sorted, stand in stretches whose lengths are
     their counts; sorted again by sentence these give each sentence's mean count.
-    Every step sorts or walks arrays of the row: nothing is shuffled.
+    Every step sorts or walks arrays of the row: nothing is shuffled. ``sort_array``
+    compares the entries themselves, ``array_sort`` calls a comparing function for every pair.
     """
     sents = sentences(F.col(on))
     df = df.withColumn("_sents", F.when(F.col(on).isNotNull(), sents).otherwise(F.array().cast("array<string>")))
     words = F.flatten(F.transform("_sents", lambda s, i: F.transform(tokens(s), lambda w: F.struct(w.alias("w"), i.alias("i")))))
-    df = df.withColumn("_words", F.array_sort(words))
+    df = df.withColumn("_words", F.sort_array(words))
     df = _stretches(df, "_words", "_runs", lambda a, b: a["w"] == b["w"])
     counted = F.flatten(F.transform("_runs", lambda r: F.transform(F.slice("_words", r["first"], r["past"] - r["first"]), lambda e: F.struct(e["i"].alias("i"), (r["past"] - r["first"]).alias("n")))))
     blank = F.transform("_sents", lambda s, i: F.struct(i.alias("i"), F.lit(0).alias("n")))  # so that a sentence without words has a score too
-    df = df.withColumn("_counts", F.array_sort(F.concat(counted, blank)))
+    df = df.withColumn("_counts", F.sort_array(F.concat(counted, blank)))
     df = _stretches(df, "_counts", "_parts", lambda a, b: a["i"] == b["i"])
     total = lambda p: F.aggregate(F.slice("_counts", p["first"], p["past"] - p["first"]), F.lit(0).cast("bigint"), lambda a, e: a + e["n"])
     score = lambda p: -total(p).cast("double") / F.greatest(p["past"] - p["first"] - 1, F.lit(1))
     df = df.withColumn("_scores", F.transform("_parts", lambda p: F.struct(score(p).alias("score"), F.element_at(F.col("_counts"), p["first"])["i"].alias("i"))))
-    best = F.array_sort(F.transform(F.slice(F.array_sort("_scores"), 1, k), lambda s: s["i"]))
+    best = F.sort_array(F.transform(F.slice(F.sort_array("_scores"), 1, k), lambda s: s["i"]))
     summary = F.when(F.col(on).isNotNull(), F.array_join(F.transform(best, lambda i: F.element_at(F.col("_sents"), i + 1)), ". "))
     return df.withColumn(name, summary).drop("_sents", "_words", "_runs", "_counts", "_parts", "_scores")
 

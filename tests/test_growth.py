@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import with_summary
 from tallyloom.sources.keyed import KeyedTable
 from tallyloom.sources.shared import shared_path
 
@@ -21,3 +22,10 @@ def test_a_batch_is_read_back_as_written(spark):
     assert sorted(map(tuple, table.of_batch(0).collect()), key=str) == [(1, "a"), (2, None), (None, "c")]
     assert [tuple(r) for r in table.of_batch(1).collect()] == [(2, "b")]
     assert not table.empty(before=1) and table.empty(before=0)
+
+
+def test_a_summary_sorts_without_a_comparing_function(spark):
+    rows = spark.createDataFrame([(1, "b a. a c! c c? d"), (2, "one. two. three"), (3, "..."), (4, None)], "k int, t string")
+    told = with_summary(rows, "t", "s")
+    assert [r.s for r in told.orderBy("k").collect()] == ["a c. c c", "one. two", "", None]
+    assert "array_sort(" not in told._jdf.queryExecution().analyzed().toString()
