@@ -1,8 +1,10 @@
 """Steps whose work must not grow faster than their input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import with_summary
+from tallyloom.operators.digest import digest
 from tallyloom.sources.keyed import KeyedTable
 from tallyloom.sources.shared import shared_path
 
@@ -29,3 +31,20 @@ def test_a_summary_sorts_without_a_comparing_function(spark):
     told = with_summary(rows, "t", "s")
     assert [r.s for r in told.orderBy("k").collect()] == ["a c. c c", "one. two", "", None]
     assert "array_sort(" not in told._jdf.queryExecution().analyzed().toString()
+
+
+def _texts(spark):
+    said = [(1, "g", "red red fox. blue fox! green hen"), (2, "g", "red hen. blue cow"), (3, "h", "fox. fox fox cow"), (3, "h", "fox. fox fox cow"), (4, None, "red cow. lone"), (5, "h", None)]
+    return spark.createDataFrame(said, "k int, g string, t string")
+
+
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_a_digest_is_the_same_however_many_terms_are_frequent(spark, groups):
+    told = [sorted(map(tuple, digest(_texts(spark), groups, "k", "t", min_chars=1, frequent=n).collect()), key=str) for n in (0, 2, 1000)]
+    assert told[0] == told[1] == told[2] and len(told[0]) == (2 if groups else 1)
+
+
+def test_words_with_frequent_terms_are_not_shuffled(spark):
+    """Where all terms are frequent, only sentences leave the tasks that read them."""
+    plan = digest(_texts(spark), ["g"], "k", "t", min_chars=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "strategy=broadcast" in plan
