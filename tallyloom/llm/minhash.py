@@ -11,13 +11,18 @@ Candidates are confirmed by the exact similarity of the two full sets, and the
 confirmed links' connected components are the groups. Texts of equal sets are
 one node. Bands are taken in a few rounds, the first of two bands alone, and after
 each comparison linked nodes are contracted: in the next a group of near copies is
-one root that is not compared with itself. A band value whose nodes have different
-roots is settled by pivots, one at first and then about eight times as many in each
-turn, drawn from all its nodes: a pivot is compared with every node of another root
-and is done with. Most pivots of a group of near copies belong to its root already
-and meet only the few nodes that it still lacks; so a group costs about as many
-comparisons as it has members, and no pair of different groups that share a band is
-left out. Set sizes
+one root that is not compared with itself. In a band value whose nodes have different
+roots, one pivot and then about eight more are compared with every node of another
+root and are done with, which joins most groups of near copies.
+
+What is still mixed then are nodes with much in common that are not similar: to
+compare all of them would cost the square of their number. They are split by prefixes
+instead: with shingles in one order for all sets, those of fewest nodes first, two
+similar sets share one among their first few, and these are mostly a node's own where
+it departs from the others. Nodes are bucketed by these shingles and both size classes,
+as sizes fix the length of the prefixes; no similar pair is lost. Where the classes
+differ, only nodes of different classes are compared. Buckets whose nodes
+have different roots are settled by pivots, eight times as many in each turn. Set sizes
 alone rule out pairs that cannot reach the similarity.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A text of fewer words than a
@@ -31,6 +36,7 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,7 @@ from tallyloom.llm.runs import byte_units, mixed, prefix_hash, stretch_hash, wor
 WORDS, LEAST = 2, 80
 BANDS, DEEP = 36, 6
 ROUNDS = ((0, 2), (2, 8), (8, BANDS))  # bands that are compared together
+TURNS = 2  # of pivots, before buckets are split
 PIECE = 1 << 14  # shingles whose coordinates are taken at once
 _TAG = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.arange(256, dtype=np.uint8)
@@ -157,30 +164,83 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(old.unionByName(new.withColumnRenamed("node", "fp").join(labels.select("fp"), "fp", "left_anti")), "labels")
 
 
-def _settled(active: DataFrame, labels: DataFrame | None, sets: DataFrame, least: int) -> DataFrame | None:
-    """Labels after all nodes (band, fp, n) that share a band value are compared or in one group."""
+def _pivoted(active: DataFrame, labels: DataFrame | None, sets: DataFrame, least: int, turns: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes (band, fp, n, side) of buckets that pivots have not settled after ``turns`` (None: all are settled), and labels. Nodes of one side, if it is not null, are not compared."""
     turn = 0
     while True:
         root = F.col("fp") if labels is None else F.coalesce("root", "fp")
-        told = (active if labels is None else active.join(labels, "fp", "left")).select("band", "fp", "n", root.alias("root"))
-        mixed_ = told.groupBy("band").agg((F.min("root") < F.max("root")).alias("mixed")).where("mixed").select("band")
+        told = (active if labels is None else active.join(labels, "fp", "left")).select("band", "fp", "n", "side", root.alias("root"))
+        opposed = F.min("side").isNull() | (F.min("side") < F.max("side"))
+        mixed_ = told.groupBy("band").agg(((F.min("root") < F.max("root")) & opposed).alias("mixed")).where("mixed").select("band")
         active = stored(told.join(mixed_, "band"), "active")
-        if active.isEmpty():
-            return labels
+        if turn == turns or active.isEmpty():
+            return active.drop("root"), labels
         # the same pivots in every band
         slot = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 3 * turn))
-        first = F.min(F.struct(F.xxhash64("fp", F.lit(turn), F.lit(1)), "fp", "n", "root")).alias("p")
-        pivots = active.groupBy("band", slot.alias("slot")).agg(first).select("band", F.col("p.fp").alias("a"), F.col("p.n").alias("na"), F.col("p.root").alias("ra"))
+        first = F.min(F.struct(F.xxhash64("fp", F.lit(turn), F.lit(1)), "fp", "n", "root", "side")).alias("p")
+        pivots = active.groupBy("band", slot.alias("slot")).agg(first)
+        pivots = pivots.select("band", F.col("p.fp").alias("a"), F.col("p.n").alias("na"), F.col("p.root").alias("ra"), F.col("p.side").alias("sa"))
         pivots = stored(pivots, "pivots")
         near = 100 * F.least("n", "na") >= least * F.greatest("n", "na")
-        met = active.join(pivots, "band").where((F.col("root") != F.col("ra")) & near).select("a", "ra", F.col("fp").alias("b"), F.col("root").alias("rb"))
+        apart = F.coalesce(F.col("side") != F.col("sa"), F.lit(True))
+        met = active.join(pivots, "band").where((F.col("root") != F.col("ra")) & apart & near).select("a", "ra", F.col("fp").alias("b"), F.col("root").alias("rb"))
         links = stored(_linked(stored(met.distinct(), "met"), sets, least), "new_links")
         if not links.isEmpty():
             labels = _joined(labels, links)
-        active = active.join(pivots.select("band", F.col("a").alias("fp")), ["band", "fp"], "left_anti").select("band", "fp", "n")
+        active = active.join(pivots.select("band", F.col("a").alias("fp")), ["band", "fp"], "left_anti").drop("root")
         turn += 1
 
 
+def size_class(n: int) -> tuple[int, int]:
+    """Least and greatest size of the class that a set of n shingles is in: n alone below 256, then a 128th of n at most."""
+    shift = max(n.bit_length() - 8, 0)
+    return n >> shift << shift, n | (1 << shift) - 1
+
+
+@lru_cache(1 << 10)
+def prefixes(n: int, least: int) -> np.ndarray:
+    """Rows (low, high, length) for every size class that a set of n shingles can have similar sets in: any of them holds one of its first ``length`` shingles, in an order that all sets share."""
+    out, size = [], -(-least * n // 100)
+    while size <= 100 * n // least:
+        low, high = size_class(size)
+        out.append((low, high, n + 1 + -least * (n + low) // (100 + least)))
+        size = high + 1
+    return np.array(out, np.int64)
+
+
+def prefix_values(n: int, alone: int, shared: np.ndarray, low: np.ndarray, high: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a set's first shingles with both size classes, and on which side of these the set is, -1 where they are one. ``alone`` shingles that no other set holds come before ``shared``, of which sets of ``low`` to ``high`` shingles hold each."""
+    classes = prefixes(n, least)
+    length = classes[:, 2:] - alone
+    most = max(int(length.max()), 0)
+    place, shared, low, high = np.arange(len(shared))[:most], shared[:most], low[:most], high[:most]
+    c, k = np.nonzero((place < length) & (low <= classes[:, 1:2]) & (high >= classes[:, :1]))
+    mine, other = size_class(n)[0], classes[c, 0]
+    pair = (np.minimum(mine, other) << 32 | np.maximum(mine, other)).astype(np.uint64)
+    return mixed(mixed(shared[k].view(np.uint64) + pair) * _TAG + pair), np.where(mine == other, -1, mine < other)
+
+
+def _finer(nodes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(band, fp, n, side) of the nodes (fp, n): two whose sets are that similar share a value of ``band``, on both sides if it has any, unlike ones with a common part seldom do."""
+
+    def each(batches):
+        for batch in batches:
+            fps, counts = batch.column(0), batch.column(1).to_numpy()
+            for lo, hi in slices(np.append(0, np.cumsum(counts, dtype=np.int64)), 1 << 16):
+                told = [[batch.column(c)[i].values.to_numpy() for c in (2, 3, 4)] for i in range(lo, hi)]
+                values, sides = zip(*[prefix_values(int(n), int(n) - len(of[0]), *of, least) for n, of in zip(counts[lo:hi], told)])
+                at, side = np.repeat(np.arange(lo, hi), [len(v) for v in values]), np.concatenate(sides)
+                columns = [pa.array(np.concatenate(values).view(np.int64)), fps.take(pa.array(at)), pa.array(counts[at], pa.int32()), pa.array(side, pa.int32(), mask=side < 0)]
+                yield pa.RecordBatch.from_arrays(columns, names=["band", "fp", "n", "side"])
+
+    own = stored(sets.join(nodes, "fp").select("fp", "n", F.explode("shingles").alias("shingle")), "own")
+    often = own.groupBy("shingle").agg(F.count("*").alias("count"), F.min("n").alias("low"), F.max("n").alias("high")).where("count > 1")
+    order = F.sort_array(F.collect_list(F.struct("count", "shingle", "low", "high")))
+    told = own.drop("n").join(often, "shingle").groupBy("fp").agg(order.alias("o")).join(nodes, "fp")
+    found = modest_batches(told.select("fp", "n", "o.shingle", "o.low", "o.high")).mapInArrow(each, "band long, fp binary, n int, side int")
+    return stored(found, "finer")
+
+
 def groups(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame | None]:
     """Rows (doc_id, th, fp, n, bands) of all documents, and (fp, root) of the sets that are linked with others, None if none is; both stored."""
     rows = stored(_nodes(docs, words), "nodes")
@@ -192,9 +252,14 @@ def groups(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> tuple[Dat
         return rows, None
     wanted = rows.join(active.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("th").alias("hash"), F.col("doc_id").alias("id"))).alias("row"))
     sets = stored(_sets(docs, stored(wanted.select("fp", "row.*"), "wanted"), words), "sets")
-    labels = None
+    labels, left = None, []
     for lo, hi in ROUNDS:
-        labels = _settled(active.where(F.col("place").between(lo, hi - 1)).select("band", "fp", "n"), labels, sets, least)
+        bands = active.where(F.col("place").between(lo, hi - 1)).select("band", "fp", "n", F.lit(None).cast("int").alias("side"))
+        rest, labels = _pivoted(bands, labels, sets, least, TURNS)
+        left.append(rest)
+    rest, labels = _pivoted(reduce(DataFrame.unionByName, left), labels, sets, least, 0)
+    if not rest.isEmpty():
+        labels = _pivoted(_finer(rest.select("fp", "n").distinct(), sets, least), labels, sets, least)[1]
     return rows, labels
 
 

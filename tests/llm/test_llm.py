@@ -631,6 +631,44 @@ def test_near_copies_are_those_of_similar_sets(spark):
         assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == want
 
 
+def test_unlike_texts_with_a_common_part_are_not_all_compared(spark, monkeypatch):
+    rnd, rows = random.Random(5), []
+    base = [f"b{i}" for i in range(120)]
+    for i in range(400):  # near the base or too far from all others, with words of their own
+        some = list(base)
+        for k, j in enumerate(rnd.sample(range(120), rnd.choice([2, 4, 12, 14, 16]))):
+            some[j] = f"z{i}.{k}"
+        rows.append((i, " ".join(some[: 120 - i % 4])))
+    compared, linked = [], minhash._linked
+    monkeypatch.setattr(minhash, "_linked", lambda pairs, *rest: compared.append(pairs.count()) or linked(pairs, *rest))
+    got = {r.doc_id: r.component_id for r in minhash.near_groups(table(spark, rows)).collect()}
+    assert got == {i: min(g) for i, g in zip(range(400), brute.near_groups(brute.shingle_sets([t for _, t in rows], 2), 80))}
+    assert 150 < len(set(got.values())) and sum(compared) < 40 * len(rows)
+
+
+@pytest.mark.parametrize("least", [50, 80, 95])
+def test_similar_sets_share_a_prefix_value(least):
+    rnd = random.Random(least)
+    for most in (12, 60, 700):
+        sets = []
+        for _ in range(20):
+            whole = rnd.sample(range(most * 3), most)
+            sets += [set(whole[: rnd.randint(most // 2, most)]) | set(rnd.sample(range(most * 3), rnd.randint(0, most // 8))) for _ in range(5)]
+        holders = defaultdict(list)
+        for s in sets:
+            for x in s:
+                holders[x].append(len(s))
+        values = []
+        for s in sets:
+            shared = sorted((x for x in s if len(holders[x]) > 1), key=lambda x: (len(holders[x]), x))
+            low, high = (np.array([f(holders[x]) for x in shared], np.int64) for f in (min, max))
+            values.append(set(zip(*(a.tolist() for a in minhash.prefix_values(len(s), len(s) - len(shared), np.array(shared, np.int64), low, high, least)))))
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= least * len(a | sets[j]):
+                    assert any((v, -1 if side < 0 else 1 - side) in values[j] for v, side in values[i])
+
+
 def test_coordinates_are_shifted_permutations():
     sets = list(minhash.shingle_sets(np.frombuffer(b"a b c d ea b c d eA b", np.uint8), np.array([0, 9, 18, 21]), 2))
     assert [len(s) for s in sets] == [4, 4, 1] and (sets[0] == sets[1]).all() and sets[2][0] in sets[0]
