@@ -4,7 +4,9 @@ Texts are equal when their SHA-256 after lower-casing A-Z is. The history's
 distinct digests are dealt into shards of about ``SHARD_KEYS`` by digest bits;
 each shard gets a minimal perfect hash by displacement: keys fall into small
 groups, and a pilot number per group sends every key of the shard to a slot of
-its own, 0 to n-1 without gaps. A slot holds the full digest, the locator of
+its own, 0 to n-1 without gaps. Pilots are tried in a pseudo-random order, as
+consecutive ones reach only some of the slots where a key's step is small and
+shares a factor with n. A slot holds the full digest, the locator of
 the row that stays and the group's size. An incoming digest finds its group's
 pilot, computes its slot and is a member only if the digest in the slot is the
 same, byte for byte; nonmembers are grouped among themselves.
@@ -47,6 +49,14 @@ def placed(df: DataFrame, shards: int) -> DataFrame:
     return df.withColumns({"shard": F.pmod(_bits(1, 14), F.lit(shards)), "a": _bits(15, 7), "b": _bits(22, 7) + 1, "g": _bits(29, 7)})
 
 
+def _tries(first: int, n: int) -> np.ndarray:
+    """The pilots first to first + n - 1 of a fixed pseudo-random sequence below PRIME (SplitMix64)."""
+    x = np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) % np.uint64(PRIME)).astype(np.int64)
+
+
 def find_pilots(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pilot and slot of every key of a shard; slots are 0..n-1, each used once."""
     n = len(a)
@@ -56,7 +66,7 @@ def find_pilots(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> tuple[np.nda
     for keys in sorted(members, key=len, reverse=True):
         first, step = 0, 64
         while True:
-            tries = np.arange(first, first + step, dtype=np.int64)
+            tries = _tries(first, step)
             at = (a[keys][None, :] + tries[:, None] * b[keys][None, :]) % PRIME % n
             ok = ~taken[at].any(axis=1)
             if len(keys) > 1:
@@ -64,7 +74,7 @@ def find_pilots(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> tuple[np.nda
                 ok &= (ranked[:, 1:] != ranked[:, :-1]).all(axis=1)
             if ok.any():
                 k = int(np.argmax(ok))
-                pilots[keys], slots[keys] = first + k, at[k]
+                pilots[keys], slots[keys] = tries[k], at[k]
                 taken[at[k]] = True
                 break
             first, step = first + step, min(step * 2, 1 << 14)

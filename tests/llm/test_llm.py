@@ -112,6 +112,15 @@ def test_hash_is_minimal_and_perfect():
         assert all(len(set(pilots[group == g])) == 1 for g in set(group))
 
 
+def test_keys_with_small_steps_find_a_slot():
+    """Consecutive pilots move these keys by 2 alone, to even slots until the step wraps after 2**30 pilots."""
+    n = 64
+    a, b, group = np.arange(n) * 2, np.full(n, 2), np.arange(n)
+    pilots, slots = exact.find_pilots(a, b, group)
+    assert sorted(slots) == list(range(n))
+    assert (((a + pilots * b) % exact.PRIME % n) == slots).all()
+
+
 def test_exact_dedup(spark):
     for docs, rows in both(spark):
         groups = defaultdict(list)
@@ -138,6 +147,15 @@ def test_nonmembers_and_members(spark):
         assert got == {hashlib.sha256(str(k).encode()).hexdigest(): (150 + k, 4) for k in range(50)}
 
 
+def test_history_of_digests_with_small_steps(spark):
+    digests = [f"{0:014x}{2 * i:07x}{1:07x}{i // 4:07x}{i:029x}" for i in range(64)]  # the shard, a, b - 1, the group, the rest
+    rows = spark.createDataFrame([(i, i, digests[i % 64]) for i in range(128)], "doc_id long, row long, digest string")
+    got = {r.digest: (r.win.doc_id, r.n) for r in exact.decide(rows.where("doc_id >= 64"), rows.where("doc_id < 64")).collect()}
+    assert got == {d: (64 + i, 2) for i, d in enumerate(digests)}
+    slots, shards = exact.build_index(exact._groups(rows.where("doc_id >= 64")))
+    assert exact.look_up(slots, shards, exact._groups(rows)).where("member").count() == 64
+
+
 # 3 ----------------------------------------------------------------------------------------------
 def test_simhash(spark):
     for docs, rows in both(spark):
