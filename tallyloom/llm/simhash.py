@@ -122,7 +122,8 @@ def links(prints: DataFrame, most: int = 2, segments: int = 2) -> DataFrame:
             probes = stored(probes, "probes")
         keys = ["parts", "key"]
         rare, asked = (table.join(sizes, keys, "left_anti"), probes.join(sizes, keys, "left_anti")) if hot else (table, probes)
-        met = asked.withColumnRenamed("fp", "a").join(rare.drop("spent").withColumnRenamed("fp", "b"), keys)
+        # Spark sizes the exploded balls by the fingerprints they come from, so it would broadcast them: both sides are sorted
+        met = asked.withColumnRenamed("fp", "a").join(rare.drop("spent").withColumnRenamed("fp", "b").hint("merge"), keys)
         apart = F.col("a").bitwiseXOR(F.col("b"))
         met = met.where((F.col("a") != F.col("b")) & (F.bit_count(apart) <= most))
         if level == 0:  # a pair that agrees in several parts is taken at the first, and once

@@ -183,6 +183,23 @@ def test_links_are_complete(spark, monkeypatch, most, segments, hot):
     assert sorted((r.a, r.b) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("hot", [1, 4096])
+def test_balls_are_not_broadcast(spark, monkeypatch, hot):
+    """A ball has the size of its fingerprint to Spark, however many values it holds."""
+    plans, stored = [], simhash.stored
+
+    def seen(df, name):
+        if name == "met":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "stored", seen)
+    assert [tuple(r) for r in simhash.links(spark.createDataFrame([(0,), (3,), (255,)], "fp long")).collect()] == [(0, 3)]
+    assert len(plans) == (2 if hot == 1 else 1) and all("SortMergeJoin" in p for p in plans)
+    assert not any("Inner" in line and "Broadcast" in line for p in plans for line in p.splitlines())
+
+
 def test_components(spark):
     rnd = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randint(200, 260), rnd.randint(200, 260)) for _ in range(40)] + [(-5, -5), (-9, 300)]
