@@ -73,6 +73,20 @@ def _units(rows: DataFrame, size: int) -> DataFrame:
     return rows.where(F.col(name).isNotNull() & (F.size(vector) == size)).mapInArrow(each, f"{kinds}, unit array<double>")
 
 
+def _hashes(rows: DataFrame, size: int) -> DataFrame:
+    """The hash ``h`` of the name of each row that ``_units`` keeps; no vector goes on."""
+
+    def each(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                part = batch.slice(lo, 2048)
+                norm = np.linalg.norm(_matrix(part.column(1)).astype(np.float64), axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(norm > 0))], names=["h"])
+
+    name, vector = rows.columns
+    return rows.where(F.col(name).isNotNull() & (F.size(vector) == size)).select(F.xxhash64(name).alias("h"), vector).mapInArrow(each, "h long")
+
+
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Squared distances up to a constant of each row of x."""
     return (y * y).sum(axis=1) - 2 * x @ y.T
@@ -145,10 +159,17 @@ def build(vectors: DataFrame, path: str, key: str, vector: str, cells: int | Non
     """Store the index of ``vectors`` under ``path``; by default as many cells as the root of their number, LARGEST at most."""
     spark, first = vectors.sparkSession, vectors.where(F.size(vector) > 0).select(F.size(vector)).first()
     size = first[0] if first else 0
-    rows = _units(vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector")), size)
-    sample = rows.orderBy(F.xxhash64("key")).limit(SAMPLE).select("unit")
-    if first and not sample.isEmpty():
-        wanted = cells or min(LARGEST, int(np.ceil(np.sqrt(rows.count()))))
+    named = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    rows = _units(named, size)
+    # the sample is the vectors of the least hashes: these are found without the vectors, so no task sorts more than the sample
+    _hashes(named, size).write.parquet(f"{path}/hashes")
+    hashes = spark.read.parquet(f"{path}/hashes")
+    n, edge = hashes.count(), hashes.orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    if n:
+        least = _units(named.where(F.xxhash64("key") <= edge), size).orderBy(F.xxhash64("key")).limit(SAMPLE)
+        least.select("unit").write.parquet(f"{path}/sample")
+        sample = spark.read.parquet(f"{path}/sample").coalesce(1)
+        wanted = cells or min(LARGEST, int(np.ceil(np.sqrt(n))))
         model = KMeans(k=max(2, wanted), seed=1, maxIter=10, featuresCol="x").fit(sample.select(array_to_vector("unit").alias("x")))
         centroids = np.array([c.tolist() for c in model.clusterCenters()])
         quantiser = Quantiser(centroids, _fit_books(sample, centroids, min(parts, size)))

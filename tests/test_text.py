@@ -101,6 +101,27 @@ def test_vector_index_is_exact_and_probing_is_near(spark, monkeypatch, chunk, ce
     assert len({x[:2] for x in probed} & {x[:2] for x in want}) >= 0.9 * len(want)
 
 
+def test_vector_sample_is_the_least_hashes_and_the_vectors_are_read_thrice(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE", 50)
+    rnd = np.random.default_rng(2)
+    rows = [(None if i % 97 == 5 else i, [0.0] * 4 if i % 7 == 3 else None if i % 41 == 0 else [1.0] if i % 43 == 0 else rnd.normal(size=4).tolist()) for i in range(400)]
+    read, path = spark.sparkContext.accumulator(0), shared_path(spark, "index-sample")
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame(rows, "key long, v array<double>").repartition(4).mapInArrow(counted, "key long, v array<double>")
+    vectors.build(source, path, "key", "v", cells=3, parts=2)
+    assert read.value <= 4 * len(rows)  # three passes, and the first vector
+    good = [(k, v) for k, v in rows if k is not None and v and len(v) == 4 and any(v)]
+    order = {r.key: r.h for r in spark.createDataFrame([(k,) for k, _ in good], "key long").withColumn("h", F.xxhash64("key")).collect()}
+    want = [(np.array(v) / np.linalg.norm(v)).tolist() for _, v in sorted(good, key=lambda x: order[x[0]])[:50]]
+    assert np.allclose([r.unit for r in spark.read.parquet(f"{path}/sample").collect()], want)
+    assert spark.read.parquet(f"{path}/coded").count() == len(good)
+
+
 def test_vector_index_of_nothing(spark):
     path, store = shared_path(spark, "ix"), lambda df, name: write_table(df, shared_path(spark, name))
     none = spark.createDataFrame([], "key long, v array<double>")
