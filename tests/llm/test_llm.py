@@ -200,6 +200,25 @@ def test_balls_are_not_broadcast(spark, monkeypatch, hot):
     assert not any("Inner" in line and "Broadcast" in line for p in plans for line in p.splitlines())
 
 
+def test_spans_are_not_broadcast(spark, monkeypatch):
+    """Stored spans take many times the size of their files in memory."""
+    plans, stored = [], repeats.stored
+
+    def seen(df, name):
+        if name == "spans":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(repeats, "stored", seen)
+    shared = " ".join(f"w{i}" for i in range(70))
+    docs = table(spark, [(1, f"a {shared} b"), (2, f"c {shared} d"), (3, "other words")])
+    cut = suffixes.without_repeats(docs, width=50, gram=12, kind="words")
+    plans.append(cut._jdf.queryExecution().sparkPlan().toString())
+    joins = [[line for line in p.splitlines() if "Join" in line and keys in line] for p, keys in zip(plans, ("[h#", "LeftOuter"))]
+    assert len(plans) == 2 and any("SortMergeJoin" in x and x.count("#") == 6 for x in joins[0]) and all("SortMergeJoin" in x for x in joins[1]) and joins[1]
+    assert sorted((r.doc_id, r.text) for r in cut.collect()) == [(1, "a b"), (2, "c d"), (3, "other words")]
+
+
 def test_components(spark):
     rnd = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randint(200, 260), rnd.randint(200, 260)) for _ in range(40)] + [(-5, -5), (-9, 300)]
